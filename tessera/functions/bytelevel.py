@@ -87,9 +87,6 @@ def special_regex() -> str:
 
 
 SPECIAL_RE = special_regex()
-_SPECIAL_START = "".join(sorted({re.escape(t[0]) for t in SPECIAL_TOKENS}))
-# a special, or a maximal run containing no special
-SEGMENT_RE = rf"(?:{SPECIAL_RE})|(?:[^{_SPECIAL_START}]|(?!(?:{SPECIAL_RE}))[\s\S])+"
 
 
 def _special_array() -> Column:
@@ -101,8 +98,21 @@ def _special_map() -> Column:
 
 
 def segments(text: Column) -> Column:
-    """Split a text into specials and the runs between them (order kept)."""
-    return F.regexp_extract_all(text, F.lit(SEGMENT_RE), 0)
+    """Split a text into specials and the runs between them (order kept,
+    empty runs dropped).
+
+    ``split`` on the special pattern gives the runs, ``regexp_extract_all``
+    the specials (the same leftmost, non-overlapping matches); the two are
+    interleaved. Neither regex repeats a group, so Java's matcher does not
+    recurse per character and long texts are safe."""
+    runs = F.split(text, SPECIAL_RE, -1)
+    specials = F.regexp_extract_all(text, F.lit(f"({SPECIAL_RE})"), 1)
+    # arrays_zip pads the shorter side with NULL; lambdas capture nothing
+    # (a captured expression would be re-evaluated for every element)
+    pairs = F.arrays_zip(runs.alias("r"), specials.alias("s"))
+    inter = F.flatten(F.transform(pairs, lambda z: F.when(
+        z["s"].isNull(), F.array(z["r"])).otherwise(F.array(z["r"], z["s"]))))
+    return F.filter(inter, lambda p: p != "")
 
 
 def is_special(piece: Column) -> Column:
@@ -135,8 +145,8 @@ def nfc_each(a: Column) -> Column:
 
 def normalized_segments(text: Column) -> Column:
     """Specials extracted from the raw text; every other run NFC-normalized
-    on its own (specials are ASCII, NFC leaves them unchanged)."""
-    return nfc_each(segments(text))
+    on its own."""
+    return F.transform(segments(text), lambda p: F.when(is_special(p), p).otherwise(nfc(p)))
 
 
 # --------------------------------------------------------------------------

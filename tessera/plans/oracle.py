@@ -160,3 +160,82 @@ SELECT doc_id,
        ELSE concat('Chapter title: ', regexp_replace(chapter_title, '^\\s+|\\s+$', '', 'g'),
                    chr(10), chr(10), text) END AS full_text
 FROM stories""")
+
+
+# ---------------------------------------------------------------------------
+# global order
+# ---------------------------------------------------------------------------
+def order_idx(key: str, salt: str) -> str:
+    return (f"row_number() OVER (ORDER BY md5(CAST({key} AS VARCHAR) || '|{salt}'), {key}) - 1")
+
+
+def split_cte(table: str, key: str, frac: float = 0.01, seed: int = 42, name: str = "splits") -> str:
+    return f"""{name} AS (
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY md5(CAST({key} AS VARCHAR) || '|split-{seed}'), {key})
+                      <= ceil({frac} * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
+  FROM {table})"""
+
+
+register("seeded_shuffle", f"SELECT doc_id, {order_idx('doc_id', '42')} AS shuffle_idx FROM documents")
+register("take_n", f"""
+SELECT doc_id, lang FROM (SELECT doc_id, lang, {order_idx('doc_id', '42')} AS i FROM documents) WHERE i < 600""")
+register("train_test_split", with_(split_cte("documents", "doc_id")) + "SELECT doc_id, split FROM splits")
+register("split_sizes", with_(split_cte("documents", "doc_id"))
+         + "SELECT split, count(*) AS n_rows FROM splits GROUP BY split")
+register("assign_batches", f"""
+SELECT doc_id, CAST(i // 16 AS BIGINT) AS batch_id, CAST(i % 16 AS INTEGER) AS row_in_batch
+FROM (SELECT doc_id, {order_idx('doc_id', '42')} AS i FROM documents)""")
+register("length_grouped_batches", f"""
+WITH s AS (SELECT doc_id, {byte_count_sql('text')} AS len, {order_idx('doc_id', '42')} AS i FROM documents),
+m AS (SELECT *, i // 200 AS mb,
+        row_number() OVER (PARTITION BY i // 200 ORDER BY len DESC, i) - 1 AS pos FROM s)
+SELECT doc_id, CAST(mb * 50 + pos // 4 AS BIGINT) AS batch_id, CAST(pos % 4 AS INTEGER) AS row_in_batch FROM m""")
+register("sample_k", """
+SELECT doc_id, n_chars FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || '|sample'), doc_id LIMIT 64""")
+register("step_budget", with_(split_cte("documents", "doc_id")) + """
+, n AS (SELECT count(*) FILTER (WHERE split = 'train') AS n_train FROM splits),
+p(phase, bs, acc, ep, sec) AS (VALUES ('phase1', 16, 16, 2, NULL), ('phase2', 2, 64, 3, NULL),
+  ('phase3', 8, 32, 1, 2.5), ('phase4', 8, 32, 1, 2.5), ('phase5', 8, 32, 1, 2.5), ('sft', 4, 64, 3, 3.0))
+SELECT phase, n_train, bs * acc AS effective_batch, CAST(n_train // (bs * acc) * ep AS BIGINT) AS total_steps,
+  round(n_train // (bs * acc) * ep * sec / 60, 3) AS minutes
+FROM n, p""")
+
+# ---------------------------------------------------------------------------
+# chat formats (H1-H4) and context
+# ---------------------------------------------------------------------------
+register("chatml_train", """
+SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || regexp_replace(text, '\\s+$', '')
+  || chr(10) || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
+register("chatml_template", """
+SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>', '' ORDER BY turn)
+  || '<|im_start|>assistant' || chr(10) AS text FROM conversations GROUP BY conv_id""")
+register("chatml_fallback", """
+SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+  ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
+register("chatml_prompt", """
+SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+  ORDER BY turn) || '<|im_start|>assistant' || chr(10) AS text FROM conversations GROUP BY conv_id""")
+register("trim_history", f"""
+SELECT conv_id, turn, role FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn,
+            count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
+WHERE n <= {FX.TRIM_KEEP_LAST} + 1 OR rn = 1 OR rn > n - {FX.TRIM_KEEP_LAST}""")
+register("seed_system", """
+WITH c AS (SELECT conv_id, turn, role, text,
+             first(role ORDER BY turn) OVER (PARTITION BY conv_id) AS first_role FROM conversations)
+SELECT conv_id, CAST(0 AS INTEGER) AS pos, 'system' AS role, 'You are Pyr, a helpful AI assistant.' AS content
+FROM c GROUP BY conv_id HAVING any_value(first_role) <> 'system'
+UNION ALL
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1
+       + CASE WHEN first_role <> 'system' THEN 1 ELSE 0 END AS INTEGER) AS pos, role, text AS content FROM c""")
+register("fit_context", f"""
+WITH t AS (SELECT conv_id, turn, role,
+             {byte_count_sql("'<|im_start|>' || role || chr(10) || text || '<|im_end|>'")} AS cost
+           FROM conversations),
+w AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn,
+        count(*) OVER (PARTITION BY conv_id) AS n,
+        first(cost ORDER BY turn) OVER (PARTITION BY conv_id) AS first_cost,
+        sum(cost) OVER (PARTITION BY conv_id ORDER BY turn DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+          AS suffix FROM t)
+SELECT conv_id, turn, role, cost FROM w
+WHERE rn = 1 OR rn = n OR first_cost + suffix + 11 <= {FX.CONTEXT_MAX}""")

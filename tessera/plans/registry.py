@@ -87,3 +87,235 @@ def q_quality_gate(spark, sf):
 @query("title_prefix")
 def q_title_prefix(spark, sf):
     return FX.stories(spark, sf).select("doc_id", G.titled_text().alias("full_text"))
+
+
+# --- global order (G1-G6, A7, A12) -----------------------------------------
+from .. import constants as C  # noqa: E402
+from ..functions import arrays as A  # noqa: E402
+from ..functions import bytelevel as B  # noqa: E402
+from ..functions import chat as CH  # noqa: E402
+from ..operators import batching as BT  # noqa: E402
+from ..operators import context as CX  # noqa: E402
+from ..operators import order as O  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+TAKE_N = 600            # rows taken by take_n (the operator under test)
+SAMPLE_K = 64           # validation sample size
+SFT_MAX = 1024          # left-padding cap for the chat batches (scaled from 8192)
+DOC_SEQ = 2048          # fixed length for documents (scaled phase length)
+PHASE_SEQ = 512         # phase-1 sequence length
+
+
+def _docs(spark, sf):
+    return read_table(spark, sf, "documents")
+
+
+@query("seeded_shuffle")
+def q_seeded_shuffle(spark, sf):
+    return O.seeded_shuffle(_docs(spark, sf).select("doc_id"), "doc_id")
+
+
+@query("take_n")
+def q_take_n(spark, sf):
+    return O.first_n(_docs(spark, sf).select("doc_id", "lang"), "doc_id", TAKE_N)
+
+
+@query("train_test_split")
+def q_train_test_split(spark, sf):
+    return O.train_test_split(_docs(spark, sf).select("doc_id"), "doc_id", C.TEST_FRACTION)
+
+
+@query("split_sizes")
+def q_split_sizes(spark, sf):
+    return O.split_sizes(O.train_test_split(_docs(spark, sf).select("doc_id"), "doc_id"))
+
+
+@query("assign_batches")
+def q_assign_batches(spark, sf):
+    s = O.seeded_shuffle(_docs(spark, sf).select("doc_id"), "doc_id")
+    return O.assign_batches(s, "shuffle_idx", 16).select("doc_id", "batch_id", "row_in_batch")
+
+
+def _corpus_len(spark, sf):
+    return FX.corpus(spark, sf).select("doc_id", "token_length")
+
+
+@query("length_grouped_batches")
+def q_length_grouped_batches(spark, sf):
+    s = O.seeded_shuffle(_corpus_len(spark, sf), "doc_id")
+    return O.length_grouped_batches(s, "shuffle_idx", "token_length", 4) \
+        .select("doc_id", "batch_id", "row_in_batch")
+
+
+@query("sample_k")
+def q_sample_k(spark, sf):
+    return O.sample_k(_docs(spark, sf).select("doc_id", "n_chars"), "doc_id", SAMPLE_K)
+
+
+@query("step_budget")
+def q_step_budget(spark, sf):
+    sizes = O.split_sizes(O.train_test_split(_docs(spark, sf).select("doc_id"), "doc_id")).cache()
+    out = None
+    for phase, (_, _, _, _, bs, acc, ep, sec) in C.PHASES.items():
+        b = BT.step_budget(sizes, bs, acc, ep, sec)
+        if sec is None:
+            b = b.withColumn("minutes", F.lit(None).cast("double"))
+        b = b.select(F.lit(phase).alias("phase"), "n_train", "effective_batch", "total_steps", "minutes")
+        out = b if out is None else out.unionByName(b)
+    return out
+
+
+# --- chat (H1-H4) and context (W1-W3) ----------------------------------------
+def _messages(spark, sf):
+    return FX.messages(spark, sf)
+
+
+@query("chatml_train")
+def q_chatml_train(spark, sf):
+    return _messages(spark, sf).select("conv_id", CH.chatml_train(F.col("messages")).alias("text"))
+
+
+@query("chatml_template")
+def q_chatml_template(spark, sf):
+    return _messages(spark, sf).select("conv_id", CH.chatml_template(F.col("messages")).alias("text"))
+
+
+@query("chatml_fallback")
+def q_chatml_fallback(spark, sf):
+    return _messages(spark, sf).select("conv_id", CH.chatml_fallback(F.col("messages")).alias("text"))
+
+
+@query("chatml_prompt")
+def q_chatml_prompt(spark, sf):
+    return _messages(spark, sf).select("conv_id", CH.chatml_prompt(F.col("messages")).alias("text"))
+
+
+@query("trim_history")
+def q_trim_history(spark, sf):
+    return CX.trim_history(FX.turns(spark, sf), FX.TRIM_KEEP_LAST).select("conv_id", "turn", "role")
+
+
+@query("seed_system")
+def q_seed_system(spark, sf):
+    seeded = CX.seed_system(_messages(spark, sf))
+    return seeded.select("conv_id", F.posexplode("messages").alias("pos", "m")) \
+        .select("conv_id", "pos", F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+@query("fit_context")
+def q_fit_context(spark, sf):
+    t = FX.turns(spark, sf).withColumn("cost", CX.message_cost())
+    return CX.fit_context(t, FX.CONTEXT_MAX).select("conv_id", "turn", "role", "cost")
+
+
+# --- byte-variant encoding and arrays
+def _doc_ids(spark, sf):
+    return _docs(spark, sf).select("doc_id", B.byte_ids(F.col("text")).alias("input_ids"))
+
+
+def _sft_ids(spark, sf):
+    m = _messages(spark, sf)
+    return m.select("conv_id", B.byte_ids(CH.chatml_template(F.col("messages"))).alias("input_ids"))
+
+
+@query("nfc_normalize")
+def q_nfc_normalize(spark, sf):
+    return _docs(spark, sf).select("doc_id", B.nfc(F.col("text")).alias("text_nfc"))
+
+
+@query("special_token_counts")
+def q_special_token_counts(spark, sf):
+    occ = _docs(spark, sf).select(F.explode(B.special_token_counts(F.col("text"))).alias("token"))
+    ids = spark.createDataFrame([(t, i) for i, t in enumerate(C.SPECIAL_TOKENS)], "token string, id int")
+    return occ.groupBy("token").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(ids), "token") \
+        .select("token", "id", "n")
+
+
+@query("token_ids")
+def q_token_ids(spark, sf):
+    ids = _doc_ids(spark, sf).select(F.explode("input_ids").alias("id"))
+    return ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("is_special", F.col("id") < len(C.SPECIAL_TOKENS))
+
+
+@query("id_range_check")
+def q_id_range_check(spark, sf):
+    d = _doc_ids(spark, sf)
+    return d.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if(F.array_max("input_ids") >= B.BYTE_VOCAB_SIZE).alias("n_out_of_range"),
+                 F.max(F.array_max("input_ids")).alias("max_id"),
+                 F.lit(B.BYTE_VOCAB_SIZE).alias("vocab_size"))
+
+
+@query("tokenizer_efficiency")
+def q_tokenizer_efficiency(spark, sf):
+    d = _docs(spark, sf).select(F.length("text").alias("chars"), B.byte_token_count(F.col("text")).alias("toks"))
+    return d.agg(F.sum("chars").alias("total_chars"), F.sum("toks").alias("total_tokens")) \
+        .select(F.lit("byte").alias("tokenizer"), "total_chars", "total_tokens",
+                F.round(F.col("total_chars") / F.col("total_tokens"), 6).alias("chars_per_token"),
+                F.lit(B.BYTE_VOCAB_SIZE).alias("vocab_size"))
+
+
+@query("truncate_head")
+def q_truncate_head(spark, sf):
+    d = _doc_ids(spark, sf)
+    return d.select("doc_id", A.truncate_head(F.col("input_ids"), DOC_SEQ).alias("input_ids"))
+
+
+@query("truncate_tail")
+def q_truncate_tail(spark, sf):
+    return _sft_ids(spark, sf).select("conv_id", A.truncate_tail(F.col("input_ids"), SFT_MAX).alias("input_ids"))
+
+
+@query("pad_right_fixed")
+def q_pad_right_fixed(spark, sf):
+    d = _doc_ids(spark, sf)
+    return d.select("doc_id", A.pad_right(F.col("input_ids"), DOC_SEQ).alias("input_ids"),
+                    A.mask_right(F.col("input_ids"), DOC_SEQ).alias("attention_mask"))
+
+
+@query("labels_by_pad_id")
+def q_labels_by_pad_id(spark, sf):
+    d = _doc_ids(spark, sf)
+    return d.select("doc_id", A.labels_by_pad_id(A.pad_right(F.col("input_ids"), DOC_SEQ)).alias("labels"))
+
+
+def _doc_batches(spark, sf):
+    """Phase-2 style batches of 2: documents cut at 512 ids, seeded order."""
+    d = _doc_ids(spark, sf).select("doc_id", A.truncate_head(F.col("input_ids"), PHASE_SEQ).alias("input_ids"))
+    return O.assign_batches(O.seeded_shuffle(d, "doc_id"), "shuffle_idx", 2)
+
+
+@query("pad_right_dynamic")
+def q_pad_right_dynamic(spark, sf):
+    return BT.pad_right_dynamic(_doc_batches(spark, sf)).select("doc_id", "batch_id", "input_ids", "attention_mask")
+
+
+@query("labels_plain")
+def q_labels_plain(spark, sf):
+    p = BT.pad_right_dynamic(_doc_batches(spark, sf))
+    return p.select("doc_id", A.labels_plain(F.col("input_ids")).alias("labels"))
+
+
+def _chat_batches(spark, sf):
+    """Chat batches of 4 in seeded order."""
+    return O.assign_batches(O.seeded_shuffle(_sft_ids(spark, sf), "conv_id"), "shuffle_idx", 4)
+
+
+@query("pad_left_dynamic")
+def q_pad_left_dynamic(spark, sf):
+    return BT.pad_left_dynamic(_chat_batches(spark, sf), max_length=SFT_MAX) \
+        .select("conv_id", "batch_id", "input_ids", "attention_mask")
+
+
+@query("labels_masked")
+def q_labels_masked(spark, sf):
+    p = BT.pad_left_dynamic(_chat_batches(spark, sf), max_length=SFT_MAX)
+    return p.select("conv_id", A.labels_masked(F.col("input_ids"), F.col("attention_mask")).alias("labels"))
+
+
+@query("padding_waste")
+def q_padding_waste(spark, sf):
+    b = _chat_batches(spark, sf).select(
+        "batch_id", F.size(A.truncate_head(F.col("input_ids"), C.MODEL_MAX_LEN)).alias("length"))
+    return BT.padding_waste(b, fixed_length=C.MODEL_MAX_LEN)
