@@ -239,3 +239,67 @@ w AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn,
           AS suffix FROM t)
 SELECT conv_id, turn, role, cost FROM w
 WHERE rn = 1 OR rn = n OR first_cost + suffix + 11 <= {FX.CONTEXT_MAX}""")
+
+
+# ---------------------------------------------------------------------------
+# byte-variant encoding, arrays and padding
+# ---------------------------------------------------------------------------
+DOC_IDS = f"doc_ids AS (SELECT doc_id, {byte_ids_sql('text')} AS ids FROM documents)"
+TEMPLATE = ("string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>', '' ORDER BY turn)"
+            " || '<|im_start|>assistant' || chr(10)")
+SFT_IDS = (f"sft_text AS (SELECT conv_id, {TEMPLATE} AS t FROM conversations GROUP BY conv_id),\n"
+           f"sft_ids AS (SELECT conv_id, {byte_ids_sql('t')} AS ids FROM sft_text)")
+
+register("nfc_normalize", "SELECT doc_id, nfc_normalize(text) AS text_nfc FROM documents")
+register("special_token_counts", f"""
+WITH occ AS (SELECT unnest(regexp_extract_all(text, {SPECIAL_RE_SQL}, 1)) AS token FROM documents)
+SELECT token, CAST(list_position({_sql_list(SPECIAL_TOKENS)}, token) - 1 AS INTEGER) AS id, count(*) AS n
+FROM occ GROUP BY token""")
+register("token_ids", with_(DOC_IDS) + """
+SELECT id, count(*) AS n, id < 28 AS is_special FROM (SELECT unnest(ids) AS id FROM doc_ids) GROUP BY id""")
+register("id_range_check", with_(DOC_IDS) + """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE list_max(ids) >= 274) AS n_out_of_range,
+  max(list_max(ids)) AS max_id, 274 AS vocab_size FROM doc_ids""")
+register("tokenizer_efficiency", f"""
+SELECT 'byte' AS tokenizer, sum(length(text)) AS total_chars, sum({byte_count_sql('text')}) AS total_tokens,
+  round(sum(length(text)) / sum({byte_count_sql('text')}), 6) AS chars_per_token, 274 AS vocab_size
+FROM documents""")
+register("truncate_head", with_(DOC_IDS) + "SELECT doc_id, ids[1:2048] AS input_ids FROM doc_ids")
+register("truncate_tail", with_(SFT_IDS) + """
+SELECT conv_id, CASE WHEN len(ids) > 1024 THEN ids[len(ids) - 1023:] ELSE ids END AS input_ids FROM sft_ids""")
+register("pad_right_fixed", with_(DOC_IDS) + """
+SELECT doc_id, list_resize(ids[1:2048], 2048, 4) AS input_ids,
+  list_resize(list_transform(ids[1:2048], lambda x: 1), 2048, 0) AS attention_mask FROM doc_ids""")
+register("labels_by_pad_id", with_(DOC_IDS) + """
+SELECT doc_id, list_transform(list_resize(ids[1:2048], 2048, 4), lambda x: CASE WHEN x = 4 THEN -100 ELSE x END)
+  AS labels FROM doc_ids""")
+DOC_BATCHES = f"""doc_batches AS (
+  SELECT doc_id, ids[1:512] AS ids, ({order_idx('doc_id', '42')}) // 2 AS batch_id FROM doc_ids),
+doc_padded AS (
+  SELECT doc_id, batch_id, max(len(ids)) OVER (PARTITION BY batch_id) AS L, ids FROM doc_batches)"""
+register("pad_right_dynamic", with_(DOC_IDS, DOC_BATCHES) + """
+SELECT doc_id, batch_id, list_resize(ids, L, 4) AS input_ids,
+  list_resize(list_transform(ids, lambda x: 1), L, 0) AS attention_mask FROM doc_padded""")
+register("labels_plain", with_(DOC_IDS, DOC_BATCHES) + "SELECT doc_id, list_resize(ids, L, 4) AS labels FROM doc_padded")
+CHAT_BATCHES = f"""chat_ord AS (SELECT conv_id, ids, ({order_idx('conv_id', '42')}) // 4 AS batch_id FROM sft_ids),
+chat_batches AS (
+  SELECT conv_id, batch_id, CASE WHEN len(ids) > 1024 THEN ids[len(ids) - 1023:] ELSE ids END AS ids,
+    least(max(len(ids)) OVER (PARTITION BY batch_id), 1024) AS L FROM chat_ord),
+chat_padded AS (
+  SELECT conv_id, batch_id,
+    list_concat(list_transform(range(L - len(ids)), lambda x: 4), ids) AS input_ids,
+    list_concat(list_transform(range(L - len(ids)), lambda x: 0), list_transform(ids, lambda x: 1)) AS attention_mask
+  FROM chat_batches)"""
+register("pad_left_dynamic", with_(SFT_IDS, CHAT_BATCHES)
+         + "SELECT conv_id, batch_id, input_ids, attention_mask FROM chat_padded")
+register("labels_masked", with_(SFT_IDS, CHAT_BATCHES) + """
+SELECT conv_id, list_transform(list_zip(input_ids, attention_mask), lambda p: CASE WHEN p[2] = 0 THEN -100 ELSE p[1] END)
+  AS labels FROM chat_padded""")
+register("padding_waste", with_(SFT_IDS) + f"""
+, b AS (SELECT ({order_idx('conv_id', '42')}) // 4 AS batch_id, least(len(ids), 8192) AS length FROM sft_ids),
+pb AS (SELECT batch_id, count(*) AS rows, max(length) AS longest, sum(length) AS real FROM b GROUP BY batch_id),
+t AS (SELECT sum(rows) AS n_rows, sum(real) AS real_tokens, sum(rows * longest) AS dynamic_tokens FROM pb)
+SELECT n_rows, real_tokens, CAST(n_rows * 8192 AS BIGINT) AS fixed_tokens, CAST(dynamic_tokens AS BIGINT) AS dynamic_tokens,
+  round((1 - real_tokens / (n_rows * 8192)) * 100, 3) AS fixed_waste_pct,
+  round((1 - real_tokens / dynamic_tokens) * 100, 3) AS dynamic_waste_pct,
+  round(n_rows * 8192 / dynamic_tokens, 3) AS speedup FROM t""")
