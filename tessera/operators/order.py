@@ -62,15 +62,25 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int = C.SEED) -> DataFrame:
 
 
 # threshold filters (G2, G3) ---------------------------------------------
-def _nth_smallest(df: DataFrame, key: str, h: Column, n: int,
+def staged_keys(df: DataFrame, key: str) -> DataFrame:
+    """The key column, materialized once as a reliable checkpoint in the
+    shared checkpoint folder, so that counting and cutting do not re-run
+    the (possibly expensive) upstream plan."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.select(key).checkpoint(eager=True)
+
+
+def _nth_smallest(keys: DataFrame, key: str, salt: str, n: int,
                   hex_digits: int = DEFAULT_HEX_DIGITS):
     """The ``n``-th smallest ``(h, key)`` (1-based) or None when n covers
-    every row. Works on a narrow projection: bucket counts (at most
+    every row. Works on the key column only: bucket counts (at most
     ``16**hex_digits`` small rows reach the driver), then a window over the
     single bucket that holds the cut point."""
     if n <= 0:
         return ("", None)
-    narrow = df.select(F.col(key).alias("__k"), h.alias("__h")) \
+    h = shuffle_hash(F.col(key), salt)
+    narrow = keys.select(F.col(key).alias("__k"), h.alias("__h")) \
         .withColumn("__b", F.substring("__h", 1, hex_digits))
     counts = sorted((r["__b"], r["n"]) for r in
                     narrow.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).collect())
@@ -99,11 +109,10 @@ def first_n(df: DataFrame, key: str, n: int | None, seed: int | str = C.SEED) ->
     map-side filter on the rows (they are never shuffled)."""
     if n is None:
         return df
-    h = shuffle_hash(F.col(key), str(seed))
-    cut = _nth_smallest(df, key, h, int(n))
+    cut = _nth_smallest(staged_keys(df, key), key, str(seed), int(n))
     if cut is None:
         return df
-    return df.where(_at_or_before(h, F.col(key), cut))
+    return df.where(_at_or_before(shuffle_hash(F.col(key), str(seed)), F.col(key), cut))
 
 
 def train_test_split(df: DataFrame, key: str, test_fraction: float = C.TEST_FRACTION,
@@ -111,10 +120,11 @@ def train_test_split(df: DataFrame, key: str, test_fraction: float = C.TEST_FRAC
     """``split`` = 'test' for the first ``ceil(test_fraction * n)`` rows
     of a second seeded order (salt ``split-{seed}``), 'train' for the rest.
     Disjoint and complete by construction; rows are not shuffled."""
-    n = df.select(key).count()
+    keys = staged_keys(df, key)
+    n = keys.count()
     salt = f"split-{seed}"
+    cut = _nth_smallest(keys, key, salt, n_test_rows(n, test_fraction))
     h = shuffle_hash(F.col(key), salt)
-    cut = _nth_smallest(df, key, h, n_test_rows(n, test_fraction))
     is_test = F.lit(True) if cut is None else _at_or_before(h, F.col(key), cut)
     return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 

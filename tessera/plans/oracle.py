@@ -303,3 +303,106 @@ SELECT n_rows, real_tokens, CAST(n_rows * 8192 AS BIGINT) AS fixed_tokens, CAST(
   round((1 - real_tokens / (n_rows * 8192)) * 100, 3) AS fixed_waste_pct,
   round((1 - real_tokens / dynamic_tokens) * 100, 3) AS dynamic_waste_pct,
   round(n_rows * 8192 / dynamic_tokens, 3) AS speedup FROM t""")
+
+
+# ---------------------------------------------------------------------------
+# sources, gates, plans
+# ---------------------------------------------------------------------------
+TITLED = """CASE WHEN chapter_title IS NULL THEN concat('Chapter title: <untitled>', chr(10), chr(10), text)
+       WHEN regexp_replace(chapter_title, '^\\s+|\\s+$', '', 'g') = '' THEN text
+       ELSE concat('Chapter title: ', regexp_replace(chapter_title, '^\\s+|\\s+$', '', 'g'),
+                   chr(10), chr(10), text) END"""
+
+CLEAN = f"""kept AS (
+  SELECT s.* FROM stories s
+  WHERE length(s.author) > 0 AND length(s.text) > 0 AND s.average_views >= {FX.VIEWS_THRESHOLD}
+    AND NOT coalesce(list_has_any(s.warnings, {_sql_list(FX.BLOCKED_WARNINGS)}), false)
+    AND NOT coalesce(list_has_any(s.tags, {_sql_list(FX.BLOCKED_TAGS)}), false)
+    AND NOT EXISTS (SELECT 1 FROM excluded e WHERE e.author = s.author)),
+enc AS (SELECT doc_id, author, {byte_ids_sql(TITLED)} AS ids FROM kept),
+gated AS (SELECT doc_id, author, ids[1:{FX.MAX_TOKENS}] AS input_ids FROM enc WHERE len(ids) >= {FX.MIN_TOKENS}),
+{split_cte('gated', 'doc_id', name='clean')}"""
+
+register("read_corpus", "SELECT doc_id, lang, source, n_chars, text FROM documents")
+register("read_config", "SELECT doc_id, lang AS config FROM documents WHERE lang = 'en'")
+register("read_limited", "SELECT count(*) AS n_rows FROM (SELECT DISTINCT conv_id FROM conversations LIMIT 8000000)")
+register("long_story_filter", f"""
+SELECT doc_id, CAST({byte_count_sql('text')} AS INTEGER) AS token_length FROM documents
+WHERE doc_id % 3 = 0 AND {byte_count_sql('text')} > 1000""")
+register("length_gate", with_(STORIES) + f"""
+SELECT doc_id, {byte_count_sql(TITLED)} AS n_tokens FROM stories WHERE {byte_count_sql(TITLED)} >= {FX.MIN_TOKENS}""")
+register("fixed_length_corpus", with_(DOC_IDS) + """
+SELECT doc_id, list_resize(ids[1:512], 512, 4) AS input_ids,
+  list_resize(list_transform(ids[1:512], lambda x: 1), 512, 0) AS attention_mask,
+  CAST(least(len(ids), 512) AS INTEGER) AS n_real FROM doc_ids""")
+SFT = f"""sft_split AS (SELECT * FROM (SELECT DISTINCT conv_id FROM conversations)),
+{split_cte('sft_split', 'conv_id', name='sft_s')},
+{SFT_IDS.replace('FROM conversations GROUP BY conv_id', 'FROM conversations GROUP BY conv_id')},
+sft AS (SELECT i.conv_id, s.split, i.ids[1:8192] AS input_ids, CAST(least(len(i.ids), 8192) AS INTEGER) AS length
+        FROM sft_ids i JOIN sft_s s USING (conv_id))"""
+register("sft_corpus", with_(SFT) + "SELECT conv_id, split, input_ids, length FROM sft")
+register("length_summary", with_(SFT) + """
+SELECT min(length) AS min_length, max(length) AS max_length, round(avg(length), 6) AS mean_length,
+  count(*) FILTER (WHERE length > 4096) AS n_over_1, count(*) FILTER (WHERE length > 6144) AS n_over_2,
+  count(*) FILTER (WHERE length = 8192) AS n_at_max FROM sft WHERE split = 'train'""")
+register("clean_stories", with_(STORIES, FLAGGED, CLEAN) + """
+SELECT doc_id, input_ids, CAST(len(input_ids) AS INTEGER) AS length, author, split FROM clean""")
+register("stage_counts", with_(STORIES, FLAGGED) + f"""
+, gate AS (SELECT s.* FROM stories s
+  WHERE length(s.author) > 0 AND length(s.text) > 0 AND s.average_views >= {FX.VIEWS_THRESHOLD}
+    AND NOT coalesce(list_has_any(s.warnings, {_sql_list(FX.BLOCKED_WARNINGS)}), false)
+    AND NOT coalesce(list_has_any(s.tags, {_sql_list(FX.BLOCKED_TAGS)}), false)),
+ne AS (SELECT * FROM gate g WHERE NOT EXISTS (SELECT 1 FROM excluded e WHERE e.author = g.author))
+SELECT 'read' AS stage, (SELECT count(*) FROM stories) AS n_rows
+UNION ALL SELECT 'gate', (SELECT count(*) FROM gate)
+UNION ALL SELECT 'not_excluded', (SELECT count(*) FROM ne)
+UNION ALL SELECT 'length_ok', (SELECT count(*) FROM ne WHERE {byte_count_sql(TITLED)} >= {FX.MIN_TOKENS})""")
+register("write_splits", with_(STORIES, FLAGGED, CLEAN) + "SELECT split, count(*) AS n_rows FROM clean GROUP BY split")
+HEAD = """head AS (SELECT * FROM clean WHERE split = 'train'
+  ORDER BY md5(CAST(doc_id AS VARCHAR) || '|split-42'), doc_id LIMIT 1000)"""
+register("head_length_summary", with_(STORIES, FLAGGED, CLEAN, HEAD) + """
+SELECT count(*) AS n_rows, round(avg(len(input_ids)), 6) AS mean_length, max(len(input_ids)) AS max_length,
+  min(len(input_ids)) AS min_length, count(*) FILTER (WHERE len(input_ids) < 100) AS n_short FROM head""")
+register("saved_corpus_check", with_(STORIES, FLAGGED, CLEAN, HEAD) + """
+SELECT 'n_train' AS metric, CAST(count(*) FILTER (WHERE split = 'train') AS DOUBLE) AS value FROM clean
+UNION ALL SELECT 'n_test', count(*) FILTER (WHERE split = 'test') FROM clean
+UNION ALL SELECT 'n_out_of_range', count(*) FILTER (WHERE list_max(input_ids) >= 274) FROM clean
+UNION ALL SELECT 'head_n_rows', count(*) FROM head
+UNION ALL SELECT 'head_mean_length', round(avg(len(input_ids)), 6) FROM head
+UNION ALL SELECT 'head_max_length', max(len(input_ids)) FROM head
+UNION ALL SELECT 'head_min_length', min(len(input_ids)) FROM head
+UNION ALL SELECT 'head_n_short', count(*) FILTER (WHERE len(input_ids) < 100) FROM head""")
+register("corpus_manifest", with_(split_cte("documents", "doc_id")) + """
+SELECT 'cosmopedia-v2' AS source, count(*) FILTER (WHERE split = 'train') AS n_train,
+  count(*) FILTER (WHERE split = 'test') AS n_test, 512 AS seq_len, 256 AS effective_batch FROM splits""")
+register("phase_corpus", f"""
+WITH sel AS (SELECT doc_id, text FROM (SELECT doc_id, text, {order_idx('doc_id', '42')} AS i
+                                      FROM documents WHERE lang = 'en') WHERE i < 20000000),
+{split_cte('sel', 'doc_id', name='ps')},
+enc AS (SELECT doc_id, split, {byte_ids_sql('text')} AS ids FROM ps)
+SELECT doc_id, split, list_resize(ids[1:512], 512, 4) AS input_ids,
+  list_resize(list_transform(ids[1:512], lambda x: 1), 512, 0) AS attention_mask FROM enc""")
+register("long_story_corpus", f"""
+WITH sel AS (SELECT doc_id, text FROM documents WHERE doc_id % 3 = 0 AND {byte_count_sql('text')} > 1000),
+{split_cte('sel', 'doc_id', name='ls')},
+enc AS (SELECT doc_id, split, {byte_ids_sql('text')} AS ids FROM ls)
+SELECT doc_id, split, list_resize(ids[1:2048], 2048, 4) AS input_ids,
+  list_resize(list_transform(ids[1:2048], lambda x: 1), 2048, 0) AS attention_mask FROM enc""")
+register("sft_batches", with_(SFT) + f"""
+, tr AS (SELECT conv_id, input_ids AS ids, length, {order_idx('conv_id', '42')} AS i FROM sft WHERE split = 'train'),
+g AS (SELECT *, i // 200 AS mb, row_number() OVER (PARTITION BY i // 200 ORDER BY length DESC, i) - 1 AS pos FROM tr),
+b AS (SELECT conv_id, ids, CAST(mb * 50 + pos // 4 AS BIGINT) AS batch_id, CAST(pos % 4 AS INTEGER) AS row_in_batch FROM g),
+c AS (SELECT *, least(max(len(ids)) OVER (PARTITION BY batch_id), 8192) AS L FROM b),
+p AS (SELECT conv_id, batch_id, row_in_batch,
+        list_concat(list_transform(range(L - len(ids)), lambda x: 4), ids) AS input_ids,
+        list_concat(list_transform(range(L - len(ids)), lambda x: 0), list_transform(ids, lambda x: 1)) AS attention_mask
+      FROM c)
+SELECT conv_id, batch_id, row_in_batch, input_ids, attention_mask,
+  list_transform(list_zip(input_ids, attention_mask), lambda q: CASE WHEN q[2] = 0 THEN -100 ELSE q[1] END) AS labels
+FROM p""")
+register("story_batches", with_(STORIES, FLAGGED, CLEAN) + f"""
+, tr AS (SELECT doc_id, input_ids AS ids, {order_idx('doc_id', '42')} AS i FROM clean WHERE split = 'train'),
+b AS (SELECT *, CAST(i // 2 AS BIGINT) AS batch_id, CAST(i % 2 AS INTEGER) AS row_in_batch FROM tr),
+c AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS L FROM b)
+SELECT doc_id, batch_id, row_in_batch, list_resize(ids, L, 4) AS input_ids,
+  list_resize(list_transform(ids, lambda x: 1), L, 0) AS attention_mask, list_resize(ids, L, 4) AS labels FROM c""")

@@ -319,3 +319,167 @@ def q_padding_waste(spark, sf):
     b = _chat_batches(spark, sf).select(
         "batch_id", F.size(A.truncate_head(F.col("input_ids"), C.MODEL_MAX_LEN)).alias("length"))
     return BT.padding_waste(b, fixed_length=C.MODEL_MAX_LEN)
+
+
+# --- sources, gates and plans (S1-S4, S9, A4-A6, P4, P5, T12, T13, X1-X8) ---
+from ..operators import stats as ST  # noqa: E402
+from ..session import checkpoint_dir  # noqa: E402
+from ..sources import tables as TB  # noqa: E402
+from ..sources.schemas import CORPUS  # noqa: E402
+from . import corpus as X  # noqa: E402
+
+DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+SFT_MAX_LENGTH = C.MODEL_MAX_LEN
+NUM_SAMPLES = 8_000_000
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _clean(spark, sf):
+    return X.clean_stories(FX.stories(spark, sf), _excluded(spark, sf), min_tokens=FX.MIN_TOKENS,
+                           max_tokens=FX.MAX_TOKENS, blocked_tags=FX.BLOCKED_TAGS,
+                           blocked_warnings=FX.BLOCKED_WARNINGS, min_views=FX.VIEWS_THRESHOLD)
+
+
+@query("read_corpus")
+def q_read_corpus(spark, sf):
+    return TB.read_corpus(spark, TB.table_path(sf, "documents"), schema=_ddl(DOC_SCHEMA)) \
+        .select("doc_id", "lang", "source", "n_chars", "text")
+
+
+def _ddl(s):
+    from pyspark.sql.types import _parse_datatype_string
+    return _parse_datatype_string(s)
+
+
+@query("read_config")
+def q_read_config(spark, sf):
+    """Corpus written with a ``config=`` partition folder per language, then
+    one config read back: the filter prunes the other folders."""
+    path = _scratch(spark, "corpus-by-config")
+    FX.corpus(spark, sf, with_token_length=False).write.partitionBy("config").parquet(path)
+    return TB.read_config(path, "en", spark).select("doc_id", "config")
+
+
+@query("read_limited")
+def q_read_limited(spark, sf):
+    conv = FX.messages(spark, sf)
+    return TB.read_limited(conv, NUM_SAMPLES).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("long_story_filter")
+def q_long_story_filter(spark, sf):
+    return G.long_story(FX.corpus(spark, sf)).select("doc_id", "token_length")
+
+
+@query("length_gate")
+def q_length_gate(spark, sf):
+    st = FX.stories(spark, sf).select("doc_id", B.byte_token_count(G.titled_text()).alias("n_tokens"))
+    return st.where(F.col("n_tokens") >= FX.MIN_TOKENS)
+
+
+@query("fixed_length_corpus")
+def q_fixed_length_corpus(spark, sf):
+    d = _docs(spark, sf).select("doc_id", "text")
+    return X.fixed_length(d, "text", PHASE_SEQ).select(
+        "doc_id", "input_ids", "attention_mask", F.aggregate("attention_mask", F.lit(0), lambda a, m: a + m)
+        .alias("n_real"))
+
+
+def _sft(spark, sf):
+    return X.sft_corpus(FX.messages(spark, sf), C.PHASES["sft"][1], SFT_MAX_LENGTH)
+
+
+@query("sft_corpus")
+def q_sft_corpus(spark, sf):
+    return _sft(spark, sf)
+
+
+@query("length_summary")
+def q_length_summary(spark, sf):
+    return ST.length_summary(_sft(spark, sf).where(F.col("split") == "train"), max_length=SFT_MAX_LENGTH)
+
+
+@query("author_audit")
+def q_author_audit(spark, sf):
+    return X.author_audit(FX.stories(spark, sf), [FX.FLAG_PATTERN], FX.BLOCKED_TAGS, FX.BLOCKED_WARNINGS,
+                          FX.VIEWS_THRESHOLD)
+
+
+@query("clean_stories")
+def q_clean_stories(spark, sf):
+    return _clean(spark, sf)
+
+
+@query("stage_counts")
+def q_stage_counts(spark, sf):
+    """Rows after each step of the clean-story build, counted with
+    observations on the running plan (one job, no extra passes)."""
+    st = FX.stories(spark, sf)
+    st, o_read = ST.observe_rows(st, "read")
+    kept = st.where(G.prepare_keep(blocked_tags=FX.BLOCKED_TAGS, blocked_warnings=FX.BLOCKED_WARNINGS,
+                                   min_views=FX.VIEWS_THRESHOLD))
+    kept, o_gate = ST.observe_rows(kept, "gate")
+    kept = AU.exclude_authors(kept, _excluded(spark, sf))
+    kept, o_excl = ST.observe_rows(kept, "not_excluded")
+    n = kept.select(B.byte_token_count(G.titled_text()).alias("n"))
+    long_, o_len = ST.observe_rows(n.where(F.col("n") >= FX.MIN_TOKENS), "length_ok")
+    long_.write.format("noop").mode("overwrite").save()
+    vals = [o_read.get["rows"], o_gate.get["rows"], o_excl.get["rows"], o_len.get["rows"]]
+    names = ["read", "gate", "not_excluded", "length_ok"]
+    return spark.createDataFrame(list(zip(names, vals)), "stage string, n_rows long")
+
+
+@query("write_splits")
+def q_write_splits(spark, sf):
+    path = _scratch(spark, "clean-stories")
+    TB.write_splits(_clean(spark, sf), path)
+    return O.split_sizes(TB.read_split(spark, path))
+
+
+@query("head_length_summary")
+def q_head_length_summary(spark, sf):
+    path = _scratch(spark, "clean-stories")
+    TB.write_splits(_clean(spark, sf), path)
+    return ST.head_length_summary(ST.head_rows(TB.read_split(spark, path, "train"), "doc_id"))
+
+
+@query("saved_corpus_check")
+def q_saved_corpus_check(spark, sf):
+    path = _scratch(spark, "clean-stories")
+    TB.write_splits(_clean(spark, sf), path)
+    return X.validate_saved(TB.read_split(spark, path), B.BYTE_VOCAB_SIZE)
+
+
+@query("corpus_manifest")
+def q_corpus_manifest(spark, sf):
+    cfg, _, seq, frac, bs, acc, _, _ = C.PHASES["phase1"]
+    split = O.train_test_split(_docs(spark, sf).select("doc_id"), "doc_id", frac)
+    return ST.corpus_manifest(split, cfg, seq, bs, acc)
+
+
+@query("phase_corpus")
+def q_phase_corpus(spark, sf):
+    cfg, n, seq, frac, *_ = C.PHASES["phase1"]
+    return X.phase_corpus(FX.corpus(spark, sf, with_token_length=False), "en", n, PHASE_SEQ, frac)
+
+
+@query("long_story_corpus")
+def q_long_story_corpus(spark, sf):
+    frac = C.PHASES["phase4"][3]
+    return X.long_story_corpus(FX.corpus(spark, sf), None, DOC_SEQ, test_fraction=frac)
+
+
+@query("sft_batches")
+def q_sft_batches(spark, sf):
+    sft = _sft(spark, sf).where(F.col("split") == "train")
+    return X.chat_batches(sft, C.PHASES["sft"][4], SFT_MAX_LENGTH)
+
+
+@query("story_batches")
+def q_story_batches(spark, sf):
+    clean = _clean(spark, sf).where(F.col("split") == "train")
+    return X.doc_batches(clean, C.PHASES["phase2"][4])
