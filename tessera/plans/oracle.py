@@ -406,3 +406,11 @@ b AS (SELECT *, CAST(i // 2 AS BIGINT) AS batch_id, CAST(i % 2 AS INTEGER) AS ro
 c AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS L FROM b)
 SELECT doc_id, batch_id, row_in_batch, list_resize(ids, L, 4) AS input_ids,
   list_resize(list_transform(ids, lambda x: 1), L, 0) AS attention_mask, list_resize(ids, L, 4) AS labels FROM c""")
+
+
+# ---------------------------------------------------------------------------
+# tokenizer queries that SQL can express (byte variant, specials)
+# ---------------------------------------------------------------------------
+register("encode_bytes", with_(DOC_IDS) + "SELECT doc_id, ids AS input_ids FROM doc_ids")
+register("decode_column", "SELECT doc_id, nfc_normalize(text) AS text FROM documents")
+_SPECIAL_ROWS = ", ".join(f"({_sql_str(t)}, {i})" for i, t in enumerate(SPECIAL_TOKENS))

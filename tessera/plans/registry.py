@@ -483,3 +483,146 @@ def q_sft_batches(spark, sf):
 def q_story_batches(spark, sf):
     clean = _clean(spark, sf).where(F.col("split") == "train")
     return X.doc_batches(clean, C.PHASES["phase2"][4])
+
+
+# --- tokenizer: pre-tokens, words, BPE training, encode/decode, checks -------
+# (T3-T10, T14, A8-A10, G8, S8, X3)
+from ..operators.tokenizer import checks as TC  # noqa: E402
+from ..operators.tokenizer import encode as TE  # noqa: E402
+from ..operators.tokenizer import train as TT  # noqa: E402
+
+BPE_VOCAB = 352          # trained vocabulary for the registered queries
+BPE_SMALL = 320          # a smaller model: the first merges of the same run
+_MODELS: dict = {}
+
+
+def _training_texts(spark, sf):
+    """Tokenizer corpus: conversations in the training ChatML format."""
+    return TB.read_limited(FX.messages(spark, sf), NUM_SAMPLES) \
+        .select("conv_id", CH.chatml_train(F.col("messages")).alias("text"))
+
+
+def trained_model(spark, sf, vocab_size: int = BPE_VOCAB) -> TT.BPEModel:
+    key = (spark.sparkContext.applicationId, sf, vocab_size)
+    if key not in _MODELS:
+        _MODELS[key] = TT.train_bpe(_training_texts(spark, sf), vocab_size=vocab_size)
+    return _MODELS[key]
+
+
+def prefix_model(model: TT.BPEModel, vocab_size: int) -> TT.BPEModel:
+    """The model a shorter run of the same training would give."""
+    vocab = model.vocab[:vocab_size]
+    known = set(vocab)
+    merges = []
+    for a, b in model.merges:
+        if a + b not in known:
+            break
+        merges.append((a, b))
+    return TT.BPEModel(vocab, merges, model.n_specials, model.samples)
+
+
+def _tokenizers(spark, sf):
+    big = trained_model(spark, sf)
+    small = prefix_model(big, BPE_SMALL)
+    byte = TT.byte_model()
+    return {"byte": (TE.encoder(byte), byte.vocab_size),
+            f"bpe{small.vocab_size}": (TE.encoder(small), small.vocab_size),
+            f"bpe{big.vocab_size}": (TE.encoder(big), big.vocab_size)}
+
+
+@query("pretokenize")
+def q_pretokenize(spark, sf):
+    d = _docs(spark, sf).select("doc_id", B.encoding_words(F.col("text")).alias("w"))
+    return d.select("doc_id", F.posexplode("w").alias("pos", "word"))
+
+
+@query("word_counts")
+def q_word_counts(spark, sf):
+    return TT.word_counts(_training_texts(spark, sf))
+
+
+@query("base_alphabet")
+def q_base_alphabet(spark, sf):
+    return TT.base_alphabet(TT.word_counts(_training_texts(spark, sf)))
+
+
+@query("bpe_train")
+def q_bpe_train(spark, sf):
+    m = trained_model(spark, sf)
+    return spark.createDataFrame([(i, a, b, a + b) for i, (a, b) in enumerate(m.merges)],
+                                 "rank int, left string, right string, token string")
+
+
+@query("tokenizer_build")
+def q_tokenizer_build(spark, sf):
+    m = trained_model(spark, sf)
+    return spark.createDataFrame([(i, t, i < m.n_specials) for i, t in enumerate(m.vocab)],
+                                 "id int, token string, is_special boolean")
+
+
+@query("tokenizer_stats")
+def q_tokenizer_stats(spark, sf):
+    m = trained_model(spark, sf)
+    return spark.createDataFrame(
+        [(t, i, m.vocab_size, int(m.samples)) for i, t in enumerate(m.vocab[:m.n_specials])],
+        "token string, id int, vocab_size int, samples long")
+
+
+@query("encode_bytes")
+def q_encode_bytes(spark, sf):
+    return _doc_ids(spark, sf)
+
+
+@query("encode_column")
+def q_encode_column(spark, sf):
+    enc = TE.encoder(trained_model(spark, sf))
+    return _docs(spark, sf).select("doc_id", enc(F.col("text")).alias("input_ids"))
+
+
+@query("decode_column")
+def q_decode_column(spark, sf):
+    dec = TE.decoder(TT.byte_model())
+    return _doc_ids(spark, sf).select("doc_id", dec(F.col("input_ids")).alias("text"))
+
+
+@query("decode_bpe")
+def q_decode_bpe(spark, sf):
+    m = trained_model(spark, sf)
+    enc, dec = TE.encoder(m), TE.decoder(m, skip_special=True)
+    return _docs(spark, sf).select("doc_id", dec(enc(F.col("text"))).alias("text"))
+
+
+@query("tokenizer_checks")
+def q_tokenizer_checks(spark, sf):
+    m = trained_model(spark, sf)
+    t = _training_texts(spark, sf)
+    return TC.tokenizer_checks(t, "text", TE.encoder(m), TE.decoder(m), m)
+
+
+@query("decode_preview")
+def q_decode_preview(spark, sf):
+    sample = O.sample_k(_clean(spark, sf).where(F.col("split") == "train"), "doc_id", 5)
+    dec = TE.decoder(TT.byte_model())
+    return sample.select("doc_id", "length", dec(F.col("input_ids")).alias("text"))
+
+
+@query("single_token_coverage")
+def q_single_token_coverage(spark, sf):
+    """Share of the corpus's distinct words (letters only, leading space
+    removed) that each tokenizer encodes as one token."""
+    words = _docs(spark, sf).select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0)).alias("term")) \
+        .distinct()
+    return TC.single_token_coverage(words, "term", _tokenizers(spark, sf))
+
+
+@query("token_counts_by_class")
+def q_token_counts_by_class(spark, sf):
+    docs = _docs(spark, sf).select(F.col("lang").alias("cls"), "text")
+    chats = _training_texts(spark, sf).select(F.lit("chat").alias("cls"), "text")
+    return TC.token_counts_by_class(docs.unionByName(chats), "text", "cls", _tokenizers(spark, sf))
+
+
+@query("tokenizer_ranking")
+def q_tokenizer_ranking(spark, sf):
+    eff = TC.efficiency(_docs(spark, sf).select("text"), "text", _tokenizers(spark, sf))
+    return TC.ranking(eff)

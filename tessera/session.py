@@ -52,3 +52,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers (needed only by the
+    Arrow/pandas UDFs): zip the package into the shared checkpoint folder
+    once per session and register it with ``addPyFile``. Jobs submitted
+    with ``--py-files`` already have it; then this is a no-op."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    import io
+    import uuid
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    target = f"{checkpoint_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex[:8]}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    sc._tessera_shipped = True
