@@ -414,3 +414,4 @@ SELECT doc_id, batch_id, row_in_batch, list_resize(ids, L, 4) AS input_ids,
 register("encode_bytes", with_(DOC_IDS) + "SELECT doc_id, ids AS input_ids FROM doc_ids")
 register("decode_column", "SELECT doc_id, nfc_normalize(text) AS text FROM documents")
 _SPECIAL_ROWS = ", ".join(f"({_sql_str(t)}, {i})" for i, t in enumerate(SPECIAL_TOKENS))
+register("stream_chatml", ORACLE["chatml_train"])

@@ -626,3 +626,14 @@ def q_token_counts_by_class(spark, sf):
 def q_tokenizer_ranking(spark, sf):
     eff = TC.efficiency(_docs(spark, sf).select("text"), "text", _tokenizers(spark, sf))
     return TC.ranking(eff)
+
+
+# --- streaming (ST1) -------------------------------------------------------------
+from ..streaming import chatml_stream as SS  # noqa: E402
+
+
+@query("stream_chatml")
+def q_stream_chatml(spark, sf):
+    base = _scratch(spark, "stream")
+    FX.messages(spark, sf).write.parquet(f"{base}/source")
+    return SS.drain(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
