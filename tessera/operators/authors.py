@@ -107,13 +107,23 @@ def top_flagged(stats: DataFrame, k: int = C.TOP_FLAGGED) -> DataFrame:
 
 
 # J1 -----------------------------------------------------------------------
-def exclude_authors(df: DataFrame, excluded: DataFrame, column: str = "author") -> DataFrame:
-    """Left anti-join on the author name. No broadcast hint: the exclusion
-    list grows with the corpus, so Spark chooses -- a broadcast hash join
-    when the list's measured size is under the broadcast threshold (AQE
-    re-checks at run time), a shuffle join otherwise."""
-    return df.join(excluded.select(F.col(column).alias("__excluded")).distinct(),
-                   F.col(column) == F.col("__excluded"), "left_anti")
+MAX_BROADCAST_AUTHORS = 2_000_000   # ~100 MB of names at most
+
+
+def exclude_authors(df: DataFrame, excluded: DataFrame, column: str = "author",
+                    max_broadcast_rows: int = MAX_BROADCAST_AUTHORS) -> DataFrame:
+    """Left anti-join on the author name.
+
+    The exclusion list grows with the corpus (it is an aggregate over
+    authors), so its size is checked first: under ``max_broadcast_rows``
+    distinct names it is broadcast and the chapters are never shuffled;
+    above it the join is a shuffle join, where AQE's skew handling splits
+    a hot author's partition on the chapter side."""
+    ex = excluded.select(F.col(column).alias("__excluded")).distinct()
+    n = ex.count()
+    if n <= max_broadcast_rows:
+        ex = F.broadcast(ex)
+    return df.join(ex, F.col(column) == F.col("__excluded"), "left_anti")
 
 
 def exclusion_list(flagged: DataFrame) -> DataFrame:

@@ -39,6 +39,33 @@ def pad_left_dynamic(df: DataFrame, ids: str = "input_ids", batch: str = "batch_
             .drop("__L"))
 
 
+# narrow batch plans ---------------------------------------------------------
+def batch_lengths(assign: DataFrame, length: str = "length", batch: str = "batch_id",
+                  max_length: int | None = None) -> DataFrame:
+    """On a narrow (key, batch, length) frame: add ``pad_to``, the longest
+    row of the batch (capped at ``max_length``). Padding the wide rows then
+    needs no window: join this back by key and pad row by row, so the token
+    arrays are shuffled once (for the join) instead of once per window."""
+    longest = F.max(length).over(Window.partitionBy(batch))
+    if max_length is not None:
+        longest = F.least(longest, F.lit(max_length))
+    return assign.withColumn("pad_to", longest.cast("int"))
+
+
+def pad_rows_left(df: DataFrame, ids: str = "input_ids", pad_to: str = "pad_to",
+                  max_length: int = C.MODEL_MAX_LEN, pad_id: int = C.PAD_ID) -> DataFrame:
+    cut = A.truncate_tail(F.col(ids), max_length)
+    return (df.withColumn(ids, cut)
+            .withColumn("attention_mask", A.mask_left(F.col(ids), F.col(pad_to)))
+            .withColumn(ids, A.pad_left(F.col(ids), F.col(pad_to), pad_id)))
+
+
+def pad_rows_right(df: DataFrame, ids: str = "input_ids", pad_to: str = "pad_to",
+                   pad_id: int = C.PAD_ID) -> DataFrame:
+    return (df.withColumn("attention_mask", A.mask_right(F.col(ids), F.col(pad_to)))
+            .withColumn(ids, A.pad_right(F.col(ids), F.col(pad_to), pad_id)))
+
+
 # A11 ----------------------------------------------------------------------
 def padding_waste(df: DataFrame, length: str = "length", batch: str = "batch_id",
                   fixed_length: int = C.MODEL_MAX_LEN) -> DataFrame:

@@ -1,11 +1,12 @@
 """Encoding and decoding with a trained model.
 
-Encoding: the JVM does everything but the merges -- special tokens cut
-out, NFC, byte-level pre-tokens, byte symbols, numeric symbols isolated
-(:func:`tessera.functions.bytelevel.encoding_words`). Only the per-word
-merge loop runs in Python, as an Arrow-batched pandas UDF with a per-worker
-word cache (corpus words are Zipf-distributed, so almost every word is a
-cache hit). No shuffle: encoding is a map-side projection.
+Encoding: the JVM cuts out special tokens, normalizes (NFC) and splits
+into byte-level pre-tokens (:func:`tessera.functions.bytelevel.raw_pretokens`).
+Each pre-token then needs its byte symbols, the numeric split and the merge
+loop; that runs in Python, as an Arrow UDF (whole Arrow batches) with a per-worker
+cache keyed by the pre-token, so it is done once per *distinct* word
+(corpus words are Zipf-distributed; almost every lookup is a hit). No
+shuffle: encoding is a map-side projection.
 
 Decoding is JVM-only: ids -> tokens through an array literal of the
 vocabulary (bounded by the vocabulary size), byte symbols -> UTF-8.
@@ -15,7 +16,9 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,37 +48,85 @@ def encoder(model: BPEModel):
     vocab, merges = list(model.vocab), list(model.merges)
     specials = set(vocab[:model.n_specials])
 
-    @F.pandas_udf("array<int>")
-    def encode_words(words: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<int>")
+    def encode_words(words: pa.Array) -> pa.Array:
+        if isinstance(words, pa.ChunkedArray):
+            words = words.combine_chunks()
         state = _CACHE.get(key)
         if state is None:
             tok_id = {t: i for i, t in enumerate(vocab)}
             state = {"ranks": {(a, b): i for i, (a, b) in enumerate(merges)}, "tok_id": tok_id,
                      "unk": tok_id[C.UNK], "words": {}}
             _CACHE[key] = state
-        ranks, tok_id, unk, cache = state["ranks"], state["tok_id"], state["unk"], state["words"]
-        out = []
-        for ws in words:
-            if ws is None:
-                out.append(None)
-                continue
-            ids: list[int] = []
-            for w in ws:
-                r = cache.get(w)
-                if r is None:
-                    r = [tok_id[w]] if w in specials else _merge(w, ranks, tok_id, unk)
-                    if len(cache) < _CACHE_LIMIT:
-                        cache[w] = r
-                ids.extend(r)
-            out.append(ids)
-        return pd.Series(out)
+        return _encode_batch(words, state, specials)
 
     def encode(text: Column) -> Column:
-        return encode_words(B.encoding_words(text))
+        return encode_words(B.raw_pretokens(text))
 
     return encode
 
 
+def _encode_batch(words: pa.ListArray, state: dict, specials: set) -> pa.Array:
+    """Encode one Arrow batch of pre-token lists. Python touches each
+    *distinct* pre-token of the batch once (and only on a cache miss does
+    it run the merges); the per-occurrence expansion is vectorized."""
+    ranks, tok_id, unk, cache = state["ranks"], state["tok_id"], state["unk"], state["words"]
+    flat = words.flatten()
+    enc = pc.dictionary_encode(flat)
+    uniques = enc.dictionary.to_pylist()
+    codes = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    uniq_ids = []
+    for w in uniques:
+        r = cache.get(w)
+        if r is None:
+            if w in specials:
+                r = [tok_id[w]]
+            else:
+                r = []
+                for piece in _pieces(w):
+                    r.extend(_merge(piece, ranks, tok_id, unk))
+            if len(cache) < _CACHE_LIMIT:
+                cache[w] = r
+        uniq_ids.append(r)
+    u_len = np.fromiter((len(r) for r in uniq_ids), dtype=np.int64, count=len(uniq_ids))
+    u_off = np.zeros(len(uniq_ids) + 1, dtype=np.int64)
+    np.cumsum(u_len, out=u_off[1:])
+    u_flat = np.fromiter((i for r in uniq_ids for i in r), dtype=np.int32, count=int(u_off[-1]))
+    lens = u_len[codes] if len(codes) else np.zeros(0, dtype=np.int64)
+    total = int(lens.sum())
+    occ_end = np.cumsum(lens)
+    idx = (np.arange(total, dtype=np.int64) - np.repeat(occ_end - lens, lens)
+           + np.repeat(u_off[:-1][codes] if len(codes) else np.zeros(0, dtype=np.int64), lens))
+    out_flat = u_flat[idx] if total else np.zeros(0, dtype=np.int32)
+    # row offsets: token offsets of the input mapped through the running id count
+    tok_off = words.offsets.to_numpy(zero_copy_only=False).astype(np.int64) - words.offsets[0].as_py()
+    run = np.zeros(len(lens) + 1, dtype=np.int64)
+    np.cumsum(lens, out=run[1:])
+    out_off = pa.array(run[tok_off].astype(np.int32))
+    return pa.ListArray.from_arrays(out_off, pa.array(out_flat, type=pa.int32()), mask=words.is_null())
+
+
+_B2S = B.byte_to_symbol()
+_NUMERIC = set(B.NUMERIC_SYMBOLS)
+
+
+def _pieces(raw: str) -> list[str]:
+    """Byte symbols of a raw pre-token, numeric symbols standing alone."""
+    out, cur = [], []
+    for b in raw.encode("utf-8"):
+        s = _B2S[b]
+        if s in _NUMERIC:
+            if cur:
+                out.append("".join(cur))
+                cur = []
+            out.append(s)
+        else:
+            cur.append(s)
+    if cur:
+        out.append("".join(cur))
+    return out
+
+
 def _merge(word: str, ranks: dict, tok_id: dict, unk: int) -> list[int]:
     """Merge a word's symbols by rank: repeatedly the lowest-rank adjacent
     pair, every non-overlapping occurrence from the left; symbols outside

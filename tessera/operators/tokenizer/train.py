@@ -37,9 +37,14 @@ from ...session import checkpoint_dir
 # T4 -----------------------------------------------------------------------
 def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): training pre-token words in byte-symbol form, counted over
-    the whole corpus (partial counts per task, then one shuffle)."""
-    return (texts.select(F.explode(B.training_words(F.col(text))).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    the whole corpus. Raw pre-tokens are counted first (partial counts per
+    task, one shuffle); the byte mapping and numeric split then run once per
+    distinct pre-token, and a second small aggregation merges words that
+    several pre-tokens share."""
+    raw = (texts.select(F.explode(B.pretokenize(B.nfc(F.col(text)))).alias("raw"))
+           .groupBy("raw").agg(F.count(F.lit(1)).alias("n")))
+    return (raw.select(F.explode(B.word_pieces(F.col("raw"))).alias("word"), "n")
+            .groupBy("word").agg(F.sum("n").alias("n")))
 
 
 # T5 -----------------------------------------------------------------------

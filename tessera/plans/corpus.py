@@ -102,20 +102,28 @@ def sft_corpus(conversations: DataFrame, n_rows: int | None, max_length: int,
 
 def chat_batches(sft: DataFrame, batch_size: int, max_length: int, key: str = "conv_id",
                  seed: int = C.SEED) -> DataFrame:
-    """X7 (chat): length-grouped batches, left padding, masked labels."""
-    idx = O.seeded_shuffle(sft.select(key, "input_ids", "length"), key, seed)
-    b = O.length_grouped_batches(idx, "shuffle_idx", "length", batch_size)
-    p = BT.pad_left_dynamic(b, max_length=max_length)
+    """X7 (chat): length-grouped batches, left padding, masked labels.
+
+    Batch membership and batch maxima are planned on (key, length) only;
+    the token arrays join that plan once and are padded row by row. ``sft``
+    is read twice (narrow, then wide), so pass a saved table: the narrow
+    read is then a two-column scan."""
+    narrow = O.seeded_shuffle(sft.select(key, "length"), key, seed)
+    plan = O.length_grouped_batches(narrow, "shuffle_idx", "length", batch_size)
+    plan = BT.batch_lengths(plan, max_length=max_length).select(key, "batch_id", "row_in_batch", "pad_to")
+    p = BT.pad_rows_left(sft.select(key, "input_ids").join(plan, key), max_length=max_length)
     return p.select(key, "batch_id", "row_in_batch", "input_ids", "attention_mask",
                     A.labels_masked(F.col("input_ids"), F.col("attention_mask")).alias("labels"))
 
 
 def doc_batches(samples: DataFrame, batch_size: int, key: str = "doc_id", seed: int = C.SEED) -> DataFrame:
     """X7 (documents): seeded batches, right padding to the batch maximum,
-    labels a plain copy."""
-    idx = O.seeded_shuffle(samples.select(key, "input_ids"), key, seed)
-    b = O.assign_batches(idx, "shuffle_idx", batch_size)
-    p = BT.pad_right_dynamic(b)
+    labels a plain copy. Planned on (key, length) like :func:`chat_batches`."""
+    length = F.col("length") if "length" in samples.columns else F.size("input_ids")
+    narrow = O.seeded_shuffle(samples.select(key, length.alias("length")), key, seed)
+    plan = BT.batch_lengths(O.assign_batches(narrow, "shuffle_idx", batch_size)) \
+        .select(key, "batch_id", "row_in_batch", "pad_to")
+    p = BT.pad_rows_right(samples.select(key, "input_ids").join(plan, key))
     return p.select(key, "batch_id", "row_in_batch", "input_ids", "attention_mask",
                     A.labels_plain(F.col("input_ids")).alias("labels"))
 

@@ -415,3 +415,4 @@ register("encode_bytes", with_(DOC_IDS) + "SELECT doc_id, ids AS input_ids FROM
 register("decode_column", "SELECT doc_id, nfc_normalize(text) AS text FROM documents")
 _SPECIAL_ROWS = ", ".join(f"({_sql_str(t)}, {i})" for i, t in enumerate(SPECIAL_TOKENS))
 register("stream_chatml", ORACLE["chatml_train"])
+register("exclusion_list", with_(STORIES, FLAGGED) + "SELECT author FROM excluded")

@@ -473,15 +473,23 @@ def q_long_story_corpus(spark, sf):
     return X.long_story_corpus(FX.corpus(spark, sf), None, DOC_SEQ, test_fraction=frac)
 
 
+def _saved(spark, df, name):
+    """Save a split corpus (S4) and read it back (S5), as the training
+    steps do."""
+    path = _scratch(spark, name)
+    TB.write_splits(df, path)
+    return TB.read_split(spark, path, "train")
+
+
 @query("sft_batches")
 def q_sft_batches(spark, sf):
-    sft = _sft(spark, sf).where(F.col("split") == "train")
+    sft = _saved(spark, _sft(spark, sf), "sft")
     return X.chat_batches(sft, C.PHASES["sft"][4], SFT_MAX_LENGTH)
 
 
 @query("story_batches")
 def q_story_batches(spark, sf):
-    clean = _clean(spark, sf).where(F.col("split") == "train")
+    clean = _saved(spark, _clean(spark, sf), "clean-stories")
     return X.doc_batches(clean, C.PHASES["phase2"][4])
 
 
@@ -555,9 +563,19 @@ def q_bpe_train(spark, sf):
 
 @query("tokenizer_build")
 def q_tokenizer_build(spark, sf):
+    """X3 + S8: train, write the artefacts (vocab, merges, stats JSON), read
+    the vocabulary back."""
     m = trained_model(spark, sf)
-    return spark.createDataFrame([(i, t, i < m.n_specials) for i, t in enumerate(m.vocab)],
-                                 "id int, token string, is_special boolean")
+    vocab = spark.createDataFrame([(i, t, i < m.n_specials) for i, t in enumerate(m.vocab)],
+                                  "id int, token string, is_special boolean")
+    merges = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(m.merges)],
+                                   "rank int, left string, right string")
+    stats = {"tokenizer_type": C.TOKENIZER_TYPE, "vocab_size": m.vocab_size, "dataset": sf,
+             "samples": int(m.samples),
+             "special_tokens": {t: i for i, t in enumerate(m.vocab[:m.n_specials])}}
+    path = _scratch(spark, "tokenizer")
+    TB.write_tokenizer(vocab, merges, stats, path)
+    return spark.read.parquet(f"{path}/vocab")
 
 
 @query("tokenizer_stats")
@@ -637,3 +655,12 @@ def q_stream_chatml(spark, sf):
     base = _scratch(spark, "stream")
     FX.messages(spark, sf).write.parquet(f"{base}/source")
     return SS.drain(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
+
+
+@query("exclusion_list")
+def q_exclusion_list(spark, sf):
+    """S6 + S7: the flagged authors written one per line, read back
+    (stripped, blanks dropped, distinct)."""
+    path = _scratch(spark, "excluded-authors")
+    TB.write_exclusions(AU.flagged_authors(_stats(spark, sf)), path)
+    return TB.read_exclusions(spark, path)
