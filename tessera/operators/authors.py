@@ -38,9 +38,11 @@ def author_stats(flagged: DataFrame) -> DataFrame:
 
 
 # A2 -----------------------------------------------------------------------
-def flag_rule(total=F.col("total"), bad=F.col("bad")):
+def flag_rule(total=None, bad=None):
     """``total < 3 or bad >= 2 or bad / total > 0.1``; the ratio clause is
     only reached with ``total >= 3``."""
+    total = F.col("total") if total is None else total
+    bad = F.col("bad") if bad is None else bad
     return ((total < C.FLAG_MIN_TOTAL) | (bad >= C.FLAG_MIN_BAD)
             | (bad / total > C.FLAG_MAX_RATIO))
 

@@ -36,7 +36,7 @@ def seed_system(messages_df: DataFrame, prompt: str = C.DEFAULT_SYSTEM_PROMPT,
     one (an empty conversation becomes just the system message)."""
     m = F.col(column)
     sys_msg = F.array(F.struct(F.lit("system").alias("role"), F.lit(prompt).alias("content")))
-    starts_with_system = F.coalesce(F.element_at(m, 1)["role"] == "system", F.lit(False))
+    starts_with_system = F.coalesce(F.try_element_at(m, F.lit(1))["role"] == "system", F.lit(False))
     empty = F.array().cast("array<struct<role:string,content:string>>")
     return messages_df.withColumn(column, F.when(starts_with_system, m)
                                   .otherwise(F.concat(sys_msg, F.coalesce(m, empty))))
@@ -57,10 +57,12 @@ def trim_history(turns: DataFrame, keep_last: int = C.HISTORY_KEEP_LAST,
 
 
 # W1 -----------------------------------------------------------------------
-def message_cost(role=F.col("role"), content=F.col("content")):
+def message_cost(role=None, content=None):
     """Tokens of one chat-template message (byte variant). Messages are
     delimited by special tokens, so prompt cost is the sum of these plus
     the assistant header."""
+    role = F.col("role") if role is None else role
+    content = F.col("content") if content is None else content
     return byte_token_count(template_piece(role, content))
 
 

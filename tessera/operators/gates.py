@@ -27,14 +27,21 @@ def overlaps(arr: Column, values: Sequence[str]) -> Column:
 
 
 # P1 -----------------------------------------------------------------------
-def audit_skip(author: Column = F.col("author"), text: Column = F.col("text"),
-               tags: Column = F.col("tags"), warnings: Column = F.col("warnings"),
-               views: Column = F.col("average_views"),
+def _cols(**named):
+    """Column arguments default to the record's column of the same name."""
+    return [F.col(default) if c is None else c for default, c in named.items()]
+
+
+def audit_skip(author: Column | None = None, text: Column | None = None,
+               tags: Column | None = None, warnings: Column | None = None,
+               views: Column | None = None,
                blocked_tags: Sequence[str] = C.EXCLUDE_GENRES,
                blocked_warnings: Sequence[str] = C.EXCLUDE_WARNINGS,
                min_views: float = C.MIN_VIEWS) -> Column:
     """Audit gate: skip when author or text is null, a tag or warning is
     blocked, or views are below the threshold (missing views count as 0)."""
+    author, text, tags, warnings, views = _cols(author=author, text=text, tags=tags, warnings=warnings,
+                                                average_views=views)
     return (author.isNull() | text.isNull()
             | overlaps(tags, blocked_tags) | overlaps(warnings, blocked_warnings)
             | (F.coalesce(views, F.lit(0.0)) < F.lit(min_views)))
@@ -60,9 +67,9 @@ def pattern_flag(text: Column, patterns: Sequence[str], skip: Column | None = No
 
 
 # P2 -----------------------------------------------------------------------
-def prepare_keep(author: Column = F.col("author"), text: Column = F.col("text"),
-                 tags: Column = F.col("tags"), warnings: Column = F.col("warnings"),
-                 views: Column = F.col("average_views"),
+def prepare_keep(author: Column | None = None, text: Column | None = None,
+                 tags: Column | None = None, warnings: Column | None = None,
+                 views: Column | None = None,
                  blocked_tags: Sequence[str] = C.EXCLUDE_GENRES,
                  blocked_warnings: Sequence[str] = C.EXCLUDE_WARNINGS,
                  min_views: float = C.MIN_VIEWS) -> Column:
@@ -71,6 +78,8 @@ def prepare_keep(author: Column = F.col("author"), text: Column = F.col("text"),
     and no blocked tag or warning. The views comparison is written without
     a ``coalesce`` so that it reaches the Parquet scan as a pushed filter
     (a NULL view fails it, the same as 0)."""
+    author, text, tags, warnings, views = _cols(author=author, text=text, tags=tags, warnings=warnings,
+                                                average_views=views)
     return ((F.length(author) > 0) & (F.length(text) > 0)
             & (views >= F.lit(float(min_views)))
             & ~overlaps(warnings, blocked_warnings) & ~overlaps(tags, blocked_tags))
@@ -101,9 +110,10 @@ def py_rstrip(s: Column) -> Column:
     return F.regexp_replace(s, r"(?U)[\s\x1c-\x1f]+$", "")
 
 
-def titled_text(text: Column = F.col("text"), title: Column = F.col("chapter_title")) -> Column:
+def titled_text(text: Column | None = None, title: Column | None = None) -> Column:
     """``Chapter title: {t}\\n\\n{text}`` with ``t`` the stripped title (a
     null title reads ``<untitled>``); an empty title leaves the text alone."""
+    text, title = _cols(text=text, chapter_title=title)
     t = F.when(title.isNull(), F.lit(C.UNTITLED)).otherwise(py_strip(title))
     return F.when(t == "", text).otherwise(
         F.concat(F.lit(C.TITLE_TEMPLATE_PREFIX), t, F.lit("\n\n"), text))

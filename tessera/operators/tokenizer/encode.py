@@ -161,7 +161,7 @@ def decoder(model: BPEModel, skip_special: bool = False):
 
     def decode(ids: Column) -> Column:
         keep = F.filter(ids, lambda i: i >= n_spec) if skip_special else ids
-        toks = F.transform(keep, lambda i: F.coalesce(F.element_at(vocab_arr, i + 1), F.lit("")))
+        toks = F.transform(keep, lambda i: F.coalesce(F.try_element_at(vocab_arr, i + 1), F.lit("")))
         return B.from_symbols(F.array_join(toks, ""))
 
     return decode
