@@ -90,33 +90,49 @@ class _Candidate:
 
 
 def accept_round(cands: list[_Candidate], max_as_right: dict[int, int], max_as_left: dict[int, int],
-                 budget: int, min_frequency: int) -> list[_Candidate]:
+                 budget: int, min_frequency: int,
+                 context_max: dict[tuple[int, int], int] | None = None) -> list[_Candidate]:
     """Choose the merges of one round so that they are exactly the next
     merges one-at-a-time training would make.
 
-    ``cands`` are the best pairs in (count desc, left id, right id) order.
-    The first is always the next merge. A later one is accepted only while
-    (a) it shares no symbol with an accepted pair -- then merging those did
-    not change its count -- and (b) its count is strictly greater than
-    ``bound``, an upper limit for the count of any pair a merge of this
-    round can create: merging (a, b) with count c creates pairs (x, ab) with
-    count <= min(c, max count of (., a)) and (ab, y) with count <=
-    min(c, max count of (b, .)). Stop at the first failure, after a pair
-    (a, a) (its overlaps make counts irregular). The candidates are an exact
-    prefix of the global order (Spark sorts by count and ids), so pairs not
-    fetched can never come first."""
+    ``cands`` are the best pairs in (count desc, left id, right id) order;
+    they are an exact prefix of the global order (Spark sorts by count and
+    ids), so pairs not fetched can never come first. The first candidate is
+    always the next merge. A later candidate (l, r) is accepted only while
+
+    (a) no accepted merge (a, b) changed its count. Merging (a, b), a != b,
+        rewrites exactly the occurrences of ``a b``; the only other pairs
+        it touches are (x, a) with that ``a`` and (b, y) with that ``b``.
+        So (l, r) keeps its count unless r is the left symbol or l is the
+        right symbol of an accepted merge;
+    (b) its count is strictly greater than ``bound``, an upper limit for the
+        count of any pair the round's merges create. Every occurrence of a
+        created pair maps to a distinct occurrence, before the round, of a
+        trigram (x, a, b) or (a, b, y) of an accepted merge -- also when the
+        neighbour is itself merged this round, through its outer original
+        symbol -- so the largest such trigram count bounds them all
+        (``context_max``); without it, min(c, max count of (., a)) and
+        min(c, max count of (b, .)) do.
+
+    Stop at the first failure, and after a pair (a, a), whose overlapping
+    occurrences make counts irregular."""
     out: list[_Candidate] = []
-    used: set[int] = set()
+    lefts: set[int] = set()
+    rights: set[int] = set()
     bound = 0
     for c in cands:
         if c.count < min_frequency or len(out) >= budget:
             break
-        if out and (c.left in used or c.right in used or c.count <= bound):
+        if out and (c.right in lefts or c.left in rights or c.count <= bound):
             break
         out.append(c)
-        used.update((c.left, c.right))
-        bound = max(bound, min(c.count, max_as_right.get(c.left, 0)),
-                    min(c.count, max_as_left.get(c.right, 0)))
+        lefts.add(c.left)
+        rights.add(c.right)
+        if context_max is not None and (c.left, c.right) in context_max:
+            bound = max(bound, context_max[(c.left, c.right)])
+        else:
+            bound = max(bound, min(c.count, max_as_right.get(c.left, 0)),
+                        min(c.count, max_as_left.get(c.right, 0)))
         if c.left == c.right:
             break
     return out
@@ -131,17 +147,49 @@ def _pairs(words: DataFrame) -> DataFrame:
             .groupBy("l", "r").agg(F.sum("cnt").alias("c")))
 
 
+def _context_max(words: DataFrame, pairs: DataFrame, top_n: int) -> DataFrame:
+    """For the ``top_n`` best pairs (a, b): the largest count of a trigram
+    (x, a, b) or (a, b, y) over the words, as rows (kind='X', l=a, r=b, c).
+    The candidate list is a bounded broadcast (``top_n`` rows)."""
+    a = F.transform(F.split("sym", " "), lambda x: x.cast("int"))
+    n = F.size(a)
+    occ = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(
+        F.element_at(a, i + 1).alias("l"), F.element_at(a, i + 2).alias("r"),
+        F.when(i > 0, F.element_at(a, F.greatest(i, F.lit(1)))).alias("x"),
+        F.when(i + 2 < n, F.element_at(a, F.least(i + 3, n))).alias("y")))
+    top = pairs.orderBy(F.desc("c"), "l", "r").limit(top_n).select("l", "r")
+    rows = (words.where(F.size(F.split("sym", " ")) >= 3)
+            .select(F.explode(occ).alias("o"), "cnt").select("o.*", "cnt")
+            .join(F.broadcast(top), ["l", "r"]))
+    ctx = rows.select("l", "r", F.explode(F.array(
+        F.struct(F.lit("x").alias("side"), F.col("x").alias("z")),
+        F.struct(F.lit("y").alias("side"), F.col("y").alias("z")))).alias("t"), "cnt") \
+        .where(F.col("t.z").isNotNull())
+    tri = ctx.groupBy("l", "r", "t.side", "t.z").agg(F.sum("cnt").alias("c"))
+    return tri.groupBy("l", "r").agg(F.max("c").alias("c")) \
+        .select(F.lit("X").alias("kind"), "l", "r", "c")
+
+
 def _merge_expr(sym: Column, merges: list[tuple[int, int, int]]) -> Column:
     for l, r, new in merges:
         sym = F.regexp_replace(sym, f"(?<=^| ){l} {r}(?= |$)", str(new))
     return sym
 
 
+def _with_zero_context(cands: list[_Candidate], context: dict, top_n: int) -> dict:
+    """Context maxima for the first ``top_n`` candidates; a candidate there
+    without any trigram row creates no new pair (bound 0)."""
+    out = {}
+    for c in cands[:top_n]:
+        out[(c.left, c.right)] = context.get((c.left, c.right), 0)
+    return out
+
+
 def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "text",
               min_frequency: int = C.MIN_FREQUENCY, special_tokens: list[str] = C.SPECIAL_TOKENS,
               initial_alphabet: list[str] = C.DIGITS, candidates: int = 2000,
               checkpoint_every: int = 10, approx_merges_per_round: int | None = None,
-              max_rounds: int | None = None) -> BPEModel:
+              max_rounds: int | None = None, context_candidates: int = 256) -> BPEModel:
     """Learn a byte-level BPE vocabulary of ``vocab_size`` tokens (specials
     included) from a text column.
 
@@ -184,7 +232,8 @@ def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "tex
             F.struct(F.lit("L").alias("kind"), F.col("l").alias("s"), "c"))).alias("x")) \
             .groupBy("x.kind", "x.s").agg(F.max("x.c").alias("c")) \
             .select("kind", F.col("s").alias("l"), F.lit(None).cast("int").alias("r"), "c")
-        rows = top.unionByName(bounds).collect()
+        ctx = _context_max(words, pairs, context_candidates)
+        rows = top.unionByName(bounds).unionByName(ctx).collect()
         if previous is not None:
             previous.unpersist()      # ``words`` is cached now; its parent can go
             previous = None
@@ -205,7 +254,9 @@ def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "tex
                 chosen.append(c)
                 used.update((c.left, c.right))
         else:
-            chosen = accept_round(cands, max_as_right, max_as_left, budget, min_frequency)
+            context = {(int(r["l"]), int(r["r"])): int(r["c"]) for r in rows if r["kind"] == "X"}
+            chosen = accept_round(cands, max_as_right, max_as_left, budget, min_frequency,
+                                  _with_zero_context(cands, context, context_candidates))
         if not chosen:
             break
         applied = []

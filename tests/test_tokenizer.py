@@ -132,3 +132,15 @@ def test_accept_round_rule():
     # a pair created by the first merge could reach 9: stop before (3,4)
     got = TT.accept_round(cands, {1: 9}, {}, 100, 2)
     assert [(x.left, x.right) for x in got] == [(1, 2)]
+
+
+def test_accept_round_shared_symbols_and_context():
+    c = TT._Candidate
+    # (1, 5) shares the left symbol of (1, 2): merging (1, 2) does not touch
+    # "1 5", so it is accepted; (7, 1) has 1 on the right: its count may drop
+    cands = [c(10, 1, 2), c(9, 1, 5), c(8, 7, 1)]
+    got = TT.accept_round(cands, {1: 10}, {2: 10, 5: 10}, 100, 2, context_max={(1, 2): 3, (1, 5): 2})
+    assert [(x.left, x.right) for x in got] == [(1, 2), (1, 5)]
+    # a created pair that could reach the next count stops the round
+    got = TT.accept_round(cands, {}, {}, 100, 2, context_max={(1, 2): 9, (1, 5): 0})
+    assert [(x.left, x.right) for x in got] == [(1, 2)]
