@@ -151,14 +151,16 @@ def _context_max(words: DataFrame, pairs: DataFrame, top_n: int) -> DataFrame:
     """For the ``top_n`` best pairs (a, b): the largest count of a trigram
     (x, a, b) or (a, b, y) over the words, as rows (kind='X', l=a, r=b, c).
     The candidate list is a bounded broadcast (``top_n`` rows)."""
-    a = F.transform(F.split("sym", " "), lambda x: x.cast("int"))
-    n = F.size(a)
+    # the id array is a column first: a lambda must not capture an
+    # expression (Spark would re-evaluate it for every element)
+    a, n = F.col("ids"), F.size("ids")
     occ = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(
         F.element_at(a, i + 1).alias("l"), F.element_at(a, i + 2).alias("r"),
         F.when(i > 0, F.element_at(a, F.greatest(i, F.lit(1)))).alias("x"),
         F.when(i + 2 < n, F.element_at(a, F.least(i + 3, n))).alias("y")))
     top = pairs.orderBy(F.desc("c"), "l", "r").limit(top_n).select("l", "r")
-    rows = (words.where(F.size(F.split("sym", " ")) >= 3)
+    rows = (words.select(F.transform(F.split("sym", " "), lambda x: x.cast("int")).alias("ids"), "cnt")
+            .where(F.size("ids") >= 3)
             .select(F.explode(occ).alias("o"), "cnt").select("o.*", "cnt")
             .join(F.broadcast(top), ["l", "r"]))
     ctx = rows.select("l", "r", F.explode(F.array(
@@ -189,7 +191,7 @@ def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "tex
               min_frequency: int = C.MIN_FREQUENCY, special_tokens: list[str] = C.SPECIAL_TOKENS,
               initial_alphabet: list[str] = C.DIGITS, candidates: int = 2000,
               checkpoint_every: int = 10, approx_merges_per_round: int | None = None,
-              max_rounds: int | None = None, context_candidates: int = 256) -> BPEModel:
+              max_rounds: int | None = None, context_candidates: int = 32) -> BPEModel:
     """Learn a byte-level BPE vocabulary of ``vocab_size`` tokens (specials
     included) from a text column.
 
