@@ -197,7 +197,7 @@ register("step_budget", with_(split_cte("documents", "doc_id")) + """
 p(phase, bs, acc, ep, sec) AS (VALUES ('phase1', 16, 16, 2, NULL), ('phase2', 2, 64, 3, NULL),
   ('phase3', 8, 32, 1, 2.5), ('phase4', 8, 32, 1, 2.5), ('phase5', 8, 32, 1, 2.5), ('sft', 4, 64, 3, 3.0))
 SELECT phase, n_train, bs * acc AS effective_batch, CAST(n_train // (bs * acc) * ep AS BIGINT) AS total_steps,
-  round(n_train // (bs * acc) * ep * sec / 60, 3) AS minutes
+  CAST(round(n_train // (bs * acc) * ep * CAST(sec AS DOUBLE) / 60, 3) AS DOUBLE) AS minutes
 FROM n, p""")
 
 # ---------------------------------------------------------------------------
@@ -261,7 +261,8 @@ register("id_range_check", with_(DOC_IDS) + """
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE list_max(ids) >= 274) AS n_out_of_range,
   max(list_max(ids)) AS max_id, 274 AS vocab_size FROM doc_ids""")
 register("tokenizer_efficiency", f"""
-SELECT 'byte' AS tokenizer, sum(length(text)) AS total_chars, sum({byte_count_sql('text')}) AS total_tokens,
+SELECT 'byte' AS tokenizer, CAST(sum(length(text)) AS BIGINT) AS total_chars,
+  CAST(sum({byte_count_sql('text')}) AS BIGINT) AS total_tokens,
   round(sum(length(text)) / sum({byte_count_sql('text')}), 6) AS chars_per_token, 274 AS vocab_size
 FROM documents""")
 register("truncate_head", with_(DOC_IDS) + "SELECT doc_id, ids[1:2048] AS input_ids FROM doc_ids")
@@ -298,7 +299,8 @@ SELECT conv_id, list_transform(list_zip(input_ids, attention_mask), lambda p: CA
 register("padding_waste", with_(SFT_IDS) + f"""
 , b AS (SELECT ({order_idx('conv_id', '42')}) // 4 AS batch_id, least(len(ids), 8192) AS length FROM sft_ids),
 pb AS (SELECT batch_id, count(*) AS rows, max(length) AS longest, sum(length) AS real FROM b GROUP BY batch_id),
-t AS (SELECT sum(rows) AS n_rows, sum(real) AS real_tokens, sum(rows * longest) AS dynamic_tokens FROM pb)
+t AS (SELECT CAST(sum(rows) AS BIGINT) AS n_rows, CAST(sum(real) AS BIGINT) AS real_tokens,
+        CAST(sum(rows * longest) AS BIGINT) AS dynamic_tokens FROM pb)
 SELECT n_rows, real_tokens, CAST(n_rows * 8192 AS BIGINT) AS fixed_tokens, CAST(dynamic_tokens AS BIGINT) AS dynamic_tokens,
   round((1 - real_tokens / (n_rows * 8192)) * 100, 3) AS fixed_waste_pct,
   round((1 - real_tokens / dynamic_tokens) * 100, 3) AS dynamic_waste_pct,
@@ -361,8 +363,9 @@ register("write_splits", with_(STORIES, FLAGGED, CLEAN) + "SELECT split, count(*
 HEAD = """head AS (SELECT * FROM clean WHERE split = 'train'
   ORDER BY md5(CAST(doc_id AS VARCHAR) || '|split-42'), doc_id LIMIT 1000)"""
 register("head_length_summary", with_(STORIES, FLAGGED, CLEAN, HEAD) + """
-SELECT count(*) AS n_rows, round(avg(len(input_ids)), 6) AS mean_length, max(len(input_ids)) AS max_length,
-  min(len(input_ids)) AS min_length, count(*) FILTER (WHERE len(input_ids) < 100) AS n_short FROM head""")
+SELECT count(*) AS n_rows, round(avg(len(input_ids)), 6) AS mean_length,
+  CAST(max(len(input_ids)) AS INTEGER) AS max_length, CAST(min(len(input_ids)) AS INTEGER) AS min_length,
+  count(*) FILTER (WHERE len(input_ids) < 100) AS n_short FROM head""")
 register("saved_corpus_check", with_(STORIES, FLAGGED, CLEAN, HEAD) + """
 SELECT 'n_train' AS metric, CAST(count(*) FILTER (WHERE split = 'train') AS DOUBLE) AS value FROM clean
 UNION ALL SELECT 'n_test', count(*) FILTER (WHERE split = 'test') FROM clean
