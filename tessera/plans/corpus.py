@@ -31,6 +31,7 @@ from ..operators import batching as BT
 from ..operators import gates as G
 from ..operators import order as O
 from ..operators import stats as ST
+from ..session import checkpoint_dir
 
 Encoder = Callable[[Column], Column]
 
@@ -60,6 +61,11 @@ def clean_stories(stories: DataFrame, excluded: DataFrame, encode: Encoder = B.b
     enc = enc.where(F.size("__ids") >= min_tokens) \
         .select(key, "author", A.truncate_head(F.col("__ids"), max_tokens).alias("input_ids"))
     enc = enc.withColumn("length", F.size("input_ids"))
+    # encode once: the split reads the keys and then the rows, so the encoded
+    # corpus is written once as a reliable checkpoint in the shared folder
+    # (it survives executor loss; the original also saves it at this point)
+    checkpoint_dir(enc.sparkSession)
+    enc = enc.checkpoint(eager=True)
     return O.train_test_split(enc, key, test_fraction).select(key, "input_ids", "length", "author", "split")
 
 
