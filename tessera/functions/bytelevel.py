@@ -152,8 +152,48 @@ def special_token_counts(text: Column) -> Column:
 _ICU = "com.ibm.icu.text.Normalizer"
 
 
+_HAS_ICU: bool | None = None
+
+
+def _icu_available() -> bool:
+    global _HAS_ICU
+    if _HAS_ICU is None:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+        try:
+            spark.sparkContext._jvm.java.lang.Class.forName(_ICU)
+            _HAS_ICU = True
+        except Exception:  # noqa: BLE001 - any failure means "not on the classpath"
+            _HAS_ICU = False
+    return _HAS_ICU
+
+
 def nfc(s: Column) -> Column:
-    return F.when(s.isNotNull(), F.reflect(F.lit(_ICU), F.lit("compose"), s, F.lit(False)))
+    """NFC in the JVM (ICU4J); where ICU4J is not on the classpath, a small
+    Arrow UDF with Python's ``unicodedata`` (already-normalized strings are
+    passed through after a quick check)."""
+    if _icu_available():
+        return F.when(s.isNotNull(), F.reflect(F.lit(_ICU), F.lit("compose"), s, F.lit(False)))
+    global _NFC_UDF
+    from pyspark.sql import SparkSession
+    from ..session import ship_package
+    ship_package(SparkSession.getActiveSession())
+    if _NFC_UDF is None:
+        _NFC_UDF = F.arrow_udf("string")(_nfc_py)
+    return _NFC_UDF(s)
+
+
+def _nfc_py(arr):
+    import unicodedata
+
+    import pyarrow as pa
+    vals = arr.to_pylist()
+    out = [v if v is None or v.isascii() or unicodedata.is_normalized("NFC", v)
+           else unicodedata.normalize("NFC", v) for v in vals]
+    return pa.array(out, type=pa.string())
+
+
+_NFC_UDF = None
 
 
 def nfc_each(a: Column) -> Column:

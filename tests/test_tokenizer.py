@@ -144,3 +144,18 @@ def test_accept_round_shared_symbols_and_context():
     # a created pair that could reach the next count stops the round
     got = TT.accept_round(cands, {}, {}, 100, 2, context_max={(1, 2): 9, (1, 5): 0})
     assert [(x.left, x.right) for x in got] == [(1, 2)]
+
+
+def test_nfc_fallback_matches_icu(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
+    extra = spark.createDataFrame([("é ≠ Å",), (None,)], "text string")
+    df = docs.unionByName(extra)
+    icu = [r[0] for r in df.select(B.nfc(F.col("text"))).collect()]
+    saved = B._HAS_ICU
+    try:
+        B._HAS_ICU = False
+        py = [r[0] for r in df.select(B.nfc(F.col("text"))).collect()]
+    finally:
+        B._HAS_ICU = saved
+    assert icu == py
+    assert icu[-2] == unicodedata.normalize("NFC", "é ≠ Å")
