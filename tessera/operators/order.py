@@ -1,19 +1,20 @@
 """Deterministic global order: seeded shuffle, take, split, batches, sample
 (G1-G6, A7).
 
-All of them share :func:`global_index`: the position of each row in the
-order ``md5(key || '|' || salt), key``. It is computed without a global
-single-partition sort or window:
-
-1. ``h = md5(...)``; ``bucket`` = the first ``hex_digits`` hex digits of h
-   (uniform, so no bucket is hot even if the data is skewed elsewhere);
-2. ``groupBy(bucket).count()`` -- at most ``16**hex_digits`` rows -- and a
-   running sum over those bucket counts gives each bucket's offset;
-3. the offset table (bounded size) is broadcast and joined to the rows;
-4. ``row_number() over (partition by bucket order by h, key)`` + offset.
-
-The hash order is Spark/DuckDB portable (both produce lowercase hex md5),
-so results can be checked against ``row_number() over (order by md5, key)``.
+The order is ``md5(key || '|' || salt), key`` -- portable to DuckDB (both
+produce lowercase hex md5), so results are checked against
+``row_number() over (order by md5, key)``. Nothing here sorts or windows
+the whole table in one partition.
+
+* Take N and the train/test split only need a *cut point*: the key column
+  is staged once (reliable checkpoint), bucket counts over the first
+  ``hex_digits`` hex digits of the hash (<= 16**hex_digits rows) locate the
+  bucket holding the N-th row, and a window over that one bucket finds the
+  exact cut. The rows are then filtered map-side and never shuffled.
+* A full position index (batches) is ``row_number()`` within each bucket
+  plus the bucket's offset from a running sum over the bucket counts; the
+  offset table is bounded by construction and broadcast.
+* Sampling k rows is a TakeOrdered on the hash (k rows per task).
 """
 
 from __future__ import annotations

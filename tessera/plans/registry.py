@@ -325,7 +325,6 @@ def q_padding_waste(spark, sf):
 from ..operators import stats as ST  # noqa: E402
 from ..session import checkpoint_dir  # noqa: E402
 from ..sources import tables as TB  # noqa: E402
-from ..sources.schemas import CORPUS  # noqa: E402
 from . import corpus as X  # noqa: E402
 
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -346,15 +345,10 @@ def _clean(spark, sf):
 
 @query("read_corpus")
 def q_read_corpus(spark, sf):
-    return TB.read_corpus(spark, TB.table_path(sf, "documents"), schema=_ddl(DOC_SCHEMA)) \
+    return TB.read_corpus(spark, TB.table_path(sf, "documents"), schema=DOC_SCHEMA) \
         .select("doc_id", "lang", "source", "n_chars", "text")
 
 
-def _ddl(s):
-    from pyspark.sql.types import _parse_datatype_string
-    return _parse_datatype_string(s)
-
-
 @query("read_config")
 def q_read_config(spark, sf):
     """Corpus written with a ``config=`` partition folder per language, then

@@ -19,7 +19,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # S1 -------------------------------------------------------------------------
-def read_corpus(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Load a corpus split. With a schema, the scan reads only those columns
     and fails on a type mismatch instead of inferring."""
     reader = spark.read
