@@ -58,7 +58,6 @@ CODE_TEST_FRACTION = 0.005
 # Chat context handling
 HISTORY_KEEP_LAST = 39
 HISTORY_MAX = 40
-DEFAULT_SYSTEM_PROMPT = "You are Pyr, a helpful AI assistant."
 
 # Length statistics thresholds
 LEN_OVER_1 = 4096
@@ -83,6 +82,10 @@ LONG_STORY_MIN_TOKENS = 1000
 # end of FIXED VALUES
 # ---------------------------------------------------------------------------
 
+# Default system message for conversations that lack one (a parameter of
+# seed_system; not a fixed value)
+DEFAULT_SYSTEM_PROMPT = "You are a helpful AI assistant."
+
 SPECIAL_IDS = {tok: i for i, tok in enumerate(SPECIAL_TOKENS)}
 PAD_ID = SPECIAL_IDS[PAD]
 UNK_ID = SPECIAL_IDS[UNK]

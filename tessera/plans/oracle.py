@@ -223,7 +223,7 @@ WHERE n <= {FX.TRIM_KEEP_LAST} + 1 OR rn = 1 OR rn > n - {FX.TRIM_KEEP_LAST}""")
 register("seed_system", """
 WITH c AS (SELECT conv_id, turn, role, text,
              first(role ORDER BY turn) OVER (PARTITION BY conv_id) AS first_role FROM conversations)
-SELECT conv_id, CAST(0 AS INTEGER) AS pos, 'system' AS role, 'You are Pyr, a helpful AI assistant.' AS content
+SELECT conv_id, CAST(0 AS INTEGER) AS pos, 'system' AS role, 'You are a helpful AI assistant.' AS content
 FROM c GROUP BY conv_id HAVING any_value(first_role) <> 'system'
 UNION ALL
 SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1
