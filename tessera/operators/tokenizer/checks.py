@@ -46,19 +46,30 @@ def tokenizer_checks(texts: DataFrame, text: str, encode, decode, model: BPEMode
                      F.count_if("rt_fail").alias("n_roundtrip_fail"))
 
 
+def _sizes(texts: DataFrame, text: str, tokenizers: dict, keep: list[str]) -> DataFrame:
+    """One pass: the token count of every tokenizer side by side."""
+    cols = [F.size(encode(F.col(text))).alias(f"__n{i}") for i, (encode, _) in enumerate(tokenizers.values())]
+    return texts.select(*keep, F.length(text).alias("__chars"), *cols)
+
+
+def _long(one: DataFrame, tokenizers: dict, fields: list[str], keys: list[str]) -> DataFrame:
+    """Wide per-tokenizer columns -> one row per tokenizer."""
+    rows = [F.struct(F.lit(name).alias("tokenizer"), F.lit(vsize).alias("vocab_size"),
+                     *[F.col(f"{f}{i}").alias(f) for f in fields])
+            for i, (name, (_, vsize)) in enumerate(tokenizers.items())]
+    return one.select(*keys, F.explode(F.array(*rows)).alias("t")).select(*keys, "t.*")
+
+
 def efficiency(texts: DataFrame, text: str, tokenizers: dict) -> DataFrame:
     """Per tokenizer total chars, total tokens, chars per token, vocab
-    size. ``tokenizers`` maps name -> (encode, vocab_size). One pass per
-    tokenizer, unioned."""
-    out = None
-    for name, (encode, vsize) in tokenizers.items():
-        part = texts.select(F.length(text).alias("chars"), F.size(encode(F.col(text))).alias("toks")) \
-            .agg(F.sum("chars").alias("total_chars"), F.sum("toks").alias("total_tokens")) \
-            .select(F.lit(name).alias("tokenizer"), "total_chars", "total_tokens",
-                    F.round(F.col("total_chars") / F.col("total_tokens"), 6).alias("chars_per_token"),
-                    F.lit(vsize).alias("vocab_size"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    size. ``tokenizers`` maps name -> (encode, vocab_size); every tokenizer
+    encodes in the same pass and one aggregation sums them all."""
+    sizes = _sizes(texts, text, tokenizers, [])
+    aggs = [F.sum(f"__n{i}").alias(f"total_tokens{i}") for i in range(len(tokenizers))]
+    one = sizes.agg(F.sum("__chars").alias("total_chars"), *aggs)
+    return _long(one, tokenizers, ["total_tokens"], ["total_chars"]).select(
+        "tokenizer", "total_chars", "total_tokens",
+        F.round(F.col("total_chars") / F.col("total_tokens"), 6).alias("chars_per_token"), "vocab_size")
 
 
 def ranking(eff: DataFrame) -> DataFrame:
@@ -73,24 +84,20 @@ def ranking(eff: DataFrame) -> DataFrame:
 
 
 def single_token_coverage(terms: DataFrame, term: str, tokenizers: dict) -> DataFrame:
-    """Per tokenizer, how many terms encode to exactly one token."""
-    out = None
-    for name, (encode, _) in tokenizers.items():
-        part = terms.select(F.size(encode(F.col(term))).alias("n")) \
-            .agg(F.count(F.lit(1)).alias("terms"), F.count_if(F.col("n") == 1).alias("single")) \
-            .select(F.lit(name).alias("tokenizer"), "single", "terms",
-                    F.round(F.col("single") / F.col("terms") * 100, 3).alias("pct"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Per tokenizer, how many terms encode to exactly one token (one
+    pass, one aggregation)."""
+    sizes = _sizes(terms, term, tokenizers, [])
+    aggs = [F.count_if(F.col(f"__n{i}") == 1).alias(f"single{i}") for i in range(len(tokenizers))]
+    one = sizes.agg(F.count(F.lit(1)).alias("terms"), *aggs)
+    return _long(one, tokenizers, ["single"], ["terms"]).select(
+        "tokenizer", "single", "terms", F.round(F.col("single") / F.col("terms") * 100, 3).alias("pct"))
 
 
 def token_counts_by_class(texts: DataFrame, text: str, cls: str, tokenizers: dict) -> DataFrame:
-    """A10: per text class and tokenizer: texts, chars, tokens."""
-    out = None
-    for name, (encode, _) in tokenizers.items():
-        part = texts.select(cls, F.length(text).alias("chars"), F.size(encode(F.col(text))).alias("toks")) \
-            .groupBy(cls).agg(F.count(F.lit(1)).alias("n_texts"), F.sum("chars").alias("chars"),
-                              F.sum("toks").alias("tokens")) \
-            .withColumn("tokenizer", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out.select("tokenizer", cls, "n_texts", "chars", "tokens")
+    """A10: per text class and tokenizer: texts, chars, tokens (one pass,
+    one aggregation by class)."""
+    sizes = _sizes(texts, text, tokenizers, [cls])
+    aggs = [F.sum(f"__n{i}").alias(f"tokens{i}") for i in range(len(tokenizers))]
+    one = sizes.groupBy(cls).agg(F.count(F.lit(1)).alias("n_texts"), F.sum("__chars").alias("chars"), *aggs)
+    return _long(one, tokenizers, ["tokens"], [cls, "n_texts", "chars"]).select(
+        "tokenizer", cls, "n_texts", "chars", "tokens")

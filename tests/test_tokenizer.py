@@ -159,3 +159,22 @@ def test_nfc_fallback_matches_icu(spark):
         B._HAS_ICU = saved
     assert icu == py
     assert icu[-2] == unicodedata.normalize("NFC", "é ≠ Å")
+
+
+def test_one_pass_comparisons(spark):
+    from tessera.operators.tokenizer import checks as TC
+    byte = TT.byte_model()
+    toks = {"a": (TE.encoder(byte), byte.vocab_size), "b": (TE.encoder(byte), byte.vocab_size)}
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text", "lang")
+    want_tokens = docs.select(F.sum(B.byte_token_count(F.col("text")))).first()[0]
+    want_chars = docs.select(F.sum(F.length("text"))).first()[0]
+    eff = {r["tokenizer"]: r for r in TC.efficiency(docs, "text", toks).collect()}
+    assert set(eff) == {"a", "b"}
+    assert all(r["total_tokens"] == want_tokens and r["total_chars"] == want_chars for r in eff.values())
+    ranked = TC.ranking(TC.efficiency(docs, "text", toks)).collect()
+    assert sorted(r["rank"] for r in ranked) == [1, 1] and all(r["best"] for r in ranked)
+    by_cls = TC.token_counts_by_class(docs, "text", "lang", toks).collect()
+    assert sum(r["tokens"] for r in by_cls if r["tokenizer"] == "a") == want_tokens
+    terms = spark.createDataFrame([("a",), ("ab",), ("==",)], "term string")
+    cov = {r["tokenizer"]: r for r in TC.single_token_coverage(terms, "term", toks).collect()}
+    assert cov["a"]["single"] == 2 and cov["a"]["terms"] == 3
