@@ -171,7 +171,9 @@ def _icu_available() -> bool:
 def nfc(s: Column) -> Column:
     """NFC in the JVM (ICU4J); where ICU4J is not on the classpath, a small
     Arrow UDF with Python's ``unicodedata`` (already-normalized strings are
-    passed through after a quick check)."""
+    passed through after a quick check). Catalyst treats ``reflect`` as
+    non-deterministic: project columns built on it (token counts, ids)
+    before aggregating them."""
     if _icu_available():
         return F.when(s.isNotNull(), F.reflect(F.lit(_ICU), F.lit("compose"), s, F.lit(False)))
     global _NFC_UDF
