@@ -178,3 +178,23 @@ def test_one_pass_comparisons(spark):
     terms = spark.createDataFrame([("a",), ("ab",), ("==",)], "term string")
     cov = {r["tokenizer"]: r for r in TC.single_token_coverage(terms, "term", toks).collect()}
     assert cov["a"]["single"] == 2 and cov["a"]["terms"] == 3
+
+
+def test_word_counts_equal_library_pretokenizer(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    from collections import Counter
+
+    from tokenizers import normalizers, pre_tokenizers
+    texts = FX.messages(spark, SF001).select(CH.chatml_train(F.col("messages")).alias("text"))
+    texts = texts.unionByName(spark.createDataFrame([(t,) for t in EDGE], "text string"))
+    rows = [r[0] for r in texts.collect()]
+    norm = normalizers.NFC()
+    pre = pre_tokenizers.Sequence([pre_tokenizers.ByteLevel(add_prefix_space=False),
+                                   pre_tokenizers.Digits(individual_digits=True)])
+    want = Counter()
+    for t in rows:
+        for piece, _ in pre.pre_tokenize_str(norm.normalize_str(t)):
+            want[piece] += 1
+    got = {r["word"]: r["n"] for r in TT.word_counts(texts).collect()}
+    assert got == dict(want)
+    assert tokenizers is not None
