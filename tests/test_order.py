@@ -62,3 +62,27 @@ def test_sample_k(spark):
     ids = [r[0] for r in docs.collect()]
     got = [r[0] for r in O.sample_k(docs, "doc_id", 64).collect()]
     assert sorted(got) == sorted(py_order(ids, "sample")[:64])
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF001
+    from tessera.functions import bytelevel as B
+    from tessera.operators import authors as AU
+    from tessera.plans import corpus as X
+    from tessera.sources import fixtures as FX
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    stories = FX.stories(spark, SF001)
+    excluded = AU.exclusion_list(X.author_audit(stories, [FX.FLAG_PATTERN], FX.BLOCKED_TAGS,
+                                                FX.BLOCKED_WARNINGS, FX.VIEWS_THRESHOLD))
+    seen = []
+    for parts in (1, 4, 32):
+        ids = sorted((r[0], tuple(r[1])) for r in
+                     docs.repartition(parts).select("doc_id", B.byte_ids(F.col("text"))).collect())
+        clean = sorted((r["doc_id"], r["split"], r["length"]) for r in X.clean_stories(
+            stories.repartition(parts), excluded, min_tokens=FX.MIN_TOKENS, max_tokens=FX.MAX_TOKENS,
+            blocked_tags=FX.BLOCKED_TAGS, blocked_warnings=FX.BLOCKED_WARNINGS,
+            min_views=FX.VIEWS_THRESHOLD).collect())
+        seen.append((ids, clean))
+    assert seen[0] == seen[1] == seen[2]
