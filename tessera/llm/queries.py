@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from .html_blocks import op9_html_extraction
+from .mixing import op3_mix_sources
 from .quality_rules import OP8_SQL, op8_quality_rules
+from .url_templates import OP2_SQL, op2_url_filters
 
 QUERIES = {
+    "op2_url_filters": op2_url_filters,
+    "op3_mix_sources": op3_mix_sources,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
 }
 
 ORACLE = {
+    "op2_url_filters": OP2_SQL,
     "op8_quality_rules": OP8_SQL,
 }
