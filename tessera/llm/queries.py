@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .html_blocks import op9_html_extraction
 from .mixing import op3_mix_sources
+from .pieces import op5_sentencepiece
 from .quality_rules import OP8_SQL, op8_quality_rules
 from .url_templates import OP2_SQL, op2_url_filters
 
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_mix_sources": op3_mix_sources,
+    "op5_sentencepiece": op5_sentencepiece,
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
 }
