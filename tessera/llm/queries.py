@@ -6,6 +6,7 @@ from .html_blocks import op9_html_extraction
 from .mixing import op3_mix_sources
 from .pieces import op5_sentencepiece
 from .quality_rules import OP8_SQL, op8_quality_rules
+from .rp_forest import OP10_SQL, op10_embedding_near_dup
 from .url_templates import OP2_SQL, op2_url_filters
 
 QUERIES = {
@@ -14,9 +15,11 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
+    "op10_embedding_near_dup": op10_embedding_near_dup,
 }
 
 ORACLE = {
     "op2_url_filters": OP2_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op10_embedding_near_dup": OP10_SQL,
 }
