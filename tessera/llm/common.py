@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,15 @@ def bind(value: Column, body) -> Column:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The frame, materialized in the shared folder of ``spark.checkpoint.dir``."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame, written once as a Parquet table in the shared folder of
+    ``spark.checkpoint.dir`` and read back. Unlike a checkpoint it is
+    compressed, later reads take only the columns they need, and its size is
+    known to the planner (checkpoints keep the estimates of the plan they
+    cut, which multiply beyond bounds in loops of joins)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def python_ready(spark: SparkSession) -> None:

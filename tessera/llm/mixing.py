@@ -224,8 +224,9 @@ def taken_words(documents: DataFrame, blocks: DataFrame, slots: DataFrame) -> Da
     """``documents`` with ``taken``: the words of each that the slots hold."""
     uses = slots.groupBy("sid", "block", "take").agg(F.count(F.lit(1)).alias("times"))
     used = F.greatest(F.least(F.col("first") + F.col("n_words"), F.col("take")) - F.col("first"), F.lit(0)) * F.col("times")
-    got = blocks.join(uses, ["sid", "block"]).groupBy("sid", "start").agg(F.sum(used).cast("long").alias("taken"))
-    full = documents.where("size > 0").join(got, ["sid", "start"], "left")
+    # sized by the shard numbers alone, the slots would look small enough to broadcast
+    got = blocks.join(uses.hint("merge"), ["sid", "block"]).groupBy("sid", "start").agg(F.sum(used).cast("long").alias("taken"))
+    full = documents.where("size > 0").join(got.hint("merge"), ["sid", "start"], "left")
     return full.unionByName(documents.where("size = 0").withColumn("taken", F.lit(0).cast("long"))) \
         .withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 

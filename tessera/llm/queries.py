@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .html_blocks import op9_html_extraction
 from .mixing import op3_mix_sources
+from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .pieces import op5_sentencepiece
 from .quality_rules import OP8_SQL, op8_quality_rules
 from .rp_forest import OP10_SQL, op10_embedding_near_dup
 from .url_templates import OP2_SQL, op2_url_filters
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filters": op2_url_filters,
     "op3_mix_sources": op3_mix_sources,
     "op5_sentencepiece": op5_sentencepiece,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_ngram_jaccard_join": OP1_SQL,
     "op2_url_filters": OP2_SQL,
     "op8_quality_rules": OP8_SQL,
     "op10_embedding_near_dup": OP10_SQL,
