@@ -3,7 +3,8 @@
 Documents are sets of word shingles; two are linked when their sets' Jaccard
 similarity reaches the threshold; the operator returns the groups.
 
-* Order. Shingles are ordered by hash, the frequent ones after all others.
+* Order. Shingles are ordered by hash; the frequent ones come after all
+  others, by the number of documents they were counted in.
   Linked sets x, y share at least ``T = ceil(t * n)`` shingles, so their first
   ``n - T + m`` shingles have ``m`` in common.
 * Adaptive prefixes. The cost of a document's candidates is estimated from
@@ -16,10 +17,11 @@ similarity reaches the threshold; the operator returns the groups.
   stream: lists up to ``LIST`` give all pairs, longer ones are treated like a
   frequent shingle's. Pair counts and positions bound the overlap from above, and only pairs that can still reach the
   threshold are verified, exactly, on the whole sets.
-* Frequent shingles. Their lists are compared with hubs: a hub against every
-  other group's members, in rounds, until each member outside a list's
-  largest group has been a hub. Groups merge as links are found, so a family
-  of thousands of near copies costs a few comparisons per member, not all pairs.
+* Frequent shingles. In a few rounds, each list's hubs are compared with
+  the members of other groups; groups merge as links are found, so a family
+  of thousands of near copies costs a few comparisons per member. What is
+  still outside a list's largest group is then compared with all the list's
+  members, in blocks of bounded size, without writing pairs.
 * Copies (equal sets) are one class from the start.
 
 Defined results: documents without words have an empty set and link with
@@ -40,11 +42,13 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, narrow, python_ready, table
 from .components import components
 
+ZONE = 8                    # shingles are counted one ``1 / ZONE`` of the set beyond the plain prefix
 LIST = 32                   # documents of a shingle from which it is frequent
 MAX_FREQUENT = 500_000      # frequent shingles sent to all tasks; LIST doubles until they fit
 MAX_MATCHES = 8
 BROADCAST_IDS = 2_000_000   # documents whose ids may be broadcast to pick their texts
-HUBS, HUB_ROUNDS, ALL_HUBS = 4, 8, 64
+HUBS, HUB_ROUNDS = 2, 2
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000      # of a block that is compared in memory
 
 _U = np.uint64
 _WORDS: dict[bytes, int] = {}
@@ -187,6 +191,46 @@ def _stream_pairs(postings: DataFrame) -> DataFrame:
     return postings.mapInArrow(run, "a long, b long, pa long, pb long")
 
 
+def _linked_blocks(group, percent: int):
+    """Links between the outsiders (role 1) and members (role 0) of one block
+    pair, as one edge from each linked set to the first of its connected ones."""
+    import pyarrow as pa
+    cls, first = np.unique(np.asarray(group.column("cls")).astype(np.int64), return_index=True)
+    role, at = np.asarray(group.column("role")), np.searchsorted(cls, np.asarray(group.column("cls")).astype(np.int64))
+    members, outsiders = np.unique(at[role == 0]), np.unique(at[role == 1])
+    lists = group.column("s").combine_chunks().take(pa.array(first))
+    n = np.asarray(lists.value_lengths()).astype(np.int64)
+    _, token, count = np.unique(np.asarray(lists.flatten()), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(cls)), n)
+    keep = count[token] > 1                              # a shingle of one set links nothing
+    shared = np.cumsum(count > 1) - 1
+    token, row = shared[token[keep]], row[keep]
+    overlap = np.zeros((len(outsiders), len(members)), np.float32)
+    order = np.argsort(token, kind="stable")
+    token, row = token[order], row[order]
+    width = int(token[-1]) + 1 if len(token) else 0
+    for lo in range(0, width, 4096):
+        some = slice(*np.searchsorted(token, [lo, lo + 4096]))
+        has = np.zeros((len(cls), min(4096, width - lo)), np.float32)
+        has[row[some], token[some] - lo] = 1
+        overlap += has[outsiders] @ has[members].T
+    overlap = overlap.astype(np.float64)                 # exact beyond 2**24 / 100 shingles too
+    union = n[outsiders][:, None] + n[members][None, :] - overlap
+    linked = (100 * overlap >= percent * union) & (outsiders[:, None] != members[None, :])
+    i, j = np.nonzero(linked)
+    label = np.arange(len(cls))
+    while True:                                          # smallest label along the links
+        new = label.copy()
+        np.minimum.at(new, outsiders[i], label[members[j]])
+        np.minimum.at(new, members[j], label[outsiders[i]])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    some = np.flatnonzero(label != np.arange(len(cls)))
+    return pa.table({"a": cls[some], "b": cls[label[some]]})
+
+
 def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     python_ready(docs.sparkSession)
@@ -196,7 +240,7 @@ def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     # plain prefixes, and the classes of equal sets
     def plain(doc, s, key):
         p = len(s) - least_overlap(len(s), percent) + 1 if len(s) else 0
-        return doc, len(s), key, _long(s[:p])
+        return doc, len(s), key, _long(s[:p + len(s) // ZONE])
 
     rows = cut_lineage(_sets(d, plain, "doc_id long, n long, cls long, prefix array<long>", n))
     sound = rows.where("n > 0 AND doc_id IS NOT NULL")
@@ -230,27 +274,27 @@ def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         cost = int(df[:plain_length].sum())
         m = min(MAX_MATCHES, 1 + int(np.log2(1 + cost / LIST)))
         rare = s[~hit]
-        m = min(m, least_overlap(size, percent))
+        m = max(1, min(m, len(rare) - plain_length + 1))
         if len(rare) >= plain_length + m - 1:
             return key, m, _long(rare[:plain_length + m - 1]), plain_length + m - 1
-        both = np.concatenate([rare, s[hit]])[:plain_length]
-        return key, 1, _long(both), min(len(rare), plain_length)
+        by_count = s[hit][np.argsort(df[hit], kind="stable")]
+        return key, 1, _long(np.concatenate([rare, by_count])[:plain_length]), len(rare)
 
+    plain_prefix = F.slice("prefix", F.lit(1), (F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1).cast("int"))
+    bare = classes.select("cls", F.lit(1).alias("m"), plain_prefix.alias("prefix")).withColumn("rare", F.size("prefix"))
     if len(tokens):
         frequent_table = cut_lineage(often.where(F.col("count") > bound).select("token"))
         few = frequent_table.count() <= BROADCAST_IDS
-        hit = classes.select("cls", "rep", F.explode("prefix").alias("token")).join(
+        hit = classes.select("cls", "rep", F.explode(plain_prefix).alias("token")).join(
             F.broadcast(frequent_table) if few else frequent_table, "token", "left_semi").select("cls", "rep").distinct()
         hit = cut_lineage(hit)
         longer = cut_lineage(_sets(_texts_of(d, hit.select(F.col("rep").alias("doc_id")).distinct()), lengthened,
                               "cls long, m int, prefix array<long>, rare int", n)
                         .join(hit.select("cls").distinct(), "cls", "left_semi")
                         .groupBy("cls").agg(F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("rare").alias("rare")))
-        kept = classes.join(longer.select("cls"), "cls", "left_anti").select(
-            "cls", F.lit(1).alias("m"), "prefix", F.size("prefix").alias("rare"))
-        prefixes = kept.unionByName(longer)
+        prefixes = bare.join(longer.select("cls"), "cls", "left_anti").unionByName(longer)
     else:
-        prefixes = classes.select("cls", F.lit(1).alias("m"), "prefix", F.size("prefix").alias("rare"))
+        prefixes = bare
 
     # candidates from rare shingles
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -261,7 +305,7 @@ def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     # what a pair's overlap can still be: shared so far, plus the rest of the smaller side
     about = prefixes.join(classes.select("cls", "n"), "cls").select(
-        "cls", "n", "m", (F.col("rare") < F.size("prefix")).alias("mixed"), F.size("prefix").alias("len"),
+        "cls", "n", "m", "rare", (F.col("rare") < F.size("prefix")).alias("mixed"), F.size("prefix").alias("len"),
         F.element_at("prefix", -1).alias("last"))
     about = cut_lineage(about)
     x = about.select(*[F.col(c).alias("a" if c == "cls" else c + "_a") for c in about.columns])
@@ -273,16 +317,20 @@ def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     room = F.least(F.col("n_a") - F.when(a_first, F.col("len_a")).otherwise(F.col("pa") + 1),
                    F.col("n_b") - F.when(a_first, F.col("pb") + 1).otherwise(F.col("len_b")))
     sized = (F.lit(percent) * F.greatest("n_a", "n_b") <= F.lit(100) * F.least("n_a", "n_b"))
-    able = F.when(F.col("mixed_a") | F.col("mixed_b"), F.lit(True)).otherwise(
+    # documents that index frequent shingles have all their rare ones in the prefix
+    frequent_room = F.least(F.col("n_a") - F.col("rare_a"), F.col("n_b") - F.col("rare_b"))
+    able = F.when(F.col("mixed_a") & F.col("mixed_b"), F.col("c") + frequent_room >= need) \
+        .when(F.col("mixed_a") | F.col("mixed_b"), F.lit(True)).otherwise(
         (F.col("c") >= F.least("m_a", "m_b")) & (F.col("c") + room >= need))
     able = cut_lineage(pairs.join(x, "a").join(y, "b").where(sized & able).select("a", "b", "c"))
 
     # lists that must be gone through with hubs: frequent shingles, and rare ones whose stream met the limit
+    # (slack: shingles that two of a list's documents without a common rare one can share at most)
     heavy = prefixes.where(F.col("rare") < F.size("prefix")).select(
-        "cls", F.explode(F.slice("prefix", F.col("rare") + 1, F.size("prefix"))).alias("token"))
-    over = read.where("pa < 0").select(F.col("b").alias("token"), F.col("a").alias("cls"))
-    lists = cut_lineage(heavy.select("token", "cls").unionByName(over)      # groups are found with hubs
-                        .join(classes.select("cls", "n"), "cls").select("token", "cls", "n"))
+        "cls", "rare", F.explode(F.slice("prefix", F.col("rare") + 1, F.size("prefix"))).alias("token"))
+    over = read.where("pa < 0").select(F.col("b").alias("token"), F.col("a").alias("cls"), F.lit(0).alias("rare"))
+    lists = cut_lineage(heavy.select("token", "cls", "rare").unionByName(over).join(classes.select("cls", "n"), "cls")
+                        .select("token", "cls", "n", (F.col("n") - F.col("rare")).alias("slack")))
     return _group(d, rows, classes, able, lists, n, percent)
 
 
@@ -324,33 +372,52 @@ def _group(d, rows, classes, able, lists, n: int, percent: int) -> DataFrame:
         links = links.unionByName(verified(rest))
         label = cut_lineage(components(links))
 
-    done = spark.createDataFrame([], "token long, cls long")
-    open_lists, turn = lists, 0
-    while open_lists.limit(1).count():
-        named = open_lists.join(label.withColumnRenamed("id", "cls"), "cls", "left").select(
-            "token", "cls", "n", F.coalesce("component", "cls").alias("g"))
-        named = cut_lineage(named)
-        per_group = named.groupBy("token", "g").agg(F.count(F.lit(1)).alias("k"))
-        largest = per_group.groupBy("token").agg(F.max(F.struct("k", "g"))["g"].alias("top"), F.count(F.lit(1)).alias("groups"))
-        largest = cut_lineage(largest.where("groups > 1").select("token", "top"))
-        named = named.join(largest, "token")
-        # members outside the list's largest group that have not been hubs
-        waiting = cut_lineage(named.where("g <> top").join(done, ["token", "cls"], "left_anti").select("token", "cls", "n", "g"))
+    def remaining(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members (token, cls, n, slack, g, top) of the lists with more than one group, and
+        of these the ones outside the list's largest group ``top``."""
+        named = cut_lineage(lists.join(label.withColumnRenamed("id", "cls"), "cls", "left").select(
+            "token", "cls", "n", "slack", F.coalesce("component", "cls").alias("g")))
+        largest = named.groupBy("token", "g").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+            F.max(F.struct("k", "g"))["g"].alias("top"), F.count(F.lit(1)).alias("groups"))
+        named = named.join(cut_lineage(largest.where("groups > 1").select("token", "top")), "token")
+        return named, cut_lineage(named.where("g <> top"))
+
+    for turn in range(HUB_ROUNDS):
+        named, waiting = remaining(lists)
         if not waiting.limit(1).count():
             break
-        few = waiting.groupBy("token").agg(F.count(F.lit(1)).alias("w"), *[
-            F.min(F.struct(F.xxhash64("cls", F.lit(turn * HUBS + k)), "cls"))["cls"].alias(f"h{k}") for k in range(HUBS)])
-        chosen = (F.col("w") <= ALL_HUBS) | F.col("cls").isin(*[F.col(f"h{k}") for k in range(HUBS)])
-        hubs = waiting.join(few, "token").where(F.lit(True) if turn >= HUB_ROUNDS else chosen)
-        hubs = cut_lineage(hubs.select("token", F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("g").alias("hub_g")))
-        near = named.join(hubs, "token").where((F.col("g") != F.col("hub_g")) & (
-            F.lit(percent) * F.greatest("n", "hub_n") <= F.lit(100) * F.least("n", "hub_n")))
-        near = near.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+        hubs = waiting.groupBy("token").agg(F.array_distinct(F.array(*[
+            F.min(F.struct(F.xxhash64("cls", F.lit(turn * HUBS + k)), "cls", "n", "slack", "g")) for k in range(HUBS)])).alias("h"))
+        hubs = cut_lineage(hubs.select("token", F.explode("h").alias("h")).select("token", *[
+            F.col(f"h.{c}").alias(f"hub_{c}") for c in ("cls", "n", "slack", "g")]))
+        near = named.join(hubs, "token").where(
+            (F.col("g") != F.col("hub_g"))
+            & (F.lit(percent) * F.greatest("n", "hub_n") <= F.lit(100) * F.least("n", "hub_n"))
+            & (F.lit(100 + percent) * F.least("slack", "hub_slack") >= F.lit(percent) * (F.col("n") + F.col("hub_n"))))
+        near = near.select(F.least("cls", "hub_cls").alias("a"), F.greatest("cls", "hub_cls").alias("b")).distinct()
         links = links.unionByName(verified(near))
         label = cut_lineage(components(links))
-        done = cut_lineage(done.unionByName(hubs.select("token", F.col("hub").alias("cls"))))
-        open_lists = named.select("token", "cls", "n")
-        turn += 1
+
+    named, waiting = remaining(lists)
+    if waiting.limit(1).count():
+        # lists with the same largest group are put together; outsiders against members, block by block
+        sides = []
+        for role, side in ((0, named), (1, waiting)):
+            docs = cut_lineage(side.select("top", "cls", "n").distinct())
+            k = docs.groupBy("top").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("k"))
+            sides.append((docs, cut_lineage(k)))
+        parts = []
+        for role in (0, 1):
+            docs, own = sides[role]
+            other = sides[1 - role][1].withColumnRenamed("k", "others")
+            mine = F.pmod(F.xxhash64("cls", F.lit("block")), F.col("k"))
+            spread = docs.join(own, "top").join(other, "top").select(
+                "top", "cls", F.lit(role).alias("role"), mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("theirs"))
+            parts.append(spread.select("top", "cls", "role", F.col("mine" if role == 0 else "theirs").alias("b0"),
+                                       F.col("theirs" if role == 0 else "mine").alias("b1")))
+        facing = parts[0].unionByName(parts[1]).join(sets.hint("merge"), "cls")
+        met = facing.groupBy("top", "b0", "b1").applyInArrow(lambda group: _linked_blocks(group, percent), "a long, b long")
+        label = cut_lineage(components(links.unionByName(met)))
 
     grouped = classes.select("cls", "n", "rep").join(label.withColumnRenamed("id", "cls"), "cls", "left") \
         .withColumn("g", F.coalesce("component", "cls"))
