@@ -6,8 +6,10 @@ from .html_blocks import op9_html_extraction
 from .mixing import op3_mix_sources
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .pieces import op5_sentencepiece
+from .quality_pu import op6_quality_classifier
 from .quality_rules import OP8_SQL, op8_quality_rules
 from .rp_forest import OP10_SQL, op10_embedding_near_dup
+from .toxicity import op7_toxicity
 from .url_templates import OP2_SQL, op2_url_filters
 
 QUERIES = {
@@ -15,6 +17,8 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_mix_sources": op3_mix_sources,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_embedding_near_dup": op10_embedding_near_dup,
