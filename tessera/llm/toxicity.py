@@ -160,8 +160,12 @@ def learn(docs: DataFrame, labels: DataFrame, seed: int = 3) -> Lexicon:
     known = by_word.where("c > 0").orderBy(F.desc("c"), "word").limit(KNOWN).collect()
     stem = F.explode(F.array(*[F.substring("word", 1, k) for k in STEMS])).alias("stem")
     by_stem = by_word.where(F.length("word") >= min(STEMS)).select("word", "t", "c", stem).where(
-        F.col("stem") != F.col("word")).groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("k"))
+        F.col("stem") != F.col("word")).groupBy("stem").agg(
+        (F.sum("t") - F.max("t")).alias("t"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("k"))    # beside its commonest word
     stems = by_stem.where(telling & (F.col("k") >= STEM_WORDS)).orderBy(F.desc("t"), "stem").limit(LEXICON).collect()
+    # of nested stems with the same evidence the longest is the most specific
+    long = {r["stem"]: r["t"] for r in stems}
+    stems = [r for r in stems if not any(x != r["stem"] and x.startswith(r["stem"]) and long[x] >= 0.9 * r["t"] for x in long)]
 
     def weight(r) -> float:
         return 4.0 + min(4.0, math.log((r["t"] + 0.5) / (r["c"] * ratio + 0.5)))
