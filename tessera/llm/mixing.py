@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, narrow, python_ready, table, word_count
+from .common import bind, cut_lineage, narrow, python_ready, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -161,9 +161,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, block_wo
         shard_slots: int = SHARD_SLOTS, seed: int = 17):
     """Plan the mix of ``docs`` (doc_id, text, source). Returns three frames:
 
-    ``documents``: doc_id, source, size, sid, start, source_size, target;
-    ``blocks``: sid, block, doc_id, start, first (word of the block), n_words:
-    which document's words each block holds; ``slots``: shard, slot, sid,
+    ``documents``: doc_id, tie (hash of the text), source, size, sid, start,
+    source_size, target; ``blocks``: sid, block, doc_id, start, first (word of
+    the block), n_words: which document's words each block holds; ``slots``: shard, slot, sid,
     block, take (words; below ``block_words`` only where a source's quota ends)."""
     spark = docs.sparkSession
     python_ready(spark)
@@ -217,7 +217,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, block_wo
     first = F.greatest(F.col("start") - F.col("block") * block_words, F.lit(0))
     end = F.least(F.col("start") + F.col("size") - F.col("block") * block_words, F.lit(block_words))
     held = held.select("sid", "block", "doc_id", "start", first.alias("first"), (end - first).alias("n_words"))
-    return d.drop("tie"), held, dealt
+    return d, held, dealt
 
 
 def taken_words(documents: DataFrame, blocks: DataFrame, slots: DataFrame) -> DataFrame:
@@ -231,6 +231,40 @@ def taken_words(documents: DataFrame, blocks: DataFrame, slots: DataFrame) -> Da
         .withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as documents: the rows of ``docs`` (doc_id, text, source,
+    n_chars and others) with the words the slots take of them, in their
+    order and with the white space that follows them. Words taken k times are
+    in k rows of the document; untaken documents are left out."""
+    documents, blocks, slots = mix(docs, **options)
+    uses = slots.groupBy("sid", "block", "take").agg(F.count(F.lit(1)).alias("times"))
+    here = F.least(F.col("first") + F.col("n_words"), F.col("take")) - F.col("first")
+    got = blocks.join(uses.hint("merge"), ["sid", "block"]).where(here > 0).select(
+        "sid", "start", (F.col("block") * F.lit(options.get("block_words", BLOCK_WORDS)) + F.col("first") - F.col("start")).alias("at"),
+        here.alias("n"), "times")
+    # a document's parts: bounded by its own length
+    parts = got.groupBy("sid", "start").agg(F.sort_array(F.collect_list(F.struct("at", "n", "times"))).alias("parts"))
+    parts = documents.where("size > 0").join(parts.hint("merge"), ["sid", "start"]).select("doc_id", "tie", "parts") \
+        .dropDuplicates(["doc_id", "tie"])
+    cut = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+
+    def taken(words, parts, turn):
+        # (a block that a quota ends in can be taken whole and in part: both are in the first row)
+        some = F.filter(parts, lambda p: p["times"] > turn)
+        return F.regexp_replace(F.array_join(F.flatten(F.transform(
+            some, lambda p: F.slice(words, (p["at"] + 1).cast("int"), p["n"].cast("int")))), ""), r"[\x20\x09-\x0D]+$", "")
+
+    keyed = docs.withColumn("__tie", F.xxhash64(F.col("text").cast("string"))).withColumn("__id", F.col("doc_id").cast("long"))
+    p = parts.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "parts")
+    turns = F.sequence(F.lit(0), F.array_max(F.transform("parts", lambda p: p["times"])).cast("int") - 1)
+    joined = keyed.join(p.hint("merge"), ["__id", "__tie"]).withColumn("__turn", F.explode(turns))
+    text = bind(cut, lambda w: taken(w, F.col("parts"), F.col("__turn")))
+    joined = joined.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return joined.select(*docs.columns)
+
+
 # query --------------------------------------------------------------------
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:
     return taken_words(*mix(table(spark, sf_dir, "documents"))).select(

@@ -429,6 +429,16 @@ def _group(d, rows, classes, able, lists, n: int, percent: int) -> DataFrame:
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """The rows of ``docs``, all columns, that are the smallest doc_id of
+    their group (or have none). Only the ids that go are joined."""
+    found = similar_sets(docs, n, percent)
+    gone = cut_lineage(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+                       .join(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id"), "doc_id", "left_anti").distinct())
+    small = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if small else gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+
+
 # query --------------------------------------------------------------------
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return similar_sets(table(spark, sf_dir, "documents"))

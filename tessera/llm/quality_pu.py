@@ -137,23 +137,33 @@ def train(docs: DataFrame, trusted: DataFrame, seed: int = 3) -> tuple[np.ndarra
     return fit(x[kind], x[~kind], prior), prior
 
 
-def classify(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
-    ``labels`` (doc_id, quality) teach outside the held-out fold only."""
-    d = narrow(docs, {"doc_id": "long", "text": "string"})
+def _score(d: DataFrame, labels: DataFrame, folds: int, fold: int) -> Column:
+    """The fitted score of the column ``text`` of ``d`` (doc_id, text)."""
     teach = narrow(labels, {"doc_id": "long", "quality": "int"}).where(~held_out(F.col("doc_id"), folds, fold))
     trusted = teach.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
     model = train(d, trusted)
     if model is None:
-        score = F.lit(1.0)
-    else:
-        w = [float(v) for v in model[0]]
-        z = bind(features(F.col("text")), lambda f: sum((F.get(f, F.lit(i)) * F.lit(w[i]) for i in range(len(FEATURES))), F.lit(w[-1])))
-        score = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        return F.lit(1.0)
+    w = [float(v) for v in model[0]]
+    z = bind(features(F.col("text")), lambda f: sum((F.get(f, F.lit(i)) * F.lit(w[i]) for i in range(len(FEATURES))), F.lit(w[-1])))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def classify(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
+    ``labels`` (doc_id, quality) teach outside the held-out fold only."""
+    d = narrow(docs, {"doc_id": "long", "text": "string"})
+    score = _score(d, labels, folds, fold)
     return d.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= KEEP).cast("int"))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``KEEP``; a
+    filter in place, without a join."""
+    return docs.where(_score(narrow(docs, {"doc_id": "long", "text": "string"}), labels, folds, fold) >= KEEP)
+
+
 # query --------------------------------------------------------------------
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
