@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .html_blocks import op9_html_extraction
+from .licenses import OP4_SQL, op4_license_scan
 from .mixing import op3_mix_sources
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .pieces import op5_sentencepiece
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filters": op2_url_filters,
     "op3_mix_sources": op3_mix_sources,
+    "op4_license_scan": op4_license_scan,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
@@ -27,6 +29,7 @@ QUERIES = {
 ORACLE = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op2_url_filters": OP2_SQL,
+    "op4_license_scan": OP4_SQL,
     "op8_quality_rules": OP8_SQL,
     "op10_embedding_near_dup": OP10_SQL,
 }
