@@ -1,0 +1,6 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def sf001():
+    return "/root/testdata/sf0.01"
