@@ -37,7 +37,7 @@ BOS, EOS, PAD, UNK = "<bos>", "<eos>", "<pad>", "<unk>"
 VOCAB_SIZE = 16384
 MIN_FREQUENCY = 2
 MODEL_MAX_LEN = 8192
-TOKENIZER_TYPE = "ByteLevel-BPE"
+TOKENIZER_TYPE = "ByteLevel‑BPE"
 
 # Byte-level pre-tokenizer pattern (public GPT-2 pattern)
 BYTELEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -244,7 +244,8 @@ def _factored_pattern(pattern: str) -> str:
     return "'(?:" + "|".join(a[1:] for a in contractions) + ")|" + "|".join(rest)
 
 
-PRETOKEN_RE = _factored_pattern(BYTELEVEL_PATTERN)
+# (?U): white space is Unicode white space
+PRETOKEN_RE = "(?U)" + _factored_pattern(BYTELEVEL_PATTERN)
 
 
 def pretokenize(text: Column) -> Column:

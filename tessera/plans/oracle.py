@@ -192,13 +192,16 @@ m AS (SELECT *, i // 200 AS mb,
 SELECT doc_id, CAST(mb * 50 + pos // 4 AS BIGINT) AS batch_id, CAST(pos % 4 AS INTEGER) AS row_in_batch FROM m""")
 register("sample_k", """
 SELECT doc_id, n_chars FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || '|sample'), doc_id LIMIT 64""")
-register("step_budget", with_(split_cte("documents", "doc_id")) + """
-, n AS (SELECT count(*) FILTER (WHERE split = 'train') AS n_train FROM splits),
-p(phase, bs, acc, ep, sec) AS (VALUES ('phase1', 16, 16, 2, NULL), ('phase2', 2, 64, 3, NULL),
-  ('phase3', 8, 32, 1, 2.5), ('phase4', 8, 32, 1, 2.5), ('phase5', 8, 32, 1, 2.5), ('sft', 4, 64, 3, 3.0))
+register("step_budget", """
+WITH d AS (SELECT count(*) AS n FROM documents), c AS (SELECT count(DISTINCT conv_id) AS n FROM conversations),
+p(phase, frac, bs, acc, ep, sec) AS (VALUES ('phase1', 0.01, 16, 16, 2, NULL), ('phase2', 0.01, 2, 64, 3, NULL),
+  ('phase3', 0.01, 8, 32, 1, 2.5), ('phase4', 0.01, 8, 32, 1, 2.5), ('phase5', 0.005, 8, 32, 1, 2.5),
+  ('sft', 0.01, 4, 64, 3, 3.0)),
+t AS (SELECT *, CASE WHEN phase = 'sft' THEN c.n ELSE d.n END AS rows FROM p, d, c),
+n AS (SELECT *, CAST(rows - ceil(frac * rows) AS BIGINT) AS n_train FROM t)
 SELECT phase, n_train, bs * acc AS effective_batch, CAST(n_train // (bs * acc) * ep AS BIGINT) AS total_steps,
   CAST(round(n_train // (bs * acc) * ep * CAST(sec AS DOUBLE) / 60, 3) AS DOUBLE) AS minutes
-FROM n, p""")
+FROM n""")
 
 # ---------------------------------------------------------------------------
 # chat formats (H1-H4) and context
@@ -272,10 +275,10 @@ register("pad_right_fixed", with_(DOC_IDS) + """
 SELECT doc_id, list_resize(ids[1:2048], 2048, 4) AS input_ids,
   list_resize(list_transform(ids[1:2048], lambda x: 1), 2048, 0) AS attention_mask FROM doc_ids""")
 register("labels_by_pad_id", with_(DOC_IDS) + """
-SELECT doc_id, list_transform(list_resize(ids[1:2048], 2048, 4), lambda x: CASE WHEN x = 4 THEN -100 ELSE x END)
+SELECT doc_id, list_transform(list_resize(ids, greatest(len(ids), 2048), 4), lambda x: CASE WHEN x = 4 THEN -100 ELSE x END)
   AS labels FROM doc_ids""")
 DOC_BATCHES = f"""doc_batches AS (
-  SELECT doc_id, ids[1:512] AS ids, ({order_idx('doc_id', '42')}) // 2 AS batch_id FROM doc_ids),
+  SELECT doc_id, ids, ({order_idx('doc_id', '42')}) // 2 AS batch_id FROM doc_ids),
 doc_padded AS (
   SELECT doc_id, batch_id, max(len(ids)) OVER (PARTITION BY batch_id) AS L, ids FROM doc_batches)"""
 register("pad_right_dynamic", with_(DOC_IDS, DOC_BATCHES) + """
@@ -293,7 +296,13 @@ chat_padded AS (
   FROM chat_batches)"""
 register("pad_left_dynamic", with_(SFT_IDS, CHAT_BATCHES)
          + "SELECT conv_id, batch_id, input_ids, attention_mask FROM chat_padded")
-register("labels_masked", with_(SFT_IDS, CHAT_BATCHES) + """
+WHOLE_CHATS = f"""chat_ord AS (SELECT conv_id, ids, ({order_idx('conv_id', '42')}) // 4 AS batch_id FROM sft_ids),
+chat_batches AS (SELECT conv_id, ids, max(len(ids)) OVER (PARTITION BY batch_id) AS L FROM chat_ord),
+chat_padded AS (
+  SELECT conv_id, list_concat(list_transform(range(L - len(ids)), lambda x: 4), ids) AS input_ids,
+    list_concat(list_transform(range(L - len(ids)), lambda x: 0), list_transform(ids, lambda x: 1)) AS attention_mask
+  FROM chat_batches)"""
+register("labels_masked", with_(SFT_IDS, WHOLE_CHATS) + """
 SELECT conv_id, list_transform(list_zip(input_ids, attention_mask), lambda p: CASE WHEN p[2] = 0 THEN -100 ELSE p[1] END)
   AS labels FROM chat_padded""")
 register("padding_waste", with_(SFT_IDS) + f"""
@@ -380,7 +389,7 @@ SELECT 'cosmopedia-v2' AS source, count(*) FILTER (WHERE split = 'train') AS n_t
   count(*) FILTER (WHERE split = 'test') AS n_test, 512 AS seq_len, 256 AS effective_batch FROM splits""")
 register("phase_corpus", f"""
 WITH sel AS (SELECT doc_id, text FROM (SELECT doc_id, text, {order_idx('doc_id', '42')} AS i
-                                      FROM documents WHERE lang = 'en') WHERE i < 20000000),
+                                      FROM documents WHERE lang = 'en')),
 {split_cte('sel', 'doc_id', name='ps')},
 enc AS (SELECT doc_id, split, {byte_ids_sql('text')} AS ids FROM ps)
 SELECT doc_id, split, list_resize(ids[1:512], 512, 4) AS input_ids,

@@ -154,10 +154,14 @@ def q_sample_k(spark, sf):
 
 @query("step_budget")
 def q_step_budget(spark, sf):
-    sizes = O.split_sizes(O.train_test_split(_docs(spark, sf).select("doc_id"), "doc_id")).cache()
-    out = None
-    for phase, (_, _, _, _, bs, acc, ep, sec) in C.PHASES.items():
-        b = BT.step_budget(sizes, bs, acc, ep, sec)
+    docs = _docs(spark, sf).select("doc_id")
+    chats = FX.messages(spark, sf).select("conv_id")
+    sizes, out = {}, None
+    for phase, (_, _, _, frac, bs, acc, ep, sec) in C.PHASES.items():
+        rows, key = (chats, "conv_id") if phase == "sft" else (docs, "doc_id")
+        if (key, frac) not in sizes:
+            sizes[key, frac] = O.split_sizes(O.train_test_split(rows, key, frac))
+        b = BT.step_budget(sizes[key, frac], bs, acc, ep, sec)
         if sec is None:
             b = b.withColumn("minutes", F.lit(None).cast("double"))
         b = b.select(F.lit(phase).alias("phase"), "n_train", "effective_batch", "total_steps", "minutes")
@@ -277,13 +281,13 @@ def q_pad_right_fixed(spark, sf):
 @query("labels_by_pad_id")
 def q_labels_by_pad_id(spark, sf):
     d = _doc_ids(spark, sf)
-    return d.select("doc_id", A.labels_by_pad_id(A.pad_right(F.col("input_ids"), DOC_SEQ)).alias("labels"))
+    whole = F.greatest(F.size("input_ids"), F.lit(DOC_SEQ))      # padded where short, never cut
+    return d.select("doc_id", A.labels_by_pad_id(A.pad_right(F.col("input_ids"), whole)).alias("labels"))
 
 
 def _doc_batches(spark, sf):
-    """Phase-2 style batches of 2: documents cut at 512 ids, seeded order."""
-    d = _doc_ids(spark, sf).select("doc_id", A.truncate_head(F.col("input_ids"), PHASE_SEQ).alias("input_ids"))
-    return O.assign_batches(O.seeded_shuffle(d, "doc_id"), "shuffle_idx", 2)
+    """Phase-2 style batches of 2: whole documents, seeded order."""
+    return O.assign_batches(O.seeded_shuffle(_doc_ids(spark, sf), "doc_id"), "shuffle_idx", 2)
 
 
 @query("pad_right_dynamic")
@@ -310,7 +314,7 @@ def q_pad_left_dynamic(spark, sf):
 
 @query("labels_masked")
 def q_labels_masked(spark, sf):
-    p = BT.pad_left_dynamic(_chat_batches(spark, sf), max_length=SFT_MAX)
+    p = BT.pad_left_dynamic(_chat_batches(spark, sf))
     return p.select("conv_id", A.labels_masked(F.col("input_ids"), F.col("attention_mask")).alias("labels"))
 
 
@@ -384,7 +388,7 @@ def q_fixed_length_corpus(spark, sf):
 
 
 def _sft(spark, sf):
-    return X.sft_corpus(FX.messages(spark, sf), C.PHASES["sft"][1], SFT_MAX_LENGTH)
+    return X.sft_corpus(FX.messages(spark, sf), None, SFT_MAX_LENGTH)
 
 
 @query("sft_corpus")
@@ -457,8 +461,8 @@ def q_corpus_manifest(spark, sf):
 
 @query("phase_corpus")
 def q_phase_corpus(spark, sf):
-    cfg, n, seq, frac, *_ = C.PHASES["phase1"]
-    return X.phase_corpus(FX.corpus(spark, sf, with_token_length=False), "en", n, PHASE_SEQ, frac)
+    frac = C.PHASES["phase1"][3]
+    return X.phase_corpus(FX.corpus(spark, sf, with_token_length=False), "en", None, PHASE_SEQ, frac)
 
 
 @query("long_story_corpus")
@@ -499,9 +503,8 @@ _MODELS: dict = {}
 
 
 def _training_texts(spark, sf):
-    """Tokenizer corpus: conversations in the training ChatML format."""
-    return TB.read_limited(FX.messages(spark, sf), NUM_SAMPLES) \
-        .select("conv_id", CH.chatml_train(F.col("messages")).alias("text"))
+    """Tokenizer corpus: all conversations in the training ChatML format."""
+    return FX.messages(spark, sf).select("conv_id", CH.chatml_train(F.col("messages")).alias("text"))
 
 
 def trained_model(spark, sf, vocab_size: int = BPE_VOCAB) -> TT.BPEModel:

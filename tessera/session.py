@@ -24,7 +24,7 @@ def build_session(master: str | None = None, app: str = "tessera",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": "8g",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -40,14 +40,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir) from the
-    session. Only when none is configured -- local runs and tests -- a
-    scratch folder is created and registered.
+    session. Only a local master without one gets a scratch folder; on a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)

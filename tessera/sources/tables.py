@@ -66,9 +66,9 @@ def read_exclusions(spark: SparkSession, path: str) -> DataFrame:
     path gives an empty list."""
     if not _exists(spark, path):
         return spark.createDataFrame([], "author string")
+    from ..operators.gates import py_strip
     lines = spark.read.text(path)
-    stripped = F.regexp_replace("value", r"^[\s\x1c-\x1f\x85\xa0]+|[\s\x1c-\x1f\x85\xa0]+$", "")
-    return (lines.select(stripped.alias("author"))
+    return (lines.select(py_strip(F.col("value")).alias("author"))
             .where(F.col("author") != "")
             .distinct())
 

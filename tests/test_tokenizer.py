@@ -17,6 +17,7 @@ from tessera.sources import fixtures as FX
 
 EDGE = ["", " ", "\n", "\t", "    ", "<|endoftext|>", "[MASK]", "<unk>",
         "Year 2025 → 3.14 * 2 = 6.28", "x!=y", "<|im_start|>user\nHello<|im_end|>",
+        "a\u00a0!", "a \u00a0b", "x\u3000\u3000y", "hi\u00a0\u00a0there", "\u2028\u2028", "\u0085\u0085", "foo \u2003bar",
         "a=>=b ===", "if x == 42:\n    print('Found the answer!')", "ü ò ² café", "é ≠"]
 
 
