@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -109,22 +111,20 @@ def top_flagged(stats: DataFrame, k: int = C.TOP_FLAGGED) -> DataFrame:
 
 
 # J1 -----------------------------------------------------------------------
-MAX_BROADCAST_AUTHORS = 2_000_000   # ~100 MB of names at most
-
-
-def exclude_authors(df: DataFrame, excluded: DataFrame, column: str = "author",
-                    max_broadcast_rows: int = MAX_BROADCAST_AUTHORS) -> DataFrame:
-    """Left anti-join on the author name.
-
-    The exclusion list grows with the corpus (it is an aggregate over
-    authors), so its size is checked first: under ``max_broadcast_rows``
-    distinct names it is broadcast and the chapters are never shuffled;
-    above it the join is a shuffle join, where AQE's skew handling splits
-    a hot author's partition on the chapter side."""
-    ex = excluded.select(F.col(column).alias("__excluded")).distinct()
-    n = ex.count()
-    if n <= max_broadcast_rows:
-        ex = F.broadcast(ex)
+def exclude_authors(df: DataFrame, excluded: DataFrame, column: str = "author") -> DataFrame:
+    """Left anti-join on the author name; rows without author are kept.
+
+    The exclusion list is an aggregate over the corpus, so it is written
+    once to the shared folder and read back: the audit behind it runs once,
+    and the planner knows the list's size. A small list is broadcast and the
+    chapters never move; beyond ``spark.sql.autoBroadcastJoinThreshold`` the
+    join shuffles, and AQE splits a hot author's partition."""
+    from ..session import checkpoint_dir
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/excluded-{uuid.uuid4().hex}"
+    excluded.select(F.col(column).alias("__excluded")).where(F.col("__excluded").isNotNull()) \
+        .distinct().write.parquet(path)
+    ex = spark.read.parquet(path)
     return df.join(ex, F.col(column) == F.col("__excluded"), "left_anti")
 
 

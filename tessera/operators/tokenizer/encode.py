@@ -15,6 +15,8 @@ vocabulary (bounded by the vocabulary size), byte symbols -> UTF-8.
 from __future__ import annotations
 
 import hashlib
+import heapq
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,8 @@ from ...functions import bytelevel as B
 from .train import BPEModel
 
 _CACHE: dict[str, dict[str, list[int]]] = {}
-_CACHE_LIMIT = 1_000_000
+_CACHE_LIMIT = 200_000      # words kept per worker and model, the least recently used leave first
+_CACHE_CHARS = 64           # longer words are not kept
 
 
 def _fingerprint(model: BPEModel) -> str:
@@ -56,7 +59,7 @@ def encoder(model: BPEModel):
         if state is None:
             tok_id = {t: i for i, t in enumerate(vocab)}
             state = {"ranks": {(a, b): i for i, (a, b) in enumerate(merges)}, "tok_id": tok_id,
-                     "unk": tok_id[C.UNK], "words": {}}
+                     "unk": tok_id[C.UNK], "words": OrderedDict()}
             _CACHE[key] = state
         return _encode_batch(words, state, specials)
 
@@ -85,8 +88,12 @@ def _encode_batch(words: pa.ListArray, state: dict, specials: set) -> pa.Array:
                 r = []
                 for piece in _pieces(w):
                     r.extend(_merge(piece, ranks, tok_id, unk))
-            if len(cache) < _CACHE_LIMIT:
+            if len(w) <= _CACHE_CHARS:
                 cache[w] = r
+                if len(cache) > _CACHE_LIMIT:          # the least recently used goes
+                    cache.popitem(last=False)
+        else:
+            cache.move_to_end(w)
         uniq_ids.append(r)
     u_len = np.fromiter((len(r) for r in uniq_ids), dtype=np.int64, count=len(uniq_ids))
     u_off = np.zeros(len(uniq_ids) + 1, dtype=np.int64)
@@ -102,6 +109,8 @@ def _encode_batch(words: pa.ListArray, state: dict, specials: set) -> pa.Array:
     tok_off = words.offsets.to_numpy(zero_copy_only=False).astype(np.int64) - words.offsets[0].as_py()
     run = np.zeros(len(lens) + 1, dtype=np.int64)
     np.cumsum(lens, out=run[1:])
+    if run[-1] > np.iinfo(np.int32).max:
+        raise ValueError("an Arrow batch has more than 2**31 - 1 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch")
     out_off = pa.array(run[tok_off].astype(np.int32))
     return pa.ListArray.from_arrays(out_off, pa.array(out_flat, type=pa.int32()), mask=words.is_null())
 
@@ -129,27 +138,27 @@ def _pieces(raw: str) -> list[str]:
 
 def _merge(word: str, ranks: dict, tok_id: dict, unk: int) -> list[int]:
     """Merge a word's symbols by rank: repeatedly the lowest-rank adjacent
-    pair, every non-overlapping occurrence from the left; symbols outside
-    the vocabulary become ``<unk>``."""
-    syms = list(word)
-    while len(syms) > 1:
-        best, best_rank = None, None
-        for i in range(len(syms) - 1):
-            r = ranks.get((syms[i], syms[i + 1]))
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = (syms[i], syms[i + 1]), r
-        if best is None:
-            break
-        out, i = [], 0
-        while i < len(syms):
-            if i + 1 < len(syms) and syms[i] == best[0] and syms[i + 1] == best[1]:
-                out.append(best[0] + best[1])
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        syms = out
-    return [tok_id.get(s, unk) for s in syms]
+    pair, leftmost first; symbols outside the vocabulary become ``<unk>``.
+    The symbols are a linked list and the pairs a heap, so a word of n
+    symbols takes O(n log n) steps."""
+    syms, n = list(word), len(word)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i, syms[i], syms[i + 1]) for i in range(n - 1)
+            if (r := ranks.get((syms[i], syms[i + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, left, right = heapq.heappop(heap)
+        j = after[i]
+        if syms[i] != left or j >= n or syms[j] != right:
+            continue                       # one of the two has been merged meanwhile
+        syms[i], syms[j] = left + right, None
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+        for a, b in ((before[i], i), (i, k)):
+            if a >= 0 and b < n and (r := ranks.get((syms[a], syms[b]))) is not None:
+                heapq.heappush(heap, (r, a, syms[a], syms[b]))
+    return [tok_id.get(s, unk) for s in syms if s is not None]
 
 
 def decoder(model: BPEModel, skip_special: bool = False):

@@ -190,15 +190,11 @@ def _with_zero_context(cands: list[_Candidate], context: dict, top_n: int) -> di
 def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "text",
               min_frequency: int = C.MIN_FREQUENCY, special_tokens: list[str] = C.SPECIAL_TOKENS,
               initial_alphabet: list[str] = C.DIGITS, candidates: int = 2000,
-              checkpoint_every: int = 10, approx_merges_per_round: int | None = None,
-              max_rounds: int | None = None, context_candidates: int = 32) -> BPEModel:
+              checkpoint_every: int = 10, context_candidates: int = 32) -> BPEModel:
     """Learn a byte-level BPE vocabulary of ``vocab_size`` tokens (specials
     included) from a text column.
 
-    Exact by default: the merges equal those of one-merge-at-a-time
-    training. ``approx_merges_per_round=k`` is an explicit approximate mode
-    for large vocabularies: up to ``k`` symbol-disjoint best pairs per round
-    without the bound test."""
+    The merges equal those of one-merge-at-a-time training."""
     spark = texts.sparkSession
     checkpoint_dir(spark)
     wc = word_counts(texts, text).checkpoint(eager=True)
@@ -222,7 +218,7 @@ def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "tex
     rounds = 0
     previous = None
     stats = {"rounds": 0, "merges": 0}
-    while len(vocab) < vocab_size and (max_rounds is None or rounds < max_rounds):
+    while len(vocab) < vocab_size:
         rounds += 1
         pairs = _pairs(words)
         # one job per round: the best pairs and, for every symbol, the largest
@@ -246,19 +242,9 @@ def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "tex
         max_as_right = {int(r["l"]): int(r["c"]) for r in rows if r["kind"] == "R"}
         max_as_left = {int(r["l"]): int(r["c"]) for r in rows if r["kind"] == "L"}
         budget = vocab_size - len(vocab)
-        if approx_merges_per_round:
-            chosen, used = [], set()
-            for c in cands:
-                if c.count < min_frequency or len(chosen) >= min(budget, approx_merges_per_round):
-                    break
-                if c.left in used or c.right in used:
-                    continue
-                chosen.append(c)
-                used.update((c.left, c.right))
-        else:
-            context = {(int(r["l"]), int(r["r"])): int(r["c"]) for r in rows if r["kind"] == "X"}
-            chosen = accept_round(cands, max_as_right, max_as_left, budget, min_frequency,
-                                  _with_zero_context(cands, context, context_candidates))
+        context = {(int(r["l"]), int(r["r"])): int(r["c"]) for r in rows if r["kind"] == "X"}
+        chosen = accept_round(cands, max_as_right, max_as_left, budget, min_frequency,
+                              _with_zero_context(cands, context, context_candidates))
         if not chosen:
             break
         applied = []
