@@ -24,6 +24,7 @@ from tessera.llm.rp_forest import near_vectors
 from tessera.llm.toxicity import Lexicon, score_toxicity
 from tessera.llm.url_templates import url_filter
 
+SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, source string, n long, cls string, m double, score string, id string, token string"
 
@@ -256,10 +257,10 @@ def test_classifiers_on_odd_rows(spark):
 
 
 @pytest.mark.parametrize("name,column,least", [("op6_quality_classifier", "quality", 0.95), ("op7_toxicity", "toxic", 0.93)])
-def test_held_out_accuracy(spark, sf001, name, column, least):
+def test_held_out_accuracy(spark, name, column, least):
     from tessera.llm.common import table
     from tessera.llm.queries import QUERIES
-    got = QUERIES[name](spark, sf001).join(table(spark, sf001, "labels"), "doc_id").where("held_out")
+    got = QUERIES[name](spark, SF).join(table(spark, SF, "labels"), "doc_id").where("held_out")
     share = got.agg(F.avg((F.col("predicted") == F.col(column)).cast("double"))).first()[0]
     assert share >= least
 
@@ -367,3 +368,29 @@ def test_near_vectors_against_brute_force(spark):
     assert all(whole[i].n_links == 0 and whole[i].component_id == i and whole[i].kept for i in range(2000, 2006))
     assert whole[None].n_links == 0 and whole[None].kept is False
     assert near_vectors(v.limit(0)).count() == 0
+
+
+# the five-stage pipeline ----------------------------------------------------
+def test_pipeline_stages(spark):
+    """Each stage against its operator's own rows on the same input."""
+    import corpus_pipeline as P
+    from tessera.llm.common import cut_lineage, table
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    labels = table(spark, "/root/testdata/sf0.001", "labels")
+    ids = lambda df: Counter(r.doc_id for r in df.collect())
+    good = cut_lineage(P.quality(spark, docs, "/root/testdata/sf0.001"))
+    assert ids(good) == ids(classify(docs, labels).where("predicted = 1")) and good.columns == docs.columns
+    clean = cut_lineage(P.toxicity(spark, good, "/root/testdata/sf0.001"))
+    assert ids(clean) == ids(score_toxicity(good, labels).where("predicted = 0")) and clean.columns == docs.columns
+    sets = {r.doc_id: word_shingles(r.text, 5) for r in clean.collect()}
+    single = cut_lineage(P.near_copies(spark, clean, ""))
+    assert ids(single) == Counter(set(brute_components(sets, 80).values())) and single.columns == docs.columns
+    mixed = cut_lineage(P.mixing(spark, single, ""))
+    want = {r.doc_id: r.taken for r in taken_words(*mix(single)).collect() if r.taken}
+    got = Counter()
+    for r in mixed.collect():
+        got[r.doc_id] += len(WORD.findall(r.text))
+    assert got == want and mixed.columns == docs.columns
+    last = P.encoding(spark, mixed, "")
+    assert last.count() == mixed.count() == last.where("lossless").count()
+    assert ids(P.run(spark, "/root/testdata/sf0.001")) == ids(mixed)
