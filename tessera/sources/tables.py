@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .schemas import check_columns
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -20,12 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # S1 -------------------------------------------------------------------------
 def read_corpus(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Load a corpus split. With a schema, the scan reads only those columns
-    and fails on a type mismatch instead of inferring."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+    """Load a corpus split. With a schema, the files' own columns are checked
+    first (a missing column, or one of another type, is an error) and the
+    scan reads only the schema's columns."""
+    df = spark.read.parquet(path)
+    if schema is None:
+        return df
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return check_columns(df, wanted).select(*wanted.fieldNames())
 
 
 # S2 -------------------------------------------------------------------------
