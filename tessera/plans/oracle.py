@@ -434,3 +434,48 @@ register("tokenizer_stats", f"""
 WITH s(token, id) AS (VALUES {_SPECIAL_ROWS})
 SELECT token, CAST(id AS INTEGER) AS id, 352 AS vocab_size,
   (SELECT count(DISTINCT conv_id) FROM conversations) AS samples FROM s""")
+
+
+# ---------------------------------------------------------------------------
+# byte-level pre-tokens in SQL. RE2 has no lookahead: a mark is put before the
+# last blank of every run that a non-blank follows, so that "a run but its
+# last blank" and "the last blank with what follows" are plain alternatives.
+# ---------------------------------------------------------------------------
+def pretokens_sql(text: str) -> str:
+    marked = rf"regexp_replace({text}, '(\s+)(\s\S)', '\1' || chr(2) || '\2', 'g')"
+    return (rf"regexp_extract_all({marked}, '''(?:s|t|re|ve|m|ll|d)| ?\p{{L}}+| ?\p{{N}}+"
+            rf"| ?[^\s\p{{L}}\p{{N}}\x02]+|\s+')")
+
+
+_SYMBOL = """CASE WHEN b BETWEEN 33 AND 126 OR b BETWEEN 161 AND 172 OR b BETWEEN 174 AND 255 THEN chr(CAST(b AS INTEGER))
+  WHEN b <= 32 THEN chr(CAST(256 + b AS INTEGER)) WHEN b BETWEEN 127 AND 160 THEN chr(CAST(162 + b AS INTEGER))
+  ELSE chr(323) END"""
+_CH_BYTES = _CP_BYTES.replace("c ", "unicode(ch) ").replace("[c]", "[unicode(ch)]")
+
+
+def word_pieces_sql(word: str) -> str:
+    """SQL expression: byte symbols of a word, numeric symbols standing alone."""
+    symbols = (f"array_to_string(flatten(list_transform(string_split({word}, ''), lambda ch: CASE WHEN ch = '' THEN [] "
+               f"ELSE list_transform({_CH_BYTES}, lambda b: {_SYMBOL}) END)), '')")
+    return f"regexp_extract_all({symbols}, '[0-9²³¹¼½¾]|[^0-9²³¹¼½¾]+')"
+
+
+register("word_counts", f"""
+WITH t AS ({ORACLE["chatml_train"]}),
+raw AS (SELECT unnest({pretokens_sql("nfc_normalize(text)")}) AS raw FROM t),
+counted AS (SELECT raw, count(*) AS n FROM raw GROUP BY raw)
+SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT unnest({word_pieces_sql("raw")}) AS word, n FROM counted)
+GROUP BY word""")
+register("base_alphabet", f"""
+WITH t AS ({ORACLE["chatml_train"]}),
+ch AS (SELECT DISTINCT unnest(string_split(nfc_normalize(text), '')) AS ch FROM t),
+b AS (SELECT DISTINCT unnest({_CH_BYTES}) AS b FROM ch WHERE ch <> '')
+SELECT {_SYMBOL} AS symbol FROM b UNION SELECT unnest(['0','1','2','3','4','5','6','7','8','9'])""")
+register("pretokenize", rf"""
+WITH seg AS (SELECT doc_id, string_split(regexp_replace(text, {SPECIAL_RE_SQL}, chr(1) || '\1' || chr(1), 'g'), chr(1)) AS segs
+             FROM documents),
+one AS (SELECT doc_id, unnest(segs) AS seg, generate_subscripts(segs, 1) AS i FROM seg),
+words AS (SELECT doc_id, i, CASE WHEN i % 2 = 0 THEN [seg] ELSE flatten(list_transform(
+  {pretokens_sql("nfc_normalize(seg)")}, lambda p: {word_pieces_sql("p")})) END AS w FROM one),
+docs AS (SELECT doc_id, flatten(list(w ORDER BY i)) AS w FROM words GROUP BY doc_id)
+SELECT doc_id, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS word FROM docs""")
