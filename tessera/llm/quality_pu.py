@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bind, narrow, table, words_of
+from .common import bind, hash_sample, narrow, table, words_of
 from .quality_rules import metrics
 
 POSITIVES, UNLABELLED = 6_000, 18_000      # bounds of the training sample
@@ -123,8 +123,7 @@ def fit(p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
 def train(docs: DataFrame, trusted: DataFrame, seed: int = 3) -> tuple[np.ndarray, float] | None:
     """Fit on ``docs`` (doc_id, text) with ``trusted`` (doc_id) positives."""
     def some(ids: DataFrame, salt: str, bound: int) -> DataFrame:
-        return ids.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(
-            F.xxhash64("doc_id", F.lit(f"{salt}{seed}")), "doc_id").limit(bound)
+        return hash_sample(ids.where(F.col("doc_id").isNotNull()).select("doc_id"), "doc_id", bound, f"{salt}{seed}")
 
     pick = some(trusted, "p", POSITIVES).withColumn("trusted", F.lit(True)).unionByName(
         some(docs, "u", UNLABELLED).withColumn("trusted", F.lit(False)))

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, narrow, python_ready, table
+from .common import cut_lineage, hash_sample, narrow, python_ready, table
 from .components import components
 
 THRESHOLD = 0.95
@@ -179,7 +179,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, trees: int =
         own = classes.where(F.size("embedding") == n)
         total = own.count()
         depth = max(0, math.ceil(math.log2(max(1, total) / leaf)))
-        sample = own.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SAMPLE).select("embedding") if depth else None
+        sample = hash_sample(own, "id", SAMPLE, f"v{seed}", total).select("embedding") if depth else None
         rows = _unit([r[0] for r in sample.collect()]) if depth else np.zeros((0, n))
         forests[n] = Forest(rows, depth, trees, seed)
     shared = spark.sparkContext.broadcast(forests)        # bounded by SAMPLE, TREES and the depth

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bind, cut_lineage, narrow, python_ready, table, words_of
+from .common import bind, cut_lineage, hash_sample, narrow, python_ready, table, words_of
 from .quality_pu import held_out
 
 TOXIC, CLEAN = 4_000, 8_000           # labelled documents the lexicon is learnt from
@@ -141,7 +141,7 @@ def learn(docs: DataFrame, labels: DataFrame, seed: int = 3) -> Lexicon:
     per_doc = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
     def some(toxic: int, bound: int) -> DataFrame:
-        return per_doc.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(bound)
+        return hash_sample(per_doc.where(F.col("toxic") == toxic), "doc_id", bound, f"t{seed}")
 
     pick = some(1, TOXIC).unionByName(some(0, CLEAN))
     # a word counts once per pair of neighbours, so that copies of one document aren't evidence
