@@ -412,12 +412,16 @@ p AS (SELECT conv_id, batch_id, row_in_batch,
 SELECT conv_id, batch_id, row_in_batch, input_ids, attention_mask,
   list_transform(list_zip(input_ids, attention_mask), lambda q: CASE WHEN q[2] = 0 THEN -100 ELSE q[1] END) AS labels
 FROM p""")
+ORACLE["sft_batches"] = " UNION ALL ".join(
+    "SELECT *, '" + x + "' AS split FROM (" + ORACLE["sft_batches"].replace("split = 'train'", "split = '" + x + "'") + ")" for x in ("train", "test"))
 register("story_batches", with_(STORIES, FLAGGED, CLEAN) + f"""
 , tr AS (SELECT doc_id, input_ids AS ids, {order_idx('doc_id', '42')} AS i FROM clean WHERE split = 'train'),
 b AS (SELECT *, CAST(i // 2 AS BIGINT) AS batch_id, CAST(i % 2 AS INTEGER) AS row_in_batch FROM tr),
 c AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS L FROM b)
 SELECT doc_id, batch_id, row_in_batch, list_resize(ids, L, 4) AS input_ids,
   list_resize(list_transform(ids, lambda x: 1), L, 0) AS attention_mask, list_resize(ids, L, 4) AS labels FROM c""")
+ORACLE["story_batches"] = " UNION ALL ".join(
+    "SELECT *, '" + x + "' AS split FROM (" + ORACLE["story_batches"].replace("split = 'train'", "split = '" + x + "'") + ")" for x in ("train", "test"))
 
 
 # ---------------------------------------------------------------------------

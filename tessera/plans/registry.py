@@ -476,19 +476,25 @@ def _saved(spark, df, name):
     steps do."""
     path = _scratch(spark, name)
     TB.write_splits(df, path)
-    return TB.read_split(spark, path, "train")
+    return TB.read_split(spark, path)
+
+
+def _per_split(saved, batches):
+    """Training and evaluation rows are batched apart."""
+    train, test = (batches(saved.where(F.col("split") == s)).withColumn("split", F.lit(s)) for s in ("train", "test"))
+    return train.unionByName(test)
 
 
 @query("sft_batches")
 def q_sft_batches(spark, sf):
-    sft = _saved(spark, _sft(spark, sf), "sft")
-    return X.chat_batches(sft, C.PHASES["sft"][4], SFT_MAX_LENGTH)
+    return _per_split(_saved(spark, _sft(spark, sf), "sft"),
+                      lambda rows: X.chat_batches(rows, C.PHASES["sft"][4], SFT_MAX_LENGTH))
 
 
 @query("story_batches")
 def q_story_batches(spark, sf):
-    clean = _saved(spark, _clean(spark, sf), "clean-stories")
-    return X.doc_batches(clean, C.PHASES["phase2"][4])
+    return _per_split(_saved(spark, _clean(spark, sf), "clean-stories"),
+                      lambda rows: X.doc_batches(rows, C.PHASES["phase2"][4]))
 
 
 # --- tokenizer: pre-tokens, words, BPE training, encode/decode, checks -------
