@@ -92,9 +92,9 @@ def long_story(df: DataFrame, min_tokens: int = C.LONG_STORY_MIN_TOKENS) -> Data
 
 
 # P5 -----------------------------------------------------------------------
-def length_gate(df: DataFrame, min_tokens: int, ids: str = "input_ids") -> DataFrame:
+def length_gate(df: DataFrame, min_tokens: int, n_tokens: str = "n_tokens") -> DataFrame:
     """Keep rows whose untruncated token count reaches ``min_tokens``."""
-    return df.where(F.size(ids) >= min_tokens)
+    return df.where(F.col(n_tokens) >= min_tokens)
 
 
 # P7 -----------------------------------------------------------------------

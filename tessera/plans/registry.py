@@ -253,11 +253,7 @@ def q_id_range_check(spark, sf):
 
 @query("tokenizer_efficiency")
 def q_tokenizer_efficiency(spark, sf):
-    d = _docs(spark, sf).select(F.length("text").alias("chars"), B.byte_token_count(F.col("text")).alias("toks"))
-    return d.agg(F.sum("chars").alias("total_chars"), F.sum("toks").alias("total_tokens")) \
-        .select(F.lit("byte").alias("tokenizer"), "total_chars", "total_tokens",
-                F.round(F.col("total_chars") / F.col("total_tokens"), 6).alias("chars_per_token"),
-                F.lit(B.BYTE_VOCAB_SIZE).alias("vocab_size"))
+    return TC.efficiency(_docs(spark, sf).select("text"), "text", {"byte": (B.byte_ids, B.BYTE_VOCAB_SIZE)})
 
 
 @query("truncate_head")
@@ -376,7 +372,7 @@ def q_long_story_filter(spark, sf):
 @query("length_gate")
 def q_length_gate(spark, sf):
     st = FX.stories(spark, sf).select("doc_id", B.byte_token_count(G.titled_text()).alias("n_tokens"))
-    return st.where(F.col("n_tokens") >= FX.MIN_TOKENS)
+    return G.length_gate(st, FX.MIN_TOKENS)
 
 
 @query("fixed_length_corpus")
