@@ -1,10 +1,15 @@
 """Embedding near-dup: a forest of random-projection trees.
 
-Each tree splits the vectors by random directions, level by level, at the
-medians of a bounded sample (``SAMPLE`` vectors; every vector is indexed).
-Below the sample's resolution a node splits at the projection of its nearest
-ancestor's mean. Splits overlap: in each tree a vector also enters the leaf on
-the other side of the split it lies closest to, if that is within ``SPILL``.
+Each tree splits the vectors by random directions, level by level. Split
+points come from a bounded sample (``SAMPLE`` vectors; every vector is
+indexed): of a node's middle quantiles, the one that parts the fewest pairs at
+the threshold. How many it parts is estimated from how many sampled vectors
+lie how close to it, both over all vectors and over those with sampled links,
+so that a large group of near copies counts by its links. A node stays a leaf,
+whatever its size, when one more split would leave its tree with less than the
+share of such pairs from which all trees together miss ``MISS``. Splits
+overlap: in each tree a vector also enters the leaf on the other side of the
+split it lies closest to, if that is within ``SPILL``.
 Vectors are compared exactly, in double precision, within leaves; pairs at or
 above the threshold become links, and their components the groups.
 
@@ -14,7 +19,8 @@ above the threshold become links, and their components the groups.
   Links never leave a leaf as pairs: a leaf reports counts and, per
   connected set, one edge from each member to the smallest.
 * A leaf above ``LEAF_BLOCK`` vectors is cut into blocks, and each pair of
-  blocks is a group of its own: no task holds more than two blocks.
+  blocks is a group of its own: no task holds more than two blocks. A dense
+  group that can't be split without losing its links costs all its pairs.
 
 Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component, and rows without vec_id, have no links and are their
@@ -39,74 +45,99 @@ TREES = 10
 LEAF = 512                # vectors aimed at per leaf
 LEAF_BLOCK = 4096         # vectors a group compares at once, per side
 SAMPLE = 16_384           # vectors the split points are taken from
-NODE_SAMPLE = 16          # sampled vectors from which a node has a median of its own
+NODE_SAMPLE = 64          # sampled vectors from which a node is split
+MISS = 0.001              # share of the pairs at the threshold that all trees together may miss
+QUANTILES = np.linspace(0.2, 0.8, 13)     # of a node's sampled vectors: where it may be split
+REFERENCES = 4096         # sampled vectors that the sample's links are counted against
 SPILL = 0.02              # distance to a split within which a vector enters both sides
 BROADCAST_LEAVES = 200_000
 SEED = 5
 
 
+_Z = np.linspace(0.0, 6.0, 601)
+_TAIL = np.array([0.5 * math.erfc(z / math.sqrt(2)) for z in _Z])
+
+
 class Forest:
-    """Directions and split points of all trees for vectors of one length."""
+    """Directions and split points of all trees for ``total`` unit vectors of
+    one length, from a sample of them."""
 
-    def __init__(self, sample: np.ndarray, depth: int, trees: int, seed: int):
+    def __init__(self, sample: np.ndarray, total: int, leaf: int, trees: int, seed: int, threshold: float):
         dim = sample.shape[1]
         rng = np.random.default_rng([seed, dim])
-        r = rng.standard_normal((trees, depth, dim))
+        # the deepest path takes the largest share at each split
+        self.depth = min(60, math.ceil(math.log(total / leaf) / -math.log(QUANTILES[-1]))) if total > leaf else 0
+        self.trees = trees
+        r = rng.standard_normal((trees, self.depth, dim))
         self.directions = r / np.linalg.norm(r, axis=2, keepdims=True)
-        self.depth, self.trees = depth, trees
-        self.cuts: list[dict[int, float]] = []           # by tree: heap number of a node -> split point
-        self.means: list[dict[int, np.ndarray]] = []     # of the nodes below which no medians are kept
+        self.cuts: list[dict[int, float]] = []           # by tree: heap number of a split node -> split point
+        gap = max(math.sqrt(max(0.0, 2 - 2 * threshold) / dim), 1e-9)     # of a pair at the threshold, along a direction
+        least = 1 - MISS ** (1 / trees)                   # share of such pairs that a tree has to keep
+        near = np.zeros(len(sample))
+        for lo in range(0, len(sample) if self.depth else 0, 1024):
+            near[lo:lo + 1024] = (sample[lo:lo + 1024] @ sample[:REFERENCES].T >= threshold).sum(axis=1)
+        near[:REFERENCES] -= near[:REFERENCES] > 0        # not with itself
         for t in range(trees):
             cuts: dict[int, float] = {}
-            means: dict[int, np.ndarray] = {}
-            level = {1: np.arange(len(sample))}
-            for d in range(depth):
-                below: dict[int, np.ndarray] = {}
-                for node, rows in level.items():
-                    if len(rows) < NODE_SAMPLE:
-                        means[node] = sample[rows].mean(axis=0) if len(rows) else np.zeros(dim)
+            level = {1: (np.arange(len(sample)), 1.0)}
+            for d in range(self.depth):
+                below: dict[int, tuple[np.ndarray, float]] = {}
+                for node, (rows, kept) in level.items():
+                    if len(rows) < NODE_SAMPLE or len(rows) * total <= leaf * len(sample):
                         continue
                     p = sample[rows] @ self.directions[t, d]
-                    cuts[node] = float(np.median(p))
-                    below[2 * node], below[2 * node + 1] = rows[p < cuts[node]], rows[p >= cuts[node]]
+                    cut, parted = _split_point(p, near[rows], gap)
+                    left = p < cut
+                    if kept * (1 - parted) < least or left.all() or not left.any():
+                        continue
+                    cuts[node] = cut
+                    below[2 * node], below[2 * node + 1] = [(rows[side], kept * (1 - parted)) for side in (left, ~left)]
                 level = below
             self.cuts.append(cuts)
-            self.means.append(means)
-
-    def _split_points(self, t: int, d: int, node: np.ndarray) -> np.ndarray:
-        kinds, back = np.unique(node, return_inverse=True)
-        out = np.empty(len(kinds))
-        for k, n in enumerate(kinds.tolist()):
-            up = n
-            while up not in self.cuts[t] and up not in self.means[t] and up > 1:
-                up >>= 1
-            out[k] = self.cuts[t][n] if n in self.cuts[t] else float(self.means[t].get(up, np.zeros(1)) @ self.directions[t, d]) \
-                if up in self.means[t] else 0.0
-        return out[back]
+
+    def _walk(self, x: np.ndarray, t: int, turn: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Each vector's leaf in tree ``t``, turned the other way at level
+        ``turn``, and its distances to the splits on its path (else infinite)."""
+        node = np.ones(len(x), np.int64)
+        gaps = np.full((len(x), self.depth), np.inf)
+        for d in range(self.depth):
+            kinds, back = np.unique(node, return_inverse=True)
+            cut = np.array([self.cuts[t].get(k, np.nan) for k in kinds.tolist()])[back]
+            inner = np.flatnonzero(~np.isnan(cut))
+            if not len(inner):
+                break
+            gaps[inner, d] = x[inner] @ self.directions[t, d] - cut[inner]
+            right = gaps[inner, d] >= 0
+            if turn is not None:
+                right ^= turn[inner] == d
+            node[inner] = 2 * node[inner] + right
+        return node, gaps
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """(rows, trees, 2): each unit vector's leaf in each tree, and the one it spills to (else -1)."""
         out = np.full((len(x), self.trees, 2), -1, np.int64)
         for t in range(self.trees):
-            gaps = np.empty((len(x), self.depth))
-            node = np.ones(len(x), np.int64)
-            for d in range(self.depth):
-                gaps[:, d] = x @ self.directions[t, d] - self._split_points(t, d, node)
-                node = 2 * node + (gaps[:, d] >= 0)
-            out[:, t, 0] = node
+            out[:, t, 0], gaps = self._walk(x, t)
             if self.depth:
                 turn = np.abs(gaps).argmin(axis=1)
                 rows = np.flatnonzero(np.abs(gaps[np.arange(len(x)), turn]) < SPILL)
-                # walk again, turned the other way at the closest split
-                other = np.ones(len(rows), np.int64)
-                for d in range(self.depth):
-                    if len(rows):
-                        side = x[rows] @ self.directions[t, d] >= self._split_points(t, d, other)
-                        other = 2 * other + np.where(turn[rows] == d, ~(gaps[rows, d] >= 0), side)
-                out[rows, t, 1] = other
+                out[rows, t, 1] = self._walk(x[rows], t, turn[rows])[0]
         return out
 
 
+def _split_point(p: np.ndarray, near: np.ndarray, gap: float) -> tuple[float, float]:
+    """Of the quantiles of the projections ``p``, the one that parts the
+    smallest share of pairs at the threshold, and that share: the larger one
+    of all vectors' and of those weighted by their links ``near``."""
+    cuts = np.quantile(p, QUANTILES)
+    tails = np.interp(np.abs(p[None, :] - cuts[:, None]) / gap, _Z, _TAIL, right=0.0)
+    parted = tails.mean(axis=1)
+    if near.any():
+        parted = np.maximum(parted, tails @ near / near.sum())
+    best = int(np.lexsort((np.abs(QUANTILES - 0.5), parted))[0])
+    return float(cuts[best]), float(parted[best])
+
+
 def _unit(rows) -> np.ndarray:
     x = np.array(rows, dtype=np.float64)
     scale = np.abs(x).max(axis=1, keepdims=True)
@@ -138,12 +169,23 @@ def compare(x: np.ndarray, lists: np.ndarray, sizes: np.ndarray, side: np.ndarra
         near[np.arange(len(near)), np.arange(lo, lo + len(near))] = False
         if side is not None:
             near &= side[lo:lo + 256, None] != side[None, :]
+        # only pairs that meet here first: the others' links are known
+        if 16 * np.count_nonzero(near) > near.size:
+            for t in range(tree + 1):
+                for p in (0, 1):
+                    for q in (0, 1):
+                        mine = lists[lo:lo + 256, t, p]
+                        met = (mine >= 0) & (mine < leaf) if t == tree else mine >= 0
+                        near &= ~((mine[:, None] == lists[None, :, t, q]) & met[:, None])
+                if not near.any():
+                    break
+        else:
+            i, j = np.nonzero(near)
+            for at in range(0, len(i), 500_000):
+                a, b = i[at:at + 500_000], j[at:at + 500_000]
+                near[a, b] = ~_shared_before(lists[a + lo], lists[b], tree, leaf)
+        counts[lo:lo + 256] = near @ sizes
         linked[lo:lo + 256] = near
-        i, j = np.nonzero(near)
-        for at in range(0, len(i), 500_000):
-            a, b = i[at:at + 500_000] + lo, j[at:at + 500_000]
-            new = ~_shared_before(lists[a], lists[b], tree, leaf)
-            counts += np.bincount(a[new], weights=sizes[b[new]], minlength=m).astype(np.int64)
     first = np.full(m, -1)
     for k in np.flatnonzero(linked.any(axis=1)):
         if first[k] < 0:
@@ -178,11 +220,10 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, trees: int =
     for n in dims:
         own = classes.where(F.size("embedding") == n)
         total = own.count()
-        depth = max(0, math.ceil(math.log2(max(1, total) / leaf)))
-        sample = hash_sample(own, "id", SAMPLE, f"v{seed}", total).select("embedding") if depth else None
-        rows = _unit([r[0] for r in sample.collect()]) if depth else np.zeros((0, n))
-        forests[n] = Forest(rows, depth, trees, seed)
-    shared = spark.sparkContext.broadcast(forests)        # bounded by SAMPLE, TREES and the depth
+        sample = hash_sample(own, "id", SAMPLE, f"v{seed}", total).select("embedding") if total > leaf else None
+        rows = _unit([r[0] for r in sample.collect()]) if total > leaf else np.zeros((0, n))
+        forests[n] = Forest(rows, total, leaf, trees, seed, threshold)
+    shared = spark.sparkContext.broadcast(forests)        # bounded by SAMPLE and TREES
 
     def route(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -20,7 +20,7 @@ from tessera.llm.ngram_join import LIST, one_of_each, similar_sets
 from tessera.llm.pieces import decode_pieces, encode_pieces, pieces, round_trip
 from tessera.llm.quality_pu import class_prior, classify
 from tessera.llm.quality_rules import quality_rules
-from tessera.llm.rp_forest import near_vectors
+from tessera.llm.rp_forest import LEAF, SAMPLE, THRESHOLD, TREES, Forest, near_vectors
 from tessera.llm.toxicity import Lexicon, score_toxicity
 from tessera.llm.url_templates import url_filter
 
@@ -370,6 +370,36 @@ def test_near_vectors_against_brute_force(spark):
     assert near_vectors(v.limit(0)).count() == 0
 
 
+def dense_third(rng, n):
+    """``n`` unit vectors; the first third are pairwise at a cosine of about 0.96."""
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    aside = x[1:n // 3] - np.outer(x[1:n // 3] @ x[0], x[0])
+    x[1:n // 3] = math.sqrt(0.96) * x[0] + math.sqrt(0.04) * aside / np.linalg.norm(aside, axis=1)[:, None]
+    return x
+
+
+def test_near_vectors_in_a_dense_group(spark):
+    x = dense_third(np.random.default_rng(6), 6000)
+    v = spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(x)], "vec_id long, embedding array<double>")
+    near = x @ x.T >= THRESHOLD
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r.n_links for r in near_vectors(v, leaf=32).collect()}
+    assert all(got[i] <= near[i].sum() for i in range(6000))
+    assert sum(got.values()) >= 0.99 * near.sum()
+
+
+def test_forest_keeps_links_of_a_third_of_100000_vectors():
+    rng = np.random.default_rng(7)
+    x = dense_third(rng, 100_000)
+    lists = Forest(x[rng.permutation(len(x))[:SAMPLE]], len(x), LEAF, TREES, 5, THRESHOLD).leaves(x)
+    a, b = rng.integers(1, len(x) // 3, (2, 50_000))
+    linked = (a != b) & ((x[a] * x[b]).sum(axis=1) >= THRESHOLD)
+    a, b = lists[a[linked]], lists[b[linked]]
+    met = ((a[:, :, :, None] == b[:, :, None, :]) & (a[:, :, :, None] >= 0)).any(axis=(1, 2, 3))
+    assert len(met) > 10_000 and met.mean() >= 0.99
+
+
 # the five-stage pipeline ----------------------------------------------------
 def test_pipeline_stages(spark):
     """Each stage against its operator's own rows on the same input."""
