@@ -2,16 +2,19 @@
 
 A page is cut into blocks at block-level tags. Pass one decides a block by
 its container (menus, headers, footers, sidebars, notices, adverts, forms and
-comments are boilerplate; an article or main element is content), its link
-density, and - where the page names no main element - its length and
-stop-word density. Pass two lets every undecided short block take the label
+comments are boilerplate; an article or main element is content), and - where
+the page names no main element - its link density, length and stop-word
+density. Class and id names make no boilerplate of an element that holds the
+main element or, without one, all of the page's long text. Pass two lets every undecided short block take the label
 of its nearest decided neighbours. Content blocks are joined in page order.
 
 Each page is independent, so the work is one map over the rows: no shuffle,
 memory bounded by the longest page of a batch.
 
 Defined results: null or empty html gives an empty text; a comment, script or
-style that never ends runs to the end of the page; unknown closing tags are
+style that never ends runs to the end of the page; a head ends at the first
+thing that can't be in it, a title or textarea without its closing tag at the
+next block; a self-closed raw element is empty; unknown closing tags are
 ignored; repeated rows are extracted one by one; extra columns are ignored.
 """
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 import html as _html
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -32,7 +36,10 @@ _STOP = frozenset(STOP_WORDS)
 BLOCK_TAGS = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html iframe legend li main menu nav ol option p pre
 section select summary table tbody td tfoot th thead tr ul""".split())
-RAW_TAGS = ("script", "style", "noscript", "template", "textarea", "svg", "math", "head", "title", "object", "canvas")
+RAW_TAGS = frozenset(("script", "style", "template", "textarea", "title"))    # up to their closing tag, no text of the page
+HEAD_TAGS = frozenset("base head html link meta noscript script style template title".split())
+OPEN_TAGS = frozenset(("head", "title", "textarea"))     # end at the next block when they aren't closed
+FOREIGN_TAGS = frozenset(("svg", "math"))
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE_TAGS = frozenset("nav header footer aside form menu dialog button select iframe".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -46,11 +53,12 @@ BOILERPLATE_ROLES = frozenset("alert alertdialog banner complementary contentinf
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?"
-    r"|<(?P<raw>" + "|".join(RAW_TAGS) + r")\b(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>"
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]++|<)", re.S | re.I)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_CLOSE = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW_TAGS}
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 _PART = re.compile(r"[^a-z0-9]+")
 
 LONG_CHARS = 140          # a block this long is decided by its stop words
@@ -58,26 +66,86 @@ STOP_HIGH = 0.12          # share of stop words of running text
 LINK_HIGH = 0.5           # share of characters inside links
 
 
-def _bad_container(tag: str, attrs: str) -> bool:
-    if tag in BOILERPLATE_TAGS:
-        return True
+def _bad_container(tag: str, attrs: str) -> tuple[bool, bool]:
+    """Whether an element is boilerplate by its tag or role, and by its names."""
+    bad, named = tag in BOILERPLATE_TAGS, False
     for m in _NAMES.finditer(attrs):
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
-            if value in BOILERPLATE_ROLES:
-                return True
-        elif not BOILERPLATE_NAMES.isdisjoint(_PART.split(value)):
-            return True
-    return False
+            bad = bad or value in BOILERPLATE_ROLES
+        else:
+            named = named or not BOILERPLATE_NAMES.isdisjoint(_PART.split(value))
+    return bad, named
+
+
+@dataclass
+class _Block:
+    text: str
+    linked: int
+    heading: bool
+    bad: bool                  # inside a container that is boilerplate by tag or role
+    named: int                 # the innermost container around it that is boilerplate by name, else 0
+    main: int                  # the innermost main element around it, else 0
+
+
+def _holders(found: list[_Block], around: dict[int, int], mains: dict[int, tuple[str, int, int]]) -> set[int]:
+    """The named containers whose names don't count, as they hold the main
+    element or, without one, all long text. ``around``: the next named
+    container around each one, else 0; ``mains``: tag, innermost named
+    container and next main element around each main element."""
+    def chain(k: int) -> list[int]:
+        out = []
+        while k:
+            out.append(k)
+            k = around[k]
+        return out
+
+    sound = [b for b in found if not b.bad]
+    held = dict.fromkeys(mains, 0)
+    for b in sound:
+        if b.main:
+            held[b.main] += len(b.text)
+    for k in sorted(mains, reverse=True):      # inner ones start later
+        if mains[k][2]:
+            held[mains[k][2]] += held[k]
+    held = {k: n for k, n in held.items() if n}
+    first = [k for k in held if mains[k][0] == "main"] or list(held)
+    best = max(sorted(first), key=lambda k: held[k], default=0)
+    # a teaser in a sidebar is no main element beside longer text
+    if best and held[best] >= sum(len(b.text) for b in sound if not b.main and not b.named):
+        return set(chain(mains[best][1]))
+    if any(b.main and not b.named for b in sound):
+        return set()
+    long = [b for b in sound if len(b.text) >= LONG_CHARS and b.linked <= LINK_HIGH * len(b.text)] or sound
+    if not long:
+        return set()
+    common = chain(long[0].named)
+    place = {k: i for i, k in enumerate(common)}
+    start, walked = 0, {0}
+    for b in long[1:]:
+        k = b.named
+        while k not in place and k not in walked:
+            walked.add(k)
+            k = around[k]
+        if k in place:
+            start = max(start, place[k])
+        elif k == 0:
+            return set()
+    return set(common[start:])
 
 
 def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     """Non-empty blocks in page order: (text, characters in links, inside a
     boilerplate container, inside a main element, is a heading)."""
-    out: list[tuple[str, int, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []     # open elements: tag, boilerplate, main (both with their ancestors')
+    out: list[_Block] = []
+    # open elements: tag, boilerplate by tag or role (with its ancestors'), innermost named container, innermost main element
+    stack: list[tuple[str, bool, int, int]] = []
+    around: dict[int, int] = {}
+    mains: dict[int, tuple[str, int, int]] = {}
+    unclosed: set[str] = set()
     parts: list[str] = []
-    linked = links = 0
+    linked = links = foreign = at = 0
+    pending = -1               # place of the first of OPEN_TAGS in the stack
     heading = False
 
     def flush() -> None:
@@ -85,14 +153,29 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if parts:
             text = " ".join(_html.unescape("".join(parts)).split())
             if text:
-                bad, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                out.append((text, linked, bad, main, heading))
+                out.append(_Block(text, linked, heading, *(stack[-1][1:] if stack else (False, 0, 0))))
             parts.clear()
         linked, heading = 0, False
 
-    for m in _TOKEN.finditer(page):
+    def cut(k: int) -> None:
+        nonlocal foreign, pending
+        foreign -= sum(e[0] in FOREIGN_TAGS for e in stack[k:])
+        del stack[k:]
+        if pending >= k:
+            pending = -1
+
+    def end_open() -> None:
+        if pending >= 0:
+            cut(pending)
+
+    while at < len(page):
+        m = _TOKEN.match(page, at)
+        at = m.end()
         text = m["text"]
         if text is not None:
+            if stack and stack[-1][0] == "head" and text.strip():
+                flush()
+                end_open()
             parts.append(text)
             if links:
                 linked += len(text.strip())
@@ -101,10 +184,22 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if not tag:
             continue
         tag = tag.lower()
+        if tag in RAW_TAGS and not m["end"]:
+            if _SELF_CLOSED.search(m["attrs"]):
+                continue
+            close = None if tag in unclosed else _CLOSE[tag].search(page, at)
+            if close:
+                at = close.end()
+                continue
+            unclosed.add(tag)
+            if tag in ("script", "style"):
+                break
+            if tag == "template":
+                continue
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in BLOCK_TAGS:
+        if tag in BLOCK_TAGS or tag in OPEN_TAGS:
             flush()
             links = 0
         if m["end"]:
@@ -112,28 +207,44 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 links = 0
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    cut(k)
                     break
         elif tag not in VOID_TAGS:
+            if tag in BLOCK_TAGS:
+                end_open()
+            elif stack and stack[-1][0] == "head" and tag not in HEAD_TAGS:
+                flush()
+                end_open()
+            if (foreign or tag in FOREIGN_TAGS) and _SELF_CLOSED.search(m["attrs"]):
+                continue
             if tag == "a":
                 links = 1
             if tag == "p" or tag in HEADINGS:
                 # a new paragraph or heading ends the open one
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == "p" or stack[k][0] in HEADINGS:
-                        del stack[k:]
+                        cut(k)
                         break
                     if stack[k][0] in BLOCK_TAGS:
                         break
-            bad, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            if tag in BLOCK_TAGS or m["attrs"].strip():
-                bad = bad or (tag not in ("body", "html", "a") and _bad_container(tag, m["attrs"]))
-            main = main or tag in MAIN_TAGS
-            stack.append((tag, bad, main))
+            bad, named, main = stack[-1][1:] if stack else (False, 0, 0)
+            if tag in OPEN_TAGS:
+                bad = True
+                pending = len(stack) if pending < 0 else pending
+            elif (tag in BLOCK_TAGS or m["attrs"].strip()) and tag not in ("body", "html", "a"):
+                by_tag, by_name = _bad_container(tag, m["attrs"])
+                bad = bad or by_tag
+                if by_name:
+                    around[at], named = named, at
+            if tag in MAIN_TAGS:
+                mains[at], main = (tag, named, main), at
+            stack.append((tag, bad, named, main))
+            foreign += tag in FOREIGN_TAGS
             if tag in HEADINGS:
                 heading = True
     flush()
-    return out
+    free = _holders(out, around, mains) | {0}
+    return [(b.text, b.linked, b.bad or b.named not in free, b.main > 0, b.heading) for b in out]
 
 
 def labels(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
@@ -141,10 +252,12 @@ def labels(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
     has_main = any(main and not bad for _, _, bad, main, _ in found)
     first: list[bool | None] = []
     for text, linked, bad, main, heading in found:
-        if bad or linked > LINK_HIGH * len(text):
+        if bad:
             first.append(False)
         elif has_main:
             first.append(main)
+        elif linked > LINK_HIGH * len(text):
+            first.append(False)
         elif len(text) < LONG_CHARS or heading:
             first.append(None)
         else:

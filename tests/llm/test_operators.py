@@ -329,6 +329,34 @@ def test_html():
     assert len(main_text("<article>" + "<p>long text</p>" * 20_000)) == 20_000 * 10 - 1
 
 
+def test_html_keeps_whole_articles():
+    prose = "It was the best of the times and it was the worst of the times for all that were in it, as the book of the two cities says at the start of it."
+    # a head, title or textarea without its closing tag; head's own text is none of the page's
+    assert main_text(f"<html><head><title>T</title><body><article><p>{prose}</article>") == prose
+    assert main_text(f"<html><head><title>T</title><p>{prose}") == prose
+    assert main_text(f"<html><head><title>T<body><article><p>{prose}</article>") == prose
+    assert main_text(f"<head><title>T</title><noscript>off</noscript></head>{prose}") == prose
+    assert main_text(f"<article><p>One <textarea>two<p>{prose}</article>") == f"One\n{prose}"
+    # self-closed elements are empty
+    for lone in ("<svg/>", "<math />", "<svg><path class='ad'/></svg>", "<script src='x'/>", "<template/>", "<canvas/>"):
+        assert main_text(f"<article><p>One{lone} two</p><p>{prose}</p><svg><title>Icon</title></svg></article>") == f"One two\n{prose}"
+    # text of math, object, canvas, noscript and svg
+    assert main_text("<article><p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then <object>o</object> <canvas>c</canvas> <svg><text>s</text></svg>"
+                     "<noscript>n</noscript></p></article>") == "If x=1 then o c sn"
+    assert main_text("<article><p>a<script>x</script><style>y</style></p><template><p>z</p></template></article>") == "a"
+    # names on what holds the main element, or all long text
+    for holder in ("div class='page has-sidebar'", "div id=header-fixed"):
+        assert main_text(f"<{holder}><nav>Menu</nav><article class='share-buttons-off'><p>{prose}</p><div class=ad>Buy</div></article></div>") == prose
+        assert main_text(f"<{holder}><main class=no-banner><p>{prose}</main></div>") == prose
+        assert main_text(f"<{holder}><p>{prose}</p><div class=comments><p>Me too.</p></div></div>") == prose
+    assert main_text(f"<article><p>{prose}</p></article><div id=comments><article><p>Me too.</p></article></div>") == prose
+    assert main_text(f"<div><p>{prose}</p></div><div class=sidebar><article><p>Teaser</p></article></div>") == prose
+    # links are text of an article
+    assert main_text(f"<article><p>{prose}</p><ul><li><a href=x>Source</a></li></ul></article>") == f"{prose}\nSource"
+    assert main_text("<textarea>" * 20_000 + "x") == ""
+    assert main_text("<div class=ad><article class=ad>a" * 5_000) == "a"      # the rest is in adverts
+
+
 def test_html_frame(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>a</p></article>", "x"), (2, None, None, "y"), (2, None, None, "y")],
                                   "page_id long, url string, html string, text string")
