@@ -5,8 +5,9 @@ Paths are cut into segments and digit runs are generalised at once
 host: a segment value with few urls under its parent becomes the wildcard
 ``*``, and a value whose labelled purity does not differ statistically from
 its siblings' (a two-proportion z-test against the parent) is merged into the
-wildcard too. What lies deeper than ``DEPTH`` segments is one tail
-wildcard. A template is rejected when its smoothed labelled purity,
+wildcard too. The tree grows until no branch is left that could have a segment value
+of its own: with a further segment, enough urls, and labels of both kinds;
+what lies deeper are wildcards. A template is rejected when its smoothed labelled purity,
 ``(good + prior * K) / (labelled + K)``, falls below ``MIN_PURITY``.
 
 All steps are joins and groupings of built-in functions. The urls are first
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, narrow, table
 
-DEPTH = 3                 # path segments that get a level of the tree
 MIN_URLS = 20             # urls under which a segment value is generalised
 Z_DIFFERENT = 3.0         # standard errors from which a branch stands alone
 SMOOTHING = 10.0          # pseudo-labels at the prior's purity
@@ -75,44 +75,53 @@ def best_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return (name, verdict) if name is not None else (F.lit(None).cast("string"),) * 2
 
 
-def _segments(path: Column) -> list[Column]:
-    """``DEPTH`` generalised segments (empty string: none at that level), then the tail."""
-    parts = F.split(F.regexp_replace(path, r"[0-9]+", "{n}"), "/")
-    level = [F.coalesce(F.get(parts, F.lit(i + 1)), F.lit("")).alias(f"s{i + 1}") for i in range(DEPTH)]
-    return [*level, F.when(F.size(parts) > DEPTH + 1, F.lit("/*")).otherwise("").alias("tail")]
-
-
-LEVELS = [f"s{i + 1}" for i in range(DEPTH)]
+def _shape(path: Column) -> Column:
+    """The generalised path."""
+    return F.regexp_replace(path, r"[0-9]+", "{n}")
 
 
 def template_tree(urls: DataFrame, labels: DataFrame) -> DataFrame:
-    """From ``urls`` (host, s1..sD, tail, label_id) and ``labels`` (label_id,
-    good) one row per distinct generalised path: host, s1..sD, tail,
-    template, n_urls, n_labelled, n_good, rejected."""
-    shape = ["host", *LEVELS, "tail"]
+    """From ``urls`` (host, shape, label_id) and ``labels`` (label_id, good)
+    one row per distinct generalised path: host, shape, template, n_urls,
+    n_labelled, n_good, rejected."""
+    shape = ["host", "shape"]
     good = labels.groupBy("label_id").agg(F.min("good").alias("good"))
     marked = (urls.where(F.col("label_id").isNotNull()).join(good, "label_id").groupBy(*shape)
               .agg(F.count(F.lit(1)).alias("lab"), F.sum("good").alias("good")))
     paths = cut_lineage(urls.groupBy(*shape).agg(F.count(F.lit(1)).alias("n"))
                         .join(marked, shape, "left").na.fill(0, ["lab", "good"]))
     sums = (F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("good").alias("good"))
-
-    grown, done = paths.withColumn("prefix", F.lit("")), "prefix"
-    for seg in LEVELS:
-        child = grown.groupBy("host", done, seg).agg(*sums)
-        parent = child.groupBy("host", done).agg(F.sum("lab").alias("p_lab"), F.sum("good").alias("p_good"))
+    mixed = (F.col("n") >= MIN_URLS) & (F.col("good") > 0) & (F.col("good") < F.col("lab"))
+
+    # segments after the path's first slash; slashes at its end make none
+    trimmed = F.expr("trim(TRAILING '/' FROM shape)")
+    parts = F.split(trimmed, "/")
+    segments = F.size(parts) - 1
+    # around empty segments a branch can come back to one that had ended: such paths are followed to their ends
+    odd = paths.groupBy("host").agg(*sums, F.max(F.when(F.contains(trimmed, F.lit("//")), segments)).alias("odd")) \
+        .where(mixed).agg(F.max("odd")).first()[0] or 0
+    grown, level = paths.withColumn("prefix", F.lit("")), 1
+    while True:
+        live = grown.groupBy("host", "prefix").agg(*sums, F.max(segments).alias("segments")).where(mixed & (F.col("segments") >= level))
+        if level > odd and not live.limit(1).count():
+            break
+        grown = grown.withColumn("seg", F.coalesce(F.get(parts, F.lit(level)), F.lit("")))
+        child = grown.groupBy("host", "prefix", "seg").agg(*sums)
+        parent = child.groupBy("host", "prefix").agg(F.sum("lab").alias("p_lab"), F.sum("good").alias("p_good"))
         rate = F.col("p_good") / F.col("p_lab")
         gap = F.abs(F.col("good") - F.col("lab") * rate)
         # a branch stands alone when its good labels are too far from what the parent's rate gives
         stands = (F.col("lab") > 0) & (F.col("p_lab") > 0) & (
             gap * gap > Z_DIFFERENT * Z_DIFFERENT * F.col("lab") * rate * (1 - rate)) & (gap > 0)
-        keep = (child.where((F.col("n") >= MIN_URLS) & (F.col(seg) != ""))
-                .join(parent, ["host", done]).where(stands).select("host", done, seg, F.lit(True).alias("stands")))
-        step = (F.when(F.col(seg) == "", F.lit("")).when(F.col("stands"), F.concat(F.lit("/"), F.col(seg)))
+        keep = (child.where((F.col("n") >= MIN_URLS) & (F.col("seg") != ""))
+                .join(parent, ["host", "prefix"]).where(stands).select("host", "prefix", "seg", F.lit(True).alias("stands")))
+        step = (F.when(F.col("seg") == "", F.lit("")).when(F.col("stands"), F.concat(F.lit("/"), F.col("seg")))
                 .otherwise(F.lit("/*")))
-        grown = (grown.join(keep, ["host", done, seg], "left")
-                 .withColumn("prefix", F.concat("prefix", step)).drop("stands"))
-    tree = grown.withColumn("template", F.concat("prefix", "tail"))
+        grown = cut_lineage(grown.join(keep, ["host", "prefix", "seg"], "left")
+                            .withColumn("prefix", F.concat("prefix", step)).drop("stands", "seg"))
+        level += 1
+    deeper = F.size(F.filter(F.slice(parts, level + 1, F.greatest(segments, F.lit(0)) + 1), lambda p: p != ""))
+    tree = grown.select(*shape, "n", "lab", "good", F.concat("prefix", F.repeat(F.lit("/*"), deeper)).alias("template"))
     leaf = tree.groupBy("host", "template").agg(*[F.sum(c).alias(f"n_{c}") for c in ("n", "lab", "good")])
     total = paths.agg(F.sum("good").alias("g"), F.sum("lab").alias("l")).first()
     prior = total["g"] / total["l"] if total["l"] else 1.0
@@ -129,11 +138,10 @@ def url_filter(urls: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     host, path = url_parts(F.col("url"))
     d = narrow(urls, {"page_id": "long", "url": "string", "label_id": "long"}).select(
         "page_id", "label_id", host.alias("host"), path.alias("path"))
-    d = d.select("*", *_segments(F.col("path")))
-    shape = ["host", *LEVELS, "tail"]
+    d = d.withColumn("shape", _shape(F.col("path")))
     tree = template_tree(d, narrow(labels, {"label_id": "long", "good": "int"}).where(F.col("good").isNotNull()))
     rule, verdict = best_rule(F.col("host"), F.col("path"), rules)
-    return d.join(tree, shape).select(
+    return d.join(tree, ["host", "shape"]).select(
         "page_id", "host", "path", rule.alias("rule"),
         F.coalesce(verdict, F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"),
         "template", "n_urls", "n_labelled", "n_good")
@@ -148,6 +156,11 @@ def op2_url_filters(spark, sf_dir: str) -> DataFrame:
     return url_filter(urls, good)
 
 
+#: Levels of the SQL, which has no loop over them: it holds for paths of up to so many segments.
+DEPTH = 3
+LEVELS = [f"s{i + 1}" for i in range(DEPTH)]
+
+
 def _sql() -> str:
     segs = ",\n".join(f"coalesce(p[{i + 2}], '') AS s{i + 1}" for i in range(DEPTH))
     keys = "host, " + ", ".join(LEVELS) + ", tail"

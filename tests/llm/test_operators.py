@@ -123,6 +123,18 @@ def test_url_filter(spark):
     assert url_filter(urls, labels.limit(0)).where("verdict = 'block' AND rule IS NULL").count() == 0
 
 
+def test_url_filter_on_deep_paths(spark):
+    rows = [(i, f"http://h.example.net/a/b/2024/05/{'casino' if i % 2 else 'news'}-x/{i}", i) for i in range(120)]
+    rows += [(200 + i, "http://h.example.net" + path, None) for i, path in enumerate(("/a/b/c/d/e/f/g", "/a/b/c/d/e/f/g/", "//", "/a//b///c", "/" + "z/" * 50))]
+    urls = spark.createDataFrame(rows, "page_id long, url string, label_id long")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)], "label_id long, good int")
+    got = {r.page_id: r for r in url_filter(urls, labels).collect()}
+    assert len(got) == 125
+    assert all((got[i].template, got[i].verdict, got[i].n_urls) == (
+        ("/*/*/*/*/casino-x/*", "block", 60) if i % 2 else ("/*/*/*/*/news-x/*", "allow", 60)) for i in range(120))
+    assert [got[200 + i].template for i in range(5)] == ["/*" * 7, "/*" * 7, "", "/*" * 3, "/*" * 50]
+
+
 # 3 ------------------------------------------------------------------------
 def test_permutations_and_shards():
     for n in (1, 2, 3, 64, 1000):
