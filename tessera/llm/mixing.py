@@ -142,6 +142,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) ->
 
 def _offsets(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, sid, n_docs, size, tie) with ``start``: its first word's place in its source."""
+    row = ["__row"] if "__row" in docs.columns else []
     buckets = F.ceil(F.col("n_docs") / BUCKET_DOCS).cast("long")
     d = docs.withColumn("b", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("bucket")), buckets))
     sums = d.groupBy("sid", "b").agg(F.sum("size").alias("n")).withColumn("g", F.floor(F.col("b") / GROUP_BUCKETS))
@@ -151,7 +152,7 @@ def _offsets(docs: DataFrame) -> DataFrame:
     sums = sums.withColumn("b_start", F.sum("n").over(
         Window.partitionBy("sid", "g").orderBy("b").rowsBetween(run, 0)) - F.col("n"))
     starts = sums.join(groups, ["sid", "g"]).select("sid", "b", (F.col("g_start") + F.col("b_start")).alias("b_start"))
-    within = F.sum("size").over(Window.partitionBy("sid", "b").orderBy("doc_id", "size", "tie")
+    within = F.sum("size").over(Window.partitionBy("sid", "b").orderBy("doc_id", "size", "tie", *row)
                                 .rowsBetween(run, 0)) - F.col("size")
     return d.withColumn("within", within).join(starts, ["sid", "b"]).withColumn(
         "start", (F.col("b_start") + F.col("within")).cast("long"))
@@ -159,24 +160,26 @@ def _offsets(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, block_words: int = BLOCK_WORDS,
         shard_slots: int = SHARD_SLOTS, seed: int = 17):
-    """Plan the mix of ``docs`` (doc_id, text, source). Returns three frames:
+    """Plan the mix of ``docs`` (doc_id, text, source, and ``__row`` if the
+    rows are numbered). Returns three frames:
 
     ``documents``: doc_id, tie (hash of the text), source, size, sid, start,
-    source_size, target; ``blocks``: sid, block, doc_id, start, first (word of
+    source_size, target, and ``__row`` if given; ``blocks``: sid, block, doc_id, start, first (word of
     the block), n_words: which document's words each block holds; ``slots``: shard, slot, sid,
     block, take (words; below ``block_words`` only where a source's quota ends)."""
     spark = docs.sparkSession
     python_ready(spark)
-    d = narrow(docs, {"doc_id": "long", "text": "string", "source": "string"})
+    row = ["__row"] if "__row" in docs.columns else []
+    d = narrow(docs, {"doc_id": "long", "text": "string", "source": "string"} | dict.fromkeys(row, "long"))
     d = cut_lineage(d.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                             F.xxhash64("text").alias("tie")))
+                             F.xxhash64("text").alias("tie"), *row))
     by_source = targets(d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")),
                         weights, max_epochs)
     by_source = cut_lineage(by_source.repartition(1))
     few = by_source.count() <= BROADCAST_SOURCES
     side = F.broadcast(by_source) if few else by_source
     d = cut_lineage(_offsets(d.join(side, d["source"].eqNullSafe(by_source["source"])).select(
-        "doc_id", d["source"], "size", "tie", "sid", "source_size", "n_docs", "target")).drop("b", "within", "b_start", "n_docs"))
+        "doc_id", d["source"], "size", "tie", "sid", "source_size", "n_docs", "target", *row)).drop("b", "within", "b_start", "n_docs"))
 
     # the sources' quotas in words and slots: whole passes, then part of one more
     quota = F.round("target").cast("long")
@@ -236,7 +239,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     n_chars and others) with the words the slots take of them, in their
     order and with the white space that follows them. Words taken k times are
     in k rows of the document; untaken documents are left out."""
-    documents, blocks, slots = mix(docs, **options)
+    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    documents, blocks, slots = mix(numbered, **options)
     uses = slots.groupBy("sid", "block", "take").agg(F.count(F.lit(1)).alias("times"))
     here = F.least(F.col("first") + F.col("n_words"), F.col("take")) - F.col("first")
     got = blocks.join(uses.hint("merge"), ["sid", "block"]).where(here > 0).select(
@@ -244,8 +248,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         here.alias("n"), "times")
     # a document's parts: bounded by its own length
     parts = got.groupBy("sid", "start").agg(F.sort_array(F.collect_list(F.struct("at", "n", "times"))).alias("parts"))
-    parts = documents.where("size > 0").join(parts.hint("merge"), ["sid", "start"]).select("doc_id", "tie", "parts") \
-        .dropDuplicates(["doc_id", "tie"])
+    parts = documents.where("size > 0").join(parts.hint("merge"), ["sid", "start"]).select("__row", "parts")
     cut = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
 
     def taken(words, parts, turn):
@@ -254,10 +257,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         return F.regexp_replace(F.array_join(F.flatten(F.transform(
             some, lambda p: F.slice(words, (p["at"] + 1).cast("int"), p["n"].cast("int")))), ""), r"[\x20\x09-\x0D]+$", "")
 
-    keyed = docs.withColumn("__tie", F.xxhash64(F.col("text").cast("string"))).withColumn("__id", F.col("doc_id").cast("long"))
-    p = parts.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "parts")
     turns = F.sequence(F.lit(0), F.array_max(F.transform("parts", lambda p: p["times"])).cast("int") - 1)
-    joined = keyed.join(p.hint("merge"), ["__id", "__tie"]).withColumn("__turn", F.explode(turns))
+    joined = numbered.join(parts.hint("merge"), "__row").withColumn("__turn", F.explode(turns))
     text = bind(cut, lambda w: taken(w, F.col("parts"), F.col("__turn")))
     joined = joined.withColumn("text", text)
     if "n_chars" in docs.columns:

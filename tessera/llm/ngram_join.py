@@ -430,13 +430,20 @@ def _group(d, rows, classes, able, lists, n: int, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """The rows of ``docs``, all columns, that are the smallest doc_id of
-    their group (or have none). Only the ids that go are joined."""
-    found = similar_sets(docs, n, percent)
-    gone = cut_lineage(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-                       .join(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id"), "doc_id", "left_anti").distinct())
+    """One row of ``docs``, all columns, of each group of similar texts: one
+    with the smallest doc_id (none counts as the largest). Rows are told apart
+    by a staged number, whatever their ids. Only the numbers that go are joined."""
+    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = similar_sets(rows.select(F.col("__row").alias("doc_id"), "text"), n, percent)
+    moved = cut_lineage(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__row"), "component_id"))
+    roots = moved.select(F.col("component_id").alias("__row"), "component_id").distinct()
+    member = cut_lineage(rows.select("__row", F.col("doc_id").cast("long").alias("doc_id"))
+                         .join(moved.unionByName(roots).hint("merge"), "__row"))
+    stays = member.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))["__row"].alias("__row"))
+    gone = cut_lineage(member.select("__row").join(stays.select("__row").hint("merge"), "__row", "left_anti"))
     small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(F.broadcast(gone) if small else gone.hint("merge"), "__row", "left_anti").select(*docs.columns)
 
 
 # query --------------------------------------------------------------------

@@ -440,6 +440,29 @@ def test_forest_keeps_links_of_a_third_of_100000_vectors():
     assert len(met) > 10_000 and met.mean() >= 0.99
 
 
+def test_one_of_each_and_mix_of_rows_with_the_same_id(spark):
+    words = [f"w{k}" for k in range(300)]
+    text, other = " ".join(words), " ".join([*words[:-1], "x"])
+    apart = " ".join(f"v{k}" for k in range(200))
+    rows = [(1, text, "a")] * 3 + [(1, other, "a"), (None, text, "a"), (2, text, "a"), (3, apart, "b"), (None, "u " * 9, "b"),
+                                   (None, "u " * 9, "b"), (4, None, "b"), (5, "", "b")]
+    docs = docs_frame(spark, rows)
+    one = one_of_each(docs, 5, 80)
+    kept = Counter((r.doc_id, len(WORD.findall(r.text or ""))) for r in one.collect())
+    assert kept == {(1, 300): 1, (3, 200): 1, (None, 9): 1, (4, 0): 1, (5, 0): 1} and one.columns == docs.columns
+    # copies have their own places in the mix: each gives the words the mix takes of it
+    for many in (docs, docs_frame(spark, [(1, text, "a")] * 4 + [(7, apart, "b")] * 2 + [(None, apart, "c")] * 2)):
+        want, got = Counter(), Counter()
+        for r in taken_words(*mix(many)).collect():
+            want[r.doc_id] += r.taken
+        for r in mixed_documents(many).collect():
+            got.update(WORD.findall(r.text))
+        total = Counter()
+        for r in many.collect():
+            total.update(WORD.findall(r.text or ""))
+        assert sum(got.values()) == sum(want.values()) and set(got) <= set(total)
+
+
 # the five-stage pipeline ----------------------------------------------------
 def test_pipeline_stages(spark):
     """Each stage against its operator's own rows on the same input."""
