@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .html_blocks import op9_html_extraction
 from .licenses import OP4_SQL, op4_license_scan
+from .line_runs import OP11_SQL, op11_line_dedup
 from .mixing import op3_mix_sources
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .pieces import op5_sentencepiece
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_embedding_near_dup": op10_embedding_near_dup,
+    "op11_line_dedup": op11_line_dedup,
 }
 
 ORACLE = {
@@ -32,4 +34,5 @@ ORACLE = {
     "op4_license_scan": OP4_SQL,
     "op8_quality_rules": OP8_SQL,
     "op10_embedding_near_dup": OP10_SQL,
+    "op11_line_dedup": OP11_SQL,
 }
