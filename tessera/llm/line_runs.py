@@ -68,15 +68,22 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
 
+    def _path(self, name: str) -> str:
+        return f"{checkpoint_dir(self.spark).rstrip('/')}/{name}"
+
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        path = f"{checkpoint_dir(self.spark).rstrip('/')}/{name}"
-        rows.write.bucketBy(self.buckets, "hi", "lo").sortBy("hi", "lo").option("path", path).saveAsTable(name)
+        rows.write.bucketBy(self.buckets, "hi", "lo").sortBy("hi", "lo").option("path", self._path(name)).saveAsTable(name)
         return name
 
+    def _together(self, names: list[str]) -> DataFrame:
+        """The rows of several runs, read as plain files: a union of bucketed
+        tables claims their partitioning and would not be merged by key."""
+        return self.spark.read.schema("hi long, lo long, n long").parquet(*map(self._path, names))
+
     def _remove(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE {name}")
-        drop_folder(self.spark, f"{checkpoint_dir(self.spark).rstrip('/')}/{name}")
+        drop_folder(self.spark, self._path(name))
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
@@ -102,26 +109,18 @@ class LineRuns:
         while level < len(self.levels):
             if len(self.levels[level]) >= self.fanout:
                 old = self.levels[level]
-                rows = self.spark.table(old[0])
-                for name in old[1:]:
-                    rows = rows.unionByName(self.spark.table(name))
-                # dealt out anew: a union of bucketed tables claims their partitioning but need not have it
-                rows = rows.repartition(self.buckets, "hi", "lo")
                 n = F.least(F.sum("n"), F.lit(self.min_docs).cast("long"))
                 if level + 1 == len(self.levels):
                     self.levels.append([])
-                self.levels[level + 1].append(self._write(rows.groupBy("hi", "lo").agg(n.alias("n"))))
+                self.levels[level + 1].append(self._write(self._together(old).groupBy("hi", "lo").agg(n.alias("n"))))
                 self.levels[level] = []
                 for name in old:
                     self._remove(name)
             level += 1
 
     def repeated(self) -> DataFrame:
-        """The repeated keys (hi, lo), each once."""
-        rows = self.spark.createDataFrame([], "hi long, lo long")
-        for name in self.runs():
-            rows = rows.unionByName(self.spark.table(name).where(F.col("n") >= self.min_docs).select("hi", "lo"))
-        return rows
+        """The repeated keys (hi, lo), each once; there must be a run."""
+        return self._together(self.runs()).where(F.col("n") >= self.min_docs).select("hi", "lo")
 
     def close(self) -> None:
         for name in self.runs():
