@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .collocations import OP12_SQL, op12_phrase_collocations
 from .html_blocks import op9_html_extraction
 from .licenses import OP4_SQL, op4_license_scan
 from .line_runs import OP11_SQL, op11_line_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_embedding_near_dup": op10_embedding_near_dup,
     "op11_line_dedup": op11_line_dedup,
+    "op12_phrase_collocations": op12_phrase_collocations,
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op8_quality_rules": OP8_SQL,
     "op10_embedding_near_dup": OP10_SQL,
     "op11_line_dedup": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL,
 }
