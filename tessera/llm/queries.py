@@ -11,6 +11,7 @@ from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .pieces import op5_sentencepiece
 from .quality_pu import op6_quality_classifier
 from .quality_rules import OP8_SQL, op8_quality_rules
+from .repair import OP13_SQL, op13_conversation_repair
 from .rp_forest import OP10_SQL, op10_embedding_near_dup
 from .toxicity import op7_toxicity
 from .url_templates import OP2_SQL, op2_url_filters
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_embedding_near_dup": op10_embedding_near_dup,
     "op11_line_dedup": op11_line_dedup,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE = {
@@ -38,4 +40,5 @@ ORACLE = {
     "op10_embedding_near_dup": OP10_SQL,
     "op11_line_dedup": OP11_SQL,
     "op12_phrase_collocations": OP12_SQL,
+    "op13_conversation_repair": OP13_SQL,
 }
