@@ -10,14 +10,15 @@ the score ``floor(1000 * a * n / (l * r))``.
   other words' code is a 62-bit hash. Rare words cut the pieces (no candidate holds one),
   so that a document is a short list of codes, staged once.
 * Vertical partitioning. Every suffix of a piece, truncated to ``max_words``
-  words, belongs to its shortest prefix that is not *heavy*: one with more than
-  ``budget / 16`` suffixes. Heavy prefixes are extended by one word at a time,
-  whose counts are taken in one pass each. Prefixes are dealt by hash to groups of half a
+  words, belongs to its shortest prefix that is not *heavy*: one that stands
+  more than ``budget / 16`` times. Heavy prefixes of two words and more are found among those that are as
+  dense in some stretch of the corpus (one pass; a heavy one must be), and
+  counted exactly (another). Prefixes are dealt by hash to groups of half a
   budget on average, so that a group fits in one task's memory.
 * Subtrees. Each group grows the tree of its suffixes alone, word by word; a
   node's count is the total of the suffixes below it, and nodes under
-  ``min_count`` are not grown. Heavy prefixes' counts come from the passes
-  that extended them. A run of suffixes travels as one block of packed codes.
+  ``min_count`` are not grown. Heavy prefixes' counts are those of the second
+  pass. A run of suffixes travels as one block of packed codes.
 * Scores, the drop of candidates inside an as frequent longer one, and the
   ranking are joins, aggregations and a window over the candidates, in exact
   decimals.
@@ -31,7 +32,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -44,7 +44,8 @@ MIN_COUNT = 100
 TOP = 2000
 DICTIONARY = 1_000_000       # words whose numbers are sent to all tasks
 BUDGET = 1_000_000           # suffixes of a group
-MAX_HEAVY = 1_000_000        # heavy prefixes sent to all tasks; what counts as heavy doubles until they fit
+MAX_HEAVY = 1_000_000        # prefixes that may be heavy, sent to all tasks; what counts as heavy doubles until they fit
+RANK_PARTS = 64              # a language's candidates are first ranked in so many parts
 HELD = 1_000_000             # words a task holds before it passes on counts or suffixes
 
 _U = np.uint64
@@ -155,9 +156,14 @@ def _encoded(docs: DataFrame, numbered, whole: bool) -> DataFrame:
     return docs.mapInArrow(run, "codes array<long>")
 
 
-def _stretches(parts: Iterator, words: int) -> Iterator[np.ndarray]:
-    """The suffixes of ``HELD`` codes or so at a time, of batches of (codes)."""
+def _stretches(parts: Iterator, words: int) -> Iterator[tuple[np.ndarray, int]]:
+    """The suffixes of ``HELD`` codes or so at a time, of batches of (codes), and the number of words."""
     held, size = [], 0
+
+    def stretch():
+        codes = np.concatenate(held)
+        return suffixes_of(codes, words), int((codes != 0).sum())
+
     for part in parts:
         for lo in range(0, part.num_rows, 64):
             column = part.column(0).slice(lo, 64)
@@ -166,59 +172,97 @@ def _stretches(parts: Iterator, words: int) -> Iterator[np.ndarray]:
             held.append(np.insert(flat, np.cumsum(n), 0))
             size += len(held[-1])
             if size >= HELD:
-                yield suffixes_of(np.concatenate(held), words)
+                yield stretch()
                 held, size = [], 0
     if held:
-        yield suffixes_of(np.concatenate(held), words)
+        yield stretch()
+
+
+def _dense(codes: DataFrame, share: int, total: int, words: int) -> DataFrame:
+    """(codes array<long>, density) of the prefixes of two words and more that
+    make up ``share / total`` of some stretch's words, and their greatest such
+    part. All prefixes that stand ``share`` times in all are among them."""
+
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+        for s, size in _stretches(parts, words):
+            least = size * share / total
+            for k in range(2, words + 1):
+                h = prefix_hash(s, k)
+                _, first, which, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                dense = n >= least
+                rows = s[first[dense], :k]
+                if len(rows):
+                    yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), k).cast(pa.list_(pa.int64())),
+                                                      pa.array(n[dense] / size)], names=["codes", "density"])
+                s = s[dense[which]]
+                s = s[s[:, k] != 0] if k < words else s
+
+    return codes.mapInArrow(run, "codes array<long>, density double").groupBy("codes").agg(F.max("density").alias("density"))
 
 
-def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+def _by_hash(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefixes of one length, ordered by their hash for ``_place``."""
+    h = prefix_hash(rows, rows.shape[1])
+    order = np.argsort(h)
+    return h[order], rows[order]
 
 
-def _extended(codes: DataFrame, heavy, words: int, min_count: int) -> DataFrame:
-    """(codes array<long>, f) of the prefixes of ``words`` words that extend a
-    heavy one of a word less. ``heavy``: broadcast sorted hashes."""
+def _place(s: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which of the ``known`` prefixes each row of ``s`` starts with, else -1."""
+    h, rows = known
+    if not len(h) or not len(s):
+        return np.full(len(s), -1)
+    at = np.minimum(np.searchsorted(h, prefix_hash(s, rows.shape[1])), len(h) - 1)
+    return np.where((rows[at] == s[:, :rows.shape[1]]).all(axis=1), at, -1)
+
+
+def _counted(codes: DataFrame, known, words: int) -> DataFrame:
+    """(codes array<long>, f): how often the ``known`` prefixes (broadcast, a
+    list by length from 2 on) stand in all."""
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
-        for s in _stretches(parts, words):
-            s = s[(s[:, words - 1] != 0) & _is_in(prefix_hash(s, words - 1), heavy.value)]
-            if len(s):
-                s, n = np.unique(s, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(s.ravel()), words).cast(pa.list_(pa.int64())),
-                                                  pa.array(n.astype(np.int64))], names=["codes", "f"])
+        n = [np.zeros(len(h), np.int64) for h, _ in known.value]
+        for s, _ in _stretches(parts, words):
+            for k, level in enumerate(known.value):
+                at = _place(s, level)
+                s = s[at >= 0]
+                n[k] += np.bincount(at[at >= 0], minlength=len(n[k]))
+        for (_, rows), f in zip(known.value, n):
+            if f.any():
+                yield pa.RecordBatch.from_arrays([pa.array(list(rows[f > 0]), pa.list_(pa.int64())), pa.array(f[f > 0])], names=["codes", "f"])
 
-    return codes.mapInArrow(run, "codes array<long>, f long").groupBy("codes").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+    return codes.mapInArrow(run, "codes array<long>, f long").groupBy("codes").agg(F.sum("f").alias("f"))
 
 
 def _dealt(codes: DataFrame, heavy, groups: int, words: int) -> DataFrame:
-    """(grp, level, suffixes): every suffix in the group of its shortest prefix
-    that is not heavy, packed in blocks. ``heavy``: broadcast, sorted hashes by level."""
+    """(grp, n, block): every suffix in the group of its shortest prefix that
+    is not heavy, packed in blocks. ``heavy``: broadcast, a list by length from 1 on."""
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
-        known = heavy.value
-        for s in _stretches(parts, words):
-            level = np.ones(len(s), np.int64)
-            grp = prefix_hash(s, 1)
-            todo = np.flatnonzero(_is_in(grp, known[0])) if known else np.zeros(0, np.int64)
-            for k in range(2, words + 1):
+        for s, _ in _stretches(parts, words):
+            level, ship = np.ones(len(s), np.int64), np.ones(len(s), bool)
+            todo = np.arange(len(s))
+            for k, known in enumerate(heavy.value, 1):
+                todo = todo[_place(s[todo], known) >= 0]
                 if not len(todo):
                     break
-                todo = todo[s[todo, k - 1] != 0]           # shorter ones are counted with their heavy prefix
-                level[todo], grp[todo] = k, prefix_hash(s[todo], k)
-                todo = todo[_is_in(grp[todo], known[k - 1])] if k <= len(known) else todo[:0]
-            last = np.take_along_axis(s, np.minimum(level, words - 1)[:, None], 1)[:, 0]
-            ship = (level < words) & (last != 0)           # what has no word beyond its prefix adds no node
+                level[todo] = k + 1
+                ends = s[todo, k] == 0 if k < words else np.ones(len(todo), bool)
+                ship[todo[ends]] = False                   # counted as a heavy prefix, and no more words
+                todo = todo[~ends]
             s, level = s[ship], level[ship]
-            grp = (grp[ship].view(np.uint64) % _U(groups)).astype(np.int64)
+            grp = prefix_hash(s, 1)
+            for k in range(2, words + 1):
+                some = level == k
+                grp[some] = prefix_hash(s[some], k)
+            grp = (grp.view(np.uint64) % _U(groups)).astype(np.int64)
             order = np.lexsort((s[:, 1], s[:, 0], grp))
             s, level, grp = s[order], level[order], grp[order]
             start = np.flatnonzero(np.diff(grp, prepend=-1))
-            end = np.append(start[1:], len(grp))
+            end = np.append(start[1:], len(grp)).astype(np.int64)[:len(start)]
             blocks = [pa.compress(np.concatenate([level[a:b][None], s[a:b].T]).tobytes(), "zstd", asbytes=True) for a, b in zip(start, end)]
             yield pa.RecordBatch.from_arrays([pa.array(grp[start]), pa.array(end - start), pa.array(blocks, pa.binary())],
                                              names=["grp", "n", "block"])
@@ -240,8 +284,8 @@ def subtree_counts(s: np.ndarray, level: np.ndarray, min_count: int) -> list[tup
             break
         _, code = np.unique(s[:, k - 1], return_inverse=True)
         _, first, node, n = np.unique(node * (int(code.max()) + 1) + code, return_index=True, return_inverse=True, return_counts=True)
-        # beyond their own prefix all suffixes are here; up to it the passes over heavy prefixes count them
-        below = level[first] < k
+        # all suffixes with the prefix that brought them here are here; shorter ones are counted as heavy
+        below = level[first] <= k
         keep = n >= min_count
         if k > 1:
             out.append((s[first[keep & below], :k], n[keep & below]))
@@ -255,26 +299,25 @@ def phrase_counts(codes: DataFrame, words: DataFrame, total: int, max_words: int
     """(codes array<long>, f) of all phrases of 2 to ``max_words`` words with
     ``min_count`` occurrences. ``words``: (code, n) of the frequent words."""
     spark = codes.sparkSession
+    if not total:
+        return spark.createDataFrame([], "codes array<long>, f long")
     share = max(budget // 16, 1)
-
-    def heavy_of(counts: DataFrame) -> tuple[DataFrame, int]:
-        bound = share
-        while counts.where(F.col("f") > bound).limit(max_heavy + 1).count() > max_heavy:
-            bound *= 2
-        return counts.where(F.col("f") > bound)
-
-    known, found = [], []
-    counts = words.select(F.array("code").alias("codes"), F.col("n").alias("f"))
-    for k in range(1, max_words + 1):
-        listed = heavy_of(counts).select("codes").toArrow() if k < max_words else None
-        if not listed or not listed.num_rows:
-            break
-        rows = np.asarray(listed.column("codes").combine_chunks().flatten()).astype(np.int64).reshape(-1, k)
-        known.append(np.sort(prefix_hash(rows, k)))
-        counts = cut_lineage(_extended(codes, spark.sparkContext.broadcast(known[-1]), k + 1, min_count))
-        found.append(counts)
+    dense = cut_lineage(_dense(codes, share, total, max_words))
+    while dense.where(F.col("density") * total >= share).limit(max_heavy + 1).count() > max_heavy \
+            or words.where(F.col("n") > share).limit(max_heavy + 1).count() > max_heavy:
+        share *= 2
+
+    def by_length(rows: DataFrame, lengths) -> list:
+        listed = rows.select("codes").toArrow().column("codes").to_pylist()
+        of = [np.array([x for x in listed if len(x) == k], np.int64).reshape(-1, k) for k in lengths]
+        return [_by_hash(x) for x in of]
+
+    maybe = by_length(dense.where(F.col("density") * total >= share), range(2, max_words + 1))
+    counts = cut_lineage(_counted(codes, spark.sparkContext.broadcast(maybe), max_words).where(F.col("f") > share))
+    single = words.where(F.col("n") > share).select(F.array("code").alias("codes"))
+    heavy = by_length(single, [1]) + by_length(counts, range(2, max_words + 1))
     groups = max(1, -(-2 * total // budget))
-    blocks = _dealt(codes, spark.sparkContext.broadcast(known), groups, max_words)
+    blocks = _dealt(codes, spark.sparkContext.broadcast(heavy), groups, max_words)
 
     def grow(group):
         import pyarrow as pa
@@ -291,7 +334,7 @@ def phrase_counts(codes: DataFrame, words: DataFrame, total: int, max_words: int
                          "f": pa.array(np.concatenate([np.zeros(0, np.int64), *counts]).astype(np.int64))})
 
     grown = blocks.groupBy("grp").applyInArrow(grow, "codes array<long>, f long")
-    return reduce(DataFrame.unionByName, found, grown)
+    return grown.unionByName(counts.where(F.col("f") >= min_count))
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, top: int = TOP, percent: int = 100,
@@ -353,8 +396,11 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
         .groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = worst.join(inside, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * percent))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    first = kept.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+    order = Window.partitionBy("lang").orderBy(*order)
+    return first.where(F.col("rank") <= top).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
