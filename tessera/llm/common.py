@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +46,62 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
+    return staged
+
+
+#: Folders staged in the innermost open ``scratch``.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+class _Scratch:
+    def __init__(self, spark: SparkSession, paths: list[str]):
+        self.spark, self.paths, self.kept = spark, paths, []
+
+    def keep(self, *frames: DataFrame) -> None:
+        """Leave these staged tables when the scope ends (to the scope around it, if any)."""
+        self.kept += [f._staged_path for f in frames]
+
+    def free(self, *frames: DataFrame | None) -> None:
+        """Delete these staged tables now: nothing that is still to run reads them."""
+        for f in frames:
+            path = getattr(f, "_staged_path", None)
+            if path in self.paths:
+                self.paths.remove(path)
+                drop_folder(self.spark, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[_Scratch]:
+    """Tables that ``cut_lineage`` writes within are deleted at the end, but
+    for the kept ones. What is returned must read none but these."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    scope = _Scratch(spark, paths)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            if path not in scope.kept:
+                drop_folder(spark, path)
+        if (outer := _SCOPE.get()) is not None:
+            outer += [p for p in paths if p in scope.kept]
+
+
+def row_id(rows: DataFrame, columns: list[str]) -> Column:
+    """A 64-bit hash of the columns that stands for a row's values in them.
+    No two different rows of the frame share it: that is checked against a
+    second hash, and the seed is raised until it holds."""
+    for seed in range(100):
+        key = F.xxhash64(F.lit(seed), *columns)
+        both = rows.select(key.alias("a"), F.xxhash64(F.lit(f"check {seed}"), *columns).alias("b"))
+        if not both.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high").limit(1).count():
+            return key
+    raise ValueError("no seed tells the rows apart")
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

@@ -28,13 +28,14 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bind, cut_lineage, narrow, python_ready, table, word_count
+from .common import bind, cut_lineage, narrow, python_ready, row_id, scratch, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -42,9 +43,8 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
 BUCKET_DOCS, GROUP_BUCKETS = 128, 1024
 BROADCAST_SOURCES = 50_000
-#: Tree nodes with more slots than this are split in proportion: there the
-#: draw's relative deviation is below a ten-thousandth.
-EXACT_SLOTS = 500_000_000
+#: Largest sum that numpy's hypergeometric draw takes; beyond it the same draw is made by rejection.
+LIBRARY_SLOTS = 500_000_000
 
 _U = np.uint64
 
@@ -77,14 +77,43 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
 def _halve(totals: np.ndarray, first: int, draws: int, seed: int, node: int) -> np.ndarray:
     """How many of each source's ``totals`` fall to the first ``draws`` slots."""
     n = int(totals.sum())
-    if n > EXACT_SLOTS:
-        want = totals * (draws / n)
-        got = np.floor(want).astype(np.int64)
-        rest = draws - int(got.sum())
-        got[np.argsort(got - want, kind="stable")[:rest]] += 1
-        return np.minimum(got, totals)
     rng = np.random.Generator(np.random.Philox(key=[seed & (2**64 - 1), node]))
-    return rng.multivariate_hypergeometric(totals, draws, method="marginals")
+    if n <= LIBRARY_SLOTS:
+        return rng.multivariate_hypergeometric(totals, draws, method="marginals")
+    return _hypergeometric(rng, totals, draws)
+
+
+def _log_binomial(k: float, n: int, p: float) -> float:
+    """Log probability of k of n, by the saddle-point form, whose terms keep
+    their precision for large n (Loader 2000)."""
+    def deviance(x, mean):
+        d = (x - mean) / mean
+        # x * log(x / mean) + mean - x
+        return mean * ((1 + d) * math.log1p(d) - d) if x > 0 else mean
+
+    def stirling(x):
+        return math.lgamma(x + 1) - (x + 0.5) * math.log(x) + x - 0.5 * math.log(2 * math.pi) if x < 1000 else 1 / (12 * x) - 1 / (360 * x**3)
+
+    if k <= 0 or k >= n:
+        return n * math.log1p(-p) if k == 0 else n * math.log(p) if k == n else -math.inf
+    return (stirling(n) - stirling(k) - stirling(n - k) - deviance(k, n * p) - deviance(n - k, n * (1 - p))
+            + 0.5 * math.log(n / (2 * math.pi * k * (n - k))))
+
+
+def _hypergeometric(rng, totals: np.ndarray, draws: int) -> np.ndarray:
+    """Multivariate hypergeometric draw of any size: independent binomial
+    draws, given that they sum to ``draws``. The largest source takes what the
+    others leave, which is accepted by that number's binomial probability."""
+    p = draws / int(totals.sum())
+    big = int(np.argmax(totals))
+    n = int(totals[big])
+    top = _log_binomial(min(n, int((n + 1) * p)), n, p)
+    while True:
+        got = rng.binomial(totals, p)
+        rest = draws - int(got.sum() - got[big])
+        if 0 <= rest <= n and math.log(1 - rng.random()) <= _log_binomial(rest, n, p) - top:
+            got[big] = rest
+            return got
 
 
 def shard_counts(slots: np.ndarray, shards: Iterator[int], shard_slots: int, seed: int):
@@ -144,7 +173,7 @@ def _offsets(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, sid, n_docs, size, tie) with ``start``: its first word's place in its source."""
     row = ["__row"] if "__row" in docs.columns else []
     buckets = F.ceil(F.col("n_docs") / BUCKET_DOCS).cast("long")
-    d = docs.withColumn("b", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("bucket")), buckets))
+    d = docs.withColumn("b", F.pmod(F.xxhash64(F.col("doc_id"), F.col("tie"), F.lit("bucket")), buckets))
     sums = d.groupBy("sid", "b").agg(F.sum("size").alias("n")).withColumn("g", F.floor(F.col("b") / GROUP_BUCKETS))
     run = Window.unboundedPreceding
     groups = sums.groupBy("sid", "g").agg(F.sum("n").alias("n"))
@@ -238,17 +267,22 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: the rows of ``docs`` (doc_id, text, source,
     n_chars and others) with the words the slots take of them, in their
     order and with the white space that follows them. Words taken k times are
-    in k rows of the document; untaken documents are left out."""
-    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
-    documents, blocks, slots = mix(numbered, **options)
-    uses = slots.groupBy("sid", "block", "take").agg(F.count(F.lit(1)).alias("times"))
-    here = F.least(F.col("first") + F.col("n_words"), F.col("take")) - F.col("first")
-    got = blocks.join(uses.hint("merge"), ["sid", "block"]).where(here > 0).select(
-        "sid", "start", (F.col("block") * F.lit(options.get("block_words", BLOCK_WORDS)) + F.col("first") - F.col("start")).alias("at"),
-        here.alias("n"), "times")
-    # a document's parts: bounded by its own length
-    parts = got.groupBy("sid", "start").agg(F.sort_array(F.collect_list(F.struct("at", "n", "times"))).alias("parts"))
-    parts = documents.where("size > 0").join(parts.hint("merge"), ["sid", "start"]).select("__row", "parts")
+    in k rows of the document; untaken documents are left out, so texts without words
+    and an empty table give no rows. Rows equal in all columns are documents
+    of their own; n_chars is set anew, other columns are kept, whatever their names."""
+    names = docs.columns
+    key = row_id(docs, names)
+    block_words = options.get("block_words", BLOCK_WORDS)
+    with scratch(docs.sparkSession) as scope:
+        documents, blocks, slots = mix(docs.select("doc_id", "text", "source", key.alias("__row")), **options)
+        uses = slots.groupBy("sid", "block", "take").agg(F.count(F.lit(1)).alias("times"))
+        here = F.least(F.col("first") + F.col("n_words"), F.col("take")) - F.col("first")
+        got = blocks.join(uses.hint("merge"), ["sid", "block"]).where(here > 0).select(
+            "sid", "start", (F.col("block") * F.lit(block_words) + F.col("first") - F.col("start")).alias("at"), here.alias("n"), "times")
+        # a document's parts: bounded by its own length
+        parts = got.groupBy("sid", "start").agg(F.sort_array(F.collect_list(F.struct("at", "n", "times"))).alias("parts"))
+        parts = cut_lineage(documents.where("size > 0").join(parts.hint("merge"), ["sid", "start"]).select("__row", "parts"))
+        scope.keep(parts)
     cut = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
 
     def taken(words, parts, turn):
@@ -257,13 +291,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         return F.regexp_replace(F.array_join(F.flatten(F.transform(
             some, lambda p: F.slice(words, (p["at"] + 1).cast("int"), p["n"].cast("int")))), ""), r"[\x20\x09-\x0D]+$", "")
 
+    # one struct holds the row, so that no column of it can clash; equal rows are one here and have all their parts
+    rows = docs.select(key.alias("__row"), F.struct(*names).alias("row")).dropDuplicates(["__row"])
     turns = F.sequence(F.lit(0), F.array_max(F.transform("parts", lambda p: p["times"])).cast("int") - 1)
-    joined = numbered.join(parts.hint("merge"), "__row").withColumn("__turn", F.explode(turns))
-    text = bind(cut, lambda w: taken(w, F.col("parts"), F.col("__turn")))
-    joined = joined.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+    joined = rows.join(parts.hint("merge"), "__row").select("row", F.col("row.text").alias("text"), "parts", F.explode(turns).alias("turn"))
+    text = bind(cut, lambda w: taken(w, F.col("parts"), F.col("turn")))
+    joined = joined.select("row", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text")}
+    return joined.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col("row").getField(c)).alias(c) for c in names])
 
 
 # query --------------------------------------------------------------------

@@ -39,7 +39,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, narrow, python_ready, table
+from .common import cut_lineage, narrow, python_ready, row_id, scratch, table
 from .components import components
 
 ZONE = 8                    # shingles are counted one ``1 / ZONE`` of the set beyond the plain prefix
@@ -48,6 +48,7 @@ MAX_FREQUENT = 500_000      # frequent shingles sent to all tasks; LIST doubles
 MAX_MATCHES = 8
 BROADCAST_IDS = 2_000_000   # documents whose ids may be broadcast to pick their texts
 HUBS, HUB_ROUNDS = 2, 2
+GROUP_PARTS = 16            # a group's members meet its smallest id in so many parts
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000      # of a block that is compared in memory
 
 _U = np.uint64
@@ -234,6 +235,11 @@ def _linked_blocks(group, percent: int):
 def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     python_ready(docs.sparkSession)
+    with scratch(docs.sparkSession) as scope:
+        return _similar_sets(docs, n, percent, scope)
+
+
+def _similar_sets(docs: DataFrame, n: int, percent: int, scope) -> DataFrame:
     spark = docs.sparkSession
     d = narrow(docs, {"doc_id": "long", "text": "string"}).select("doc_id", F.col("text").cast("binary").alias("text"))
 
@@ -282,6 +288,7 @@ def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
     plain_prefix = F.slice("prefix", F.lit(1), (F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1).cast("int"))
     bare = classes.select("cls", F.lit(1).alias("m"), plain_prefix.alias("prefix")).withColumn("rare", F.size("prefix"))
+    hit = longer = frequent_table = None
     if len(tokens):
         frequent_table = cut_lineage(often.where(F.col("count") > bound).select("token"))
         few = frequent_table.count() <= BROADCAST_IDS
@@ -331,10 +338,11 @@ def similar_sets(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     over = read.where("pa < 0").select(F.col("b").alias("token"), F.col("a").alias("cls"), F.lit(0).alias("rare"))
     lists = cut_lineage(heavy.select("token", "cls", "rare").unionByName(over).join(classes.select("cls", "n"), "cls")
                         .select("token", "cls", "n", (F.col("n") - F.col("rare")).alias("slack")))
-    return _group(d, rows, classes, able, lists, n, percent)
+    scope.free(often, frequent_table, hit, longer, read, about)
+    return _group(d, rows, classes, able, lists, n, percent, scope)
 
 
-def _group(d, rows, classes, able, lists, n: int, percent: int) -> DataFrame:
+def _group(d, rows, classes, able, lists, n: int, percent: int, scope) -> DataFrame:
     """Verify the candidates and return the groups."""
     spark = d.sparkSession
     some = able.select(F.col("a").alias("cls")).unionByName(able.select(F.col("b").alias("cls"))) \
@@ -419,10 +427,14 @@ def _group(d, rows, classes, able, lists, n: int, percent: int) -> DataFrame:
         met = facing.groupBy("top", "b0", "b1").applyInArrow(lambda group: _linked_blocks(group, percent), "a long, b long")
         label = cut_lineage(components(links.unionByName(met)))
 
-    grouped = classes.select("cls", "n", "rep").join(label.withColumnRenamed("id", "cls"), "cls", "left") \
-        .withColumn("g", F.coalesce("component", "cls"))
-    first = grouped.groupBy("g").agg(F.min("rep").alias("component_id"))
-    named = cut_lineage(grouped.select("cls", "g").join(first, "g").select("cls", "component_id"))
+    # linked classes take their group's smallest id; its members meet it in parts, as a group may be large
+    linked = cut_lineage(classes.select("cls", "rep").join(label.withColumnRenamed("id", "cls"), "cls").withColumn(
+        "part", F.pmod(F.xxhash64("cls"), F.lit(GROUP_PARTS))))
+    first = linked.groupBy("component").agg(F.min("rep").alias("component_id")).withColumn(
+        "part", F.explode(F.array(*[F.lit(k).cast("long") for k in range(GROUP_PARTS)])))
+    moved = linked.join(first, ["component", "part"]).select("cls", "component_id")
+    named = cut_lineage(moved.unionByName(classes.select("cls", F.col("rep").alias("component_id")).join(label.select(F.col("id").alias("cls")), "cls", "left_anti")))
+    scope.keep(rows, named)
     own = rows.select("doc_id", F.col("n").alias("n_shingles"), "cls")
     full = own.where("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "cls").select("doc_id", "n_shingles", "component_id")
     return full.unionByName(own.where("n_shingles = 0 OR doc_id IS NULL").select(
@@ -431,19 +443,41 @@ def _group(d, rows, classes, able, lists, n: int, percent: int) -> DataFrame:
 
 def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """One row of ``docs``, all columns, of each group of similar texts: one
-    with the smallest doc_id (none counts as the largest). Rows are told apart
-    by a staged number, whatever their ids. Only the numbers that go are joined."""
-    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
-    found = similar_sets(rows.select(F.col("__row").alias("doc_id"), "text"), n, percent)
-    moved = cut_lineage(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__row"), "component_id"))
-    roots = moved.select(F.col("component_id").alias("__row"), "component_id").distinct()
-    member = cut_lineage(rows.select("__row", F.col("doc_id").cast("long").alias("doc_id"))
-                         .join(moved.unionByName(roots).hint("merge"), "__row"))
-    stays = member.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))["__row"].alias("__row"))
-    gone = cut_lineage(member.select("__row").join(stays.select("__row").hint("merge"), "__row", "left_anti"))
-    small = gone.count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(gone) if small else gone.hint("merge"), "__row", "left_anti").select(*docs.columns)
+    with the smallest doc_id (none counts as the largest; of equal ones that
+    with the least text hash). Rows stand for themselves by a hash of doc_id and text, so no text is
+    copied; of rows equal in both one stays. Texts without words are groups
+    of their own, so only their repeated rows go. An empty table gives an empty result."""
+    me, extra = docs.columns, _unused("row", docs)
+    key = row_id(docs, ["doc_id", "text"])
+    with scratch(docs.sparkSession) as scope:
+        rows = docs.select(key.alias("doc_id"), "text")
+        found = similar_sets(rows, n, percent)
+        moved = cut_lineage(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("id"), "component_id").distinct())
+        linked = moved.unionByName(moved.select(F.col("component_id").alias("id"), "component_id").distinct())
+        known = docs.select(key.alias("id"), F.col("doc_id").cast("long").alias("doc_id"))
+        member = cut_lineage(known.join(linked.hint("merge"), "id").distinct())
+        stays = member.groupBy("component_id").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id"))["id"].alias("id"))
+        gone = cut_lineage(member.select("id").join(stays.select("id").hint("merge"), "id", "left_anti").withColumnRenamed("id", extra))
+        again = cut_lineage(known.groupBy("id").count().where("count > 1").select(F.col("id").alias(extra)))
+        scope.keep(gone, again)
+    few = {t: t.count() <= BROADCAST_IDS for t in (gone, again)}
+
+    def side(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if few[ids] else ids.hint("merge")
+
+    left = docs.withColumn(extra, key).join(side(gone), extra, "left_anti")
+    if not again.limit(1).count():
+        return left.select(*me)
+    once = left.join(side(again), extra, "left_anti")
+    return once.unionByName(left.join(side(again), extra, "left_semi").dropDuplicates([extra])).select(*me)
+
+
+def _unused(name: str, df: DataFrame) -> str:
+    """A column name that the frame doesn't have."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name
 
 
 # query --------------------------------------------------------------------
