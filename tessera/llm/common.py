@@ -123,7 +123,7 @@ def narrow(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def hash_sample(rows: DataFrame, key: str, bound: int, salt: str, total: int | None = None) -> DataFrame:
-    """About ``bound`` rows, at most that many, chosen by a hash of ``key``.
+    """About ``bound`` distinct rows, at most that many, chosen by a hash of ``key``.
     Large tables are first thinned to twice the bound, so that the final
     ordering sees a bounded number of rows."""
     total = rows.count() if total is None else total
@@ -131,4 +131,4 @@ def hash_sample(rows: DataFrame, key: str, bound: int, salt: str, total: int | N
     if total > 2 * bound:
         # the share is taken of the hash's lower bits, the order of the whole hash
         rows = rows.where(F.pmod(place, F.lit(1 << 40)) < int((1 << 40) * 2 * bound / total))
-    return rows.orderBy(place, key).limit(bound)
+    return rows.distinct().orderBy(place, key).limit(bound)

@@ -127,7 +127,9 @@ def train(docs: DataFrame, trusted: DataFrame, seed: int = 3) -> tuple[np.ndarra
 
     pick = some(trusted, "p", POSITIVES).withColumn("trusted", F.lit(True)).unionByName(
         some(docs, "u", UNLABELLED).withColumn("trusted", F.lit(False)))
-    rows = docs.join(F.broadcast(pick), "doc_id").select("trusted", features(F.col("text")).alias("f")).toArrow()
+    # one text of each chosen id: what reaches the driver is bounded however often an id repeats
+    rows = docs.join(F.broadcast(pick), "doc_id").select("trusted", "doc_id", features(F.col("text")).alias("f")) \
+        .groupBy("trusted", "doc_id").agg(F.min("f").alias("f")).toArrow()
     kind = np.asarray(rows.column("trusted")).astype(bool)
     x = np.array(rows.column("f").to_pylist(), np.float64).reshape(len(kind), len(FEATURES))
     if not kind.any() or kind.all():

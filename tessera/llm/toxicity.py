@@ -7,6 +7,7 @@ fold. The lexicon is a trie. A word is looked up by running its Levenshtein
 automaton (distance 1 from ``FUZZY_LENGTH`` letters on) along the trie: both
 advance letter by letter, and a branch is left as soon as the automaton has no
 live state. Words seen in the clean sample are never taken for misspellings.
+All words of the sample are kept; its documents bound their number.
 
 Each hit is scored in a window of ``WINDOW`` words: inside quotation marks,
 or after a reporting word, it counts ``QUOTED`` of its weight (quotation);
@@ -36,8 +37,6 @@ CHANCE = 1e-6                         # an entry: as likely to stand in toxic do
 MAX_CLEAN_RATIO = 0.02                # and so few clean contexts for each toxic one
 STEMS = (4, 5, 6)                     # letters of word beginnings that may be entries
 STEM_WORDS = 4                        # distinct words a stem must begin
-LEXICON = 5_000                       # entries kept, the most frequent first
-KNOWN = 50_000                        # clean words kept, the most frequent first
 FUZZY_LENGTH = 5
 WINDOW = 5
 QUOTED = 0.3
@@ -156,16 +155,17 @@ def learn(docs: DataFrame, labels: DataFrame, seed: int = 3) -> Lexicon:
     ratio = max(1, n.get(1, 0)) / max(1, n.get(0, 0))
     least = max(5, math.ceil(math.log(CHANCE) / math.log(ratio / (1 + ratio))))
     telling = (F.col("t") >= least) & (F.col("c") * ratio <= MAX_CLEAN_RATIO * F.col("t"))
-    entries = by_word.where(telling).orderBy(F.desc("t"), "word").limit(LEXICON).collect()
-    known = by_word.where("c > 0").orderBy(F.desc("c"), "word").limit(KNOWN).collect()
+    entries = by_word.where(telling).collect()
+    known = by_word.where("c > 0").select("word").collect()
     stem = F.explode(F.array(*[F.substring("word", 1, k) for k in STEMS])).alias("stem")
     by_stem = by_word.where(F.length("word") >= min(STEMS)).select("word", "t", "c", stem).where(
         F.col("stem") != F.col("word")).groupBy("stem").agg(
         (F.sum("t") - F.max("t")).alias("t"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("k"))    # beside its commonest word
-    stems = by_stem.where(telling & (F.col("k") >= STEM_WORDS)).orderBy(F.desc("t"), "stem").limit(LEXICON).collect()
+    stems = by_stem.where(telling & (F.col("k") >= STEM_WORDS)).collect()
     # of nested stems with the same evidence the longest is the most specific
     long = {r["stem"]: r["t"] for r in stems}
-    stems = [r for r in stems if not any(x != r["stem"] and x.startswith(r["stem"]) and long[x] >= 0.9 * r["t"] for x in long)]
+    less = {x[:k] for x in long for k in range(min(STEMS), len(x)) if x[:k] in long and long[x] >= 0.9 * long[x[:k]]}
+    stems = [r for r in stems if r["stem"] not in less]
 
     def weight(r) -> float:
         return 4.0 + min(4.0, math.log((r["t"] + 0.5) / (r["c"] * ratio + 0.5)))
@@ -182,7 +182,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold:
     d = narrow(docs, {"doc_id": "long", "text": "string"})
     teach = narrow(labels, {"doc_id": "long", "toxic": "int"}).where(~held_out(F.col("doc_id"), folds, fold))
     learnt = learn(d, teach)
-    shared = spark.sparkContext.broadcast((learnt.entries, learnt.stems, learnt.known))   # bounded by LEXICON and KNOWN
+    shared = spark.sparkContext.broadcast((learnt.entries, learnt.stems, learnt.known))   # the words of the bounded sample
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

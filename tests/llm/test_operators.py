@@ -487,3 +487,52 @@ def test_pipeline_stages(spark):
     last = P.encoding(spark, mixed, "")
     assert last.count() == mixed.count() == last.where("lossless").count()
     assert ids(P.run(spark, "/root/testdata/sf0.001")) == ids(mixed)
+
+
+def test_sample_of_a_repeated_id_is_bounded(spark):
+    """One id in thousands of rows: as many feature rows as ids reach the driver."""
+    from tessera.llm import quality_pu
+    docs = spark.range(6000).select(F.when(F.col("id") < 5000, 7).otherwise(F.col("id")).alias("doc_id"),
+                                    F.concat(F.lit("some words, number "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(7, 1), (5999, 0), *[(i, 1) for i in range(5000, 5040)]], "doc_id long, quality int")
+    seen = []
+    real = quality_pu.fit
+    try:
+        quality_pu.fit = lambda p, u, prior: seen.append((len(p), len(u))) or real(p, u, prior)
+        got = classify(docs, labels).select("doc_id", "score")
+    finally:
+        quality_pu.fit = real
+    assert got.count() == 6000 and len(seen) == 1 and seen[0][0] <= 41 and seen[0][1] <= 1001
+
+
+def test_large_hypergeometric_draws():
+    """The rejection draw has the mean, spread and total of the library's."""
+    from tessera.llm.mixing import _hypergeometric, _log_binomial
+    rng = np.random.default_rng(4)
+    totals = np.array([700, 200, 100])
+    ours = np.array([_hypergeometric(rng, totals, 400) for _ in range(4000)])
+    library = rng.multivariate_hypergeometric(totals, 400, size=4000, method="marginals")
+    assert (ours.sum(axis=1) == 400).all() and (ours <= totals).all()
+    assert np.allclose(ours.mean(axis=0), library.mean(axis=0), atol=0.6)
+    assert np.allclose(ours.std(axis=0), library.std(axis=0), rtol=0.06)
+    big = np.array([6 * 10 ** 11, 3 * 10 ** 11, 10 ** 5])
+    got = np.array([_hypergeometric(rng, big, 4 * 10 ** 11) for _ in range(200)])
+    assert (got.sum(axis=1) == 4 * 10 ** 11).all() and (got <= big).all()
+    p = 4 * 10 ** 11 / big.sum()
+    # of the smallest source the draw is nearly binomial
+    assert abs(got[:, 2].mean() - 10 ** 5 * p) < 60 and 100 < got[:, 2].std() < 220
+    assert math.isclose(sum(math.exp(_log_binomial(k, 50, 0.3)) for k in range(51)), 1.0, rel_tol=1e-9)
+
+
+def test_mix_and_copies_keep_clashing_columns(spark):
+    rows = [(i % 3, f"word{i % 4} " * 40 + f"tail {i % 4}", "a", 5, "p", 7, 8, "t") for i in range(9)] * 2 + [(None, None, None, 1, "q", 2, 3, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, parts string, __row int, __turn int, row string")
+    kept = one_of_each(docs).collect()
+    assert {(r.parts, r.__getitem__("__row"), r.__getitem__("__turn"), r.row) for r in kept} == {("p", 7, 8, "t"), ("q", 2, 3, "u")}
+    assert len(kept) == 5 and sorted(r.text or "" for r in kept) == sorted({x[1] or "" for x in rows})
+    mixed = mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    got = mixed.collect()
+    assert got and all((r.parts, r.__getitem__("__row"), r.row) == ("p", 7, "t") and r.n_chars == len(r.text) for r in got)
+    taken = taken_words(*mix(docs.select("doc_id", "text", "source"))).agg(F.sum("taken")).first()[0]
+    assert sum(len(WORD.findall(r.text)) for r in got) == taken
