@@ -270,7 +270,7 @@ SELECT 'byte' AS tokenizer, CAST(sum(length(text)) AS BIGINT) AS total_chars,
 FROM documents""")
 register("truncate_head", with_(DOC_IDS) + "SELECT doc_id, ids[1:2048] AS input_ids FROM doc_ids")
 register("truncate_tail", with_(SFT_IDS) + """
-SELECT conv_id, CASE WHEN len(ids) > 1024 THEN ids[len(ids) - 1023:] ELSE ids END AS input_ids FROM sft_ids""")
+SELECT conv_id, CASE WHEN len(ids) > 8192 THEN ids[len(ids) - 8191:] ELSE ids END AS input_ids FROM sft_ids""")
 register("pad_right_fixed", with_(DOC_IDS) + """
 SELECT doc_id, list_resize(ids[1:2048], 2048, 4) AS input_ids,
   list_resize(list_transform(ids[1:2048], lambda x: 1), 2048, 0) AS attention_mask FROM doc_ids""")
@@ -287,8 +287,8 @@ SELECT doc_id, batch_id, list_resize(ids, L, 4) AS input_ids,
 register("labels_plain", with_(DOC_IDS, DOC_BATCHES) + "SELECT doc_id, list_resize(ids, L, 4) AS labels FROM doc_padded")
 CHAT_BATCHES = f"""chat_ord AS (SELECT conv_id, ids, ({order_idx('conv_id', '42')}) // 4 AS batch_id FROM sft_ids),
 chat_batches AS (
-  SELECT conv_id, batch_id, CASE WHEN len(ids) > 1024 THEN ids[len(ids) - 1023:] ELSE ids END AS ids,
-    least(max(len(ids)) OVER (PARTITION BY batch_id), 1024) AS L FROM chat_ord),
+  SELECT conv_id, batch_id, CASE WHEN len(ids) > 8192 THEN ids[len(ids) - 8191:] ELSE ids END AS ids,
+    least(max(len(ids)) OVER (PARTITION BY batch_id), 8192) AS L FROM chat_ord),
 chat_padded AS (
   SELECT conv_id, batch_id,
     list_concat(list_transform(range(L - len(ids)), lambda x: 4), ids) AS input_ids,

@@ -101,7 +101,7 @@ from ..sources.tables import read_table  # noqa: E402
 
 TAKE_N = 600            # rows taken by take_n (the operator under test)
 SAMPLE_K = 64           # validation sample size
-SFT_MAX = 1024          # left-padding cap for the chat batches (scaled from 8192)
+SFT_MAX = C.MODEL_MAX_LEN   # left-padding cap for the chat batches
 DOC_SEQ = 2048          # fixed length for documents (scaled phase length)
 PHASE_SEQ = 512         # phase-1 sequence length
 
@@ -324,6 +324,7 @@ def q_padding_waste(spark, sf):
 # --- sources, gates and plans (S1-S4, S9, A4-A6, P4, P5, T12, T13, X1-X8) ---
 from ..operators import stats as ST  # noqa: E402
 from ..session import checkpoint_dir  # noqa: E402
+from ..sources import artefacts as AF  # noqa: E402
 from ..sources import tables as TB  # noqa: E402
 from . import corpus as X  # noqa: E402
 
@@ -562,19 +563,12 @@ def q_bpe_train(spark, sf):
 
 @query("tokenizer_build")
 def q_tokenizer_build(spark, sf):
-    """X3 + S8: train, write the artefacts (vocab, merges, stats JSON), read
-    the vocabulary back."""
-    m = trained_model(spark, sf)
-    vocab = spark.createDataFrame([(i, t, i < m.n_specials) for i, t in enumerate(m.vocab)],
-                                  "id int, token string, is_special boolean")
-    merges = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(m.merges)],
-                                   "rank int, left string, right string")
-    stats = {"tokenizer_type": C.TOKENIZER_TYPE, "vocab_size": m.vocab_size, "dataset": sf,
-             "samples": int(m.samples),
-             "special_tokens": {t: i for i, t in enumerate(m.vocab[:m.n_specials])}}
+    """X3 + S8: train, write the artefacts (vocabulary, merges, wrapper config,
+    statistics) and load them again as a model."""
     path = _scratch(spark, "tokenizer")
-    TB.write_tokenizer(vocab, merges, stats, path)
-    return spark.read.parquet(f"{path}/vocab")
+    m = trained_model(spark, sf)
+    AF.save_tokenizer(spark, m, path, {"dataset": sf, "special_tokens": {t: i for i, t in enumerate(m.vocab[:m.n_specials])}})
+    return AF.vocab_table(spark, AF.load_tokenizer(spark, path)[0])
 
 
 @query("tokenizer_stats")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from .tables import read_table
 
 # Fixture parameters (scaled to the driver's tables)
@@ -17,8 +18,8 @@ BLOCKED_TAGS = ["grimdark", "harem"]
 BLOCKED_WARNINGS = ["toxic"]
 VIEWS_THRESHOLD = 1000
 FLAG_PATTERN = r"(?i)\b(license|token)\b"
-MIN_TOKENS = 1024
-MAX_TOKENS = 2048
+MIN_TOKENS = C.MIN_TOKENS
+MAX_TOKENS = C.MAX_TOKENS
 TRIM_KEEP_LAST = 3
 CONTEXT_MAX = 1500
 
