@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import checkpoint_dir
 from .gates import audit_skip, pattern_flag
 
 
@@ -62,9 +63,11 @@ def infraction_histogram(stats: DataFrame, bins: int = C.HISTOGRAM_BINS) -> Data
 
     Bin edges are ``lo + i * (hi - lo) / bins``; a value exactly on an edge
     belongs to the upper bin. The range is one small aggregate whose two
-    numbers become literals of the counting job."""
+    numbers become literals of the counting job. The authors' ratios are
+    checkpointed in between, so the corpus is scanned once."""
+    checkpoint_dir(stats.sparkSession)
     ratios = stats.where(F.col("total") >= C.FLAG_MIN_TOTAL) \
-        .select((F.col("bad") / F.col("total")).alias("r"))
+        .select((F.col("bad") / F.col("total")).alias("r")).checkpoint()
     row = ratios.agg(F.min("r").alias("mn"), F.max("r").alias("mx")).first()
     spark = stats.sparkSession
     if row is None or row["mn"] is None:
@@ -119,7 +122,6 @@ def exclude_authors(df: DataFrame, excluded: DataFrame, column: str = "author")
     and the planner knows the list's size. A small list is broadcast and the
     chapters never move; beyond ``spark.sql.autoBroadcastJoinThreshold`` the
     join shuffles, and AQE splits a hot author's partition."""
-    from ..session import checkpoint_dir
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/excluded-{uuid.uuid4().hex}"
     excluded.select(F.col(column).alias("__excluded")).where(F.col("__excluded").isNotNull()) \
