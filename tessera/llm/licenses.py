@@ -13,7 +13,12 @@ probability 1 - 0.7**32 > 0.99998; a verbatim part of a longer template
 contains a window equal to a template window, which collides always.
 
 A retrieved template matches when at least ``PERCENT`` percent of its distinct
-shingles occur in the text. Windows without any template shingle can neither
+shingles occur in the text. Notices of different licenses can share most of
+their shingles, so of two matches that share any, what tells them apart decides:
+a match goes if less than ``PERCENT`` percent of the shingles that it has and
+its rival lacks occur, and a smaller part than of the rival's own (where one has
+none of its own, half counts as found). A text with both notices has both sets
+and keeps both. Windows without any template shingle can neither
 collide nor match, so they are left out before hashing. All steps are
 built-in functions; only template-sized data is broadcast.
 
@@ -47,6 +52,10 @@ TEMPLATES = (
             "Public License as published by the Free Software Foundation"),
     ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
              "General Public License as published by the Free Software Foundation"),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+             "General Public License as published by the Free Software Foundation"),
+    ("LGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation"),
     ("AGPL", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
             "the following conditions are met"),
@@ -89,6 +98,27 @@ def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
                                 F.size(F.array_distinct("s")).alias("n_shingles"), _windows(F.col("s"), 1).alias("windows")).coalesce(1))
 
 
+def rival_table(known: DataFrame) -> DataFrame:
+    """Templates of different licenses that share shingles: template, rival, and
+    the shingles that only the one (mine) or the other (its) has; template-sized."""
+    a, b = known.alias("a"), known.alias("b")
+    return a.join(b, (F.col("a.license") != F.col("b.license")) & F.arrays_overlap("a.shingles", "b.shingles")).select(
+        F.col("a.template").alias("template"), F.col("b.template").alias("rival"),
+        F.array_except("a.shingles", "b.shingles").alias("mine"), F.array_except("b.shingles", "a.shingles").alias("its"))
+
+
+def beaten(matches: DataFrame, rivals: DataFrame) -> DataFrame:
+    """The (id, template) of ``matches`` (id, template, own) that a rival in the same text explains better."""
+    def found(which: str) -> tuple[Column, Column]:
+        none = F.size(which) == 0
+        return F.when(none, 1).otherwise(F.size(F.array_intersect("own", which))), F.when(none, 2).otherwise(F.size(which))
+
+    (mine, n_mine), (its, n_its) = found("mine"), found("its")
+    both = matches.join(F.broadcast(rivals), "template").join(
+        matches.select("id", F.col("template").alias("rival")), ["id", "rival"])
+    return both.where((mine * 100 < n_mine * PERCENT) & (mine * n_its < its * n_mine)).select("id", "template").distinct()
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> DataFrame:
     """Per match: doc_id, license, template, n_shingles (the template's), n_found."""
     spark = docs.sparkSession
@@ -110,7 +140,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT)
     pair = found.join(hit.select("id", "doc_id", "own"), "id").join(
         F.broadcast(known.select("template", "license", "shingles", "n_shingles")), "template")
     pair = pair.withColumn("n_found", F.size(F.array_intersect("own", "shingles")))
-    return pair.where(F.col("n_found") * 100 >= F.col("n_shingles") * percent).select(
+    match = cut_lineage(pair.where(F.col("n_found") * 100 >= F.col("n_shingles") * percent).drop("shingles"))
+    return match.join(beaten(match.select("id", "template", "own"), rival_table(known)), ["id", "template"], "left_anti").select(
         "doc_id", "license", "template", F.col("n_shingles").cast("long").alias("n_shingles"), F.col("n_found").cast("long").alias("n_found"))
 
 
@@ -128,9 +159,21 @@ WITH tpl(template, license, text) AS (VALUES {rows}),
 a AS (SELECT DISTINCT template, license, {grams} AS g FROM (SELECT template, license, {cut.format('text')} AS t FROM tpl)),
 n AS (SELECT template, license, count(*) AS n FROM a GROUP BY ALL),
 d AS (SELECT DISTINCT doc_id, {grams} AS g FROM (SELECT doc_id, {cut.format('text')} AS t FROM documents)),
-m AS (SELECT doc_id, template, count(*) AS f FROM d JOIN a USING (g) GROUP BY ALL)
+m AS (SELECT doc_id, license, template, n, count(*) AS f FROM d JOIN a USING (g) JOIN n USING (template, license)
+      GROUP BY ALL HAVING count(*) * 100 >= n * {PERCENT}),
+own AS (SELECT a.template, r.template AS rival, a.g FROM a, n r WHERE a.license <> r.license
+          AND EXISTS (SELECT 1 FROM a x JOIN a y USING (g) WHERE x.template = a.template AND y.template = r.template)
+          AND NOT EXISTS (SELECT 1 FROM a y WHERE y.template = r.template AND y.g = a.g)),
+share AS (SELECT x.doc_id, x.template, y.template AS rival, CASE WHEN count(own.g) = 0 THEN 0.5::DOUBLE
+            ELSE count(d.g)::DOUBLE / count(own.g) END AS part, count(own.g) AS size
+          FROM m x JOIN m y ON x.doc_id = y.doc_id AND x.license <> y.license
+            LEFT JOIN own ON own.template = x.template AND own.rival = y.template
+            LEFT JOIN d ON d.doc_id = x.doc_id AND d.g = own.g GROUP BY ALL),
+lost AS (SELECT DISTINCT s.doc_id, s.template FROM share s JOIN share o
+           ON s.doc_id = o.doc_id AND s.template = o.rival AND s.rival = o.template
+         WHERE s.size + o.size > 0 AND s.part < {PERCENT / 100} AND s.part < o.part)
 SELECT doc_id, license, template::INT AS template, n::BIGINT AS n_shingles, f::BIGINT AS n_found
-FROM m JOIN n USING (template) WHERE f * 100 >= n * {PERCENT}"""
+FROM m ANTI JOIN lost USING (doc_id, template)"""
 
 
 OP4_SQL = _sql()

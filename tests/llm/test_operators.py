@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import components
 from tessera.llm.html_blocks import extract_html, main_text
-from tessera.llm.licenses import scan_licenses
+from tessera.llm.licenses import OP4_SQL, TEMPLATES, scan_licenses
 from tessera.llm.mixing import mix, mixed_documents, permute, shard_counts, taken_words, targets
 from tessera.llm.ngram_join import LIST, one_of_each, similar_sets
 from tessera.llm.pieces import decode_pieces, encode_pieces, pieces, round_trip
@@ -214,6 +214,27 @@ def test_licenses(spark):
     assert scan_licenses(docs_frame(spark, [])).count() == 0
 
 
+def test_every_notice_names_its_license_alone(spark):
+    """Each template in a text of its own, then notices that share most of their shingles, together and damaged."""
+    import duckdb
+
+    rows = [(i, f"Read me. {text} More words follow here.", "a") for i, (_, text) in enumerate(TEMPLATES)]
+    want = {i: {name} for i, (name, _) in enumerate(TEMPLATES)}
+    gpl, lgpl, agpl = (next(t for n, t in TEMPLATES if n == name and len(t) > 120) for name in ("GPL", "LGPL", "AGPL"))
+    rows += [(100, gpl + "\nand also\n" + lgpl, "a"), (101, lgpl.replace("GNU", "G N U", 1), "a"), (102, agpl + " " + gpl, "a"),
+             (103, "x " * 9000 + lgpl.upper(), "a")]
+    want |= {100: {"GPL", "LGPL"}, 101: {"LGPL"}, 102: {"AGPL", "GPL"}, 103: {"LGPL"}}
+    found = scan_licenses(docs_frame(spark, rows)).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    assert sorted(con.sql(OP4_SQL).fetchall()) == sorted((r.doc_id, r.license, r.template, r.n_shingles, r.n_found) for r in found)
+
+
 # 5 ------------------------------------------------------------------------
 def test_pieces_round_trip(spark):
     texts = [None, "", " ", "Hello  world\n x", " é▁▁ 日本 😀\x00", "a" * 3000 + "\t\r\n", "ab " * 9000, "Hello  world\n x"]
