@@ -5,15 +5,18 @@ Paths are cut into segments and digit runs are generalised at once
 host: a segment value with few urls under its parent becomes the wildcard
 ``*``, and a value whose labelled purity does not differ statistically from
 its siblings' (a two-proportion z-test against the parent) is merged into the
-wildcard too. The tree grows until no branch is left that could have a segment value
-of its own: with a further segment, enough urls, and labels of both kinds;
-what lies deeper are wildcards. A template is rejected when its smoothed labelled purity,
+wildcard too. The others are put in order of their purity and merged with the
+one before as long as a two-proportion z-test tells no difference: a merged
+branch is named ``{a+2}``, by its smallest value and how many others it has. The tree grows until no branch is left that could have a segment value
+of its own: with a further segment, several paths, enough urls, and labels of both kinds;
+what lies deeper are wildcards. Empty segments count as none. A template is rejected when its smoothed labelled purity,
 ``(good + prior * K) / (labelled + K)``, falls below ``MIN_PURITY``.
 
 All steps are joins and groupings of built-in functions. The urls are first
 aggregated to distinct generalised paths per host, and only those small rows
 go through the tree; every grouping aggregates before its shuffle, so a hot
-host costs no more than its number of distinct paths.
+host costs no more than its number of distinct paths. The order of siblings is
+one of their distinct (labelled, good) counts, not of the siblings.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path and its own template; an unlabelled template has the prior's purity and
@@ -25,7 +28,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, narrow, table
@@ -80,6 +83,34 @@ def _shape(path: Column) -> Column:
     return F.regexp_replace(path, r"[0-9]+", "{n}")
 
 
+def _branches(child: DataFrame) -> DataFrame:
+    """Of the children (host, prefix, seg, n, lab, good) of each branch, those
+    that stand alone, with the name of the merged branch that they belong to."""
+    node = ["host", "prefix"]
+    parent = child.groupBy(*node).agg(F.sum("lab").alias("p_lab"), F.sum("good").alias("p_good"))
+    rate = F.col("p_good") / F.col("p_lab")
+    gap = F.abs(F.col("good") - F.col("lab") * rate)
+    # a branch stands alone when its good labels are too far from what the parent's rate gives
+    stands = (F.col("lab") > 0) & (F.col("p_lab") > 0) & (
+        gap * gap > Z_DIFFERENT * Z_DIFFERENT * F.col("lab") * rate * (1 - rate)) & (gap > 0)
+    alone = child.where((F.col("n") >= MIN_URLS) & (F.col("seg") != "")).join(parent, node).where(stands)
+    # branches of equal counts are alike; classes of them are merged with the class before in order of purity
+    order = Window.partitionBy(*node).orderBy(F.col("good") / F.col("lab"), "lab")
+    lab, good = F.col("lab").cast("double"), F.col("good").cast("double")
+    lab0, good0 = F.lag(lab).over(order), F.lag(good).over(order)
+    far = good * lab0 - good0 * lab
+    pooled = (good + good0) * ((lab + lab0) - (good + good0))
+    differs = far * far * (lab + lab0) > Z_DIFFERENT * Z_DIFFERENT * pooled * lab * lab0
+    classes = (alone.groupBy(*node, "lab", "good").agg(F.min("seg").alias("first"), F.count(F.lit(1)).alias("size"))
+               .withColumn("cut", F.coalesce(differs, F.lit(True)).cast("int"))
+               .withColumn("branch", F.sum("cut").over(order)))
+    whole = Window.partitionBy(*node, "branch")
+    first, more = F.min("first").over(whole), F.sum("size").over(whole) - 1
+    name = F.when(more == 0, first).otherwise(F.concat(F.lit("{"), first, F.lit("+"), more.cast("string"), F.lit("}")))
+    return alone.join(classes.select(*node, "lab", "good", name.alias("name")), [*node, "lab", "good"]) \
+        .select(*node, "seg", "name")
+
+
 def template_tree(urls: DataFrame, labels: DataFrame) -> DataFrame:
     """From ``urls`` (host, shape, label_id) and ``labels`` (label_id, good)
     one row per distinct generalised path: host, shape, template, n_urls,
@@ -93,34 +124,21 @@ def template_tree(urls: DataFrame, labels: DataFrame) -> DataFrame:
     sums = (F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("good").alias("good"))
     mixed = (F.col("n") >= MIN_URLS) & (F.col("good") > 0) & (F.col("good") < F.col("lab"))
 
-    # segments after the path's first slash; slashes at its end make none
-    trimmed = F.expr("trim(TRAILING '/' FROM shape)")
-    parts = F.split(trimmed, "/")
-    segments = F.size(parts) - 1
-    # around empty segments a branch can come back to one that had ended: such paths are followed to their ends
-    odd = paths.groupBy("host").agg(*sums, F.max(F.when(F.contains(trimmed, F.lit("//")), segments)).alias("odd")) \
-        .where(mixed).agg(F.max("odd")).first()[0] or 0
+    parts = F.filter(F.split("shape", "/"), lambda p: p != "")
+    paths = paths.withColumn("parts", parts)
     grown, level = paths.withColumn("prefix", F.lit("")), 1
     while True:
-        live = grown.groupBy("host", "prefix").agg(*sums, F.max(segments).alias("segments")).where(mixed & (F.col("segments") >= level))
-        if level > odd and not live.limit(1).count():
+        # a branch of one path has nothing to tell apart
+        live = grown.groupBy("host", "prefix").agg(*sums, F.count(F.lit(1)).alias("paths"), F.max(F.size("parts")).alias("segments"))
+        if not live.where(mixed & (F.col("paths") > 1) & (F.col("segments") >= level)).limit(1).count():
             break
-        grown = grown.withColumn("seg", F.coalesce(F.get(parts, F.lit(level)), F.lit("")))
-        child = grown.groupBy("host", "prefix", "seg").agg(*sums)
-        parent = child.groupBy("host", "prefix").agg(F.sum("lab").alias("p_lab"), F.sum("good").alias("p_good"))
-        rate = F.col("p_good") / F.col("p_lab")
-        gap = F.abs(F.col("good") - F.col("lab") * rate)
-        # a branch stands alone when its good labels are too far from what the parent's rate gives
-        stands = (F.col("lab") > 0) & (F.col("p_lab") > 0) & (
-            gap * gap > Z_DIFFERENT * Z_DIFFERENT * F.col("lab") * rate * (1 - rate)) & (gap > 0)
-        keep = (child.where((F.col("n") >= MIN_URLS) & (F.col("seg") != ""))
-                .join(parent, ["host", "prefix"]).where(stands).select("host", "prefix", "seg", F.lit(True).alias("stands")))
-        step = (F.when(F.col("seg") == "", F.lit("")).when(F.col("stands"), F.concat(F.lit("/"), F.col("seg")))
-                .otherwise(F.lit("/*")))
-        grown = cut_lineage(grown.join(keep, ["host", "prefix", "seg"], "left")
-                            .withColumn("prefix", F.concat("prefix", step)).drop("stands", "seg"))
+        grown = grown.withColumn("seg", F.coalesce(F.get("parts", F.lit(level - 1)), F.lit("")))
+        child = cut_lineage(grown.groupBy("host", "prefix", "seg").agg(*sums))
+        step = F.when(F.col("seg") == "", F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("name", F.lit("*"))))
+        grown = cut_lineage(grown.join(_branches(child), ["host", "prefix", "seg"], "left")
+                            .withColumn("prefix", F.concat("prefix", step)).drop("name", "seg"))
         level += 1
-    deeper = F.size(F.filter(F.slice(parts, level + 1, F.greatest(segments, F.lit(0)) + 1), lambda p: p != ""))
+    deeper = F.greatest(F.size("parts") - (level - 1), F.lit(0))
     tree = grown.select(*shape, "n", "lab", "good", F.concat("prefix", F.repeat(F.lit("/*"), deeper)).alias("template"))
     leaf = tree.groupBy("host", "template").agg(*[F.sum(c).alias(f"n_{c}") for c in ("n", "lab", "good")])
     total = paths.agg(F.sum("good").alias("g"), F.sum("lab").alias("l")).first()
@@ -162,7 +180,7 @@ LEVELS = [f"s{i + 1}" for i in range(DEPTH)]
 
 
 def _sql() -> str:
-    segs = ",\n".join(f"coalesce(p[{i + 2}], '') AS s{i + 1}" for i in range(DEPTH))
+    segs = ",\n".join(f"coalesce(p[{i + 1}], '') AS s{i + 1}" for i in range(DEPTH))
     keys = "host, " + ", ".join(LEVELS) + ", tail"
     steps, prev = [], "t0"
     for i, s in enumerate(LEVELS):
@@ -170,10 +188,20 @@ def _sql() -> str:
         steps.append(f"""
 c{i} AS (SELECT host, prefix, {s}, sum(n) AS n, sum(lab) AS lab, sum(good) AS good FROM {prev} GROUP BY ALL),
 q{i} AS (SELECT host, prefix, sum(lab) AS p_lab, sum(good)::DOUBLE / sum(lab) AS r FROM c{i} GROUP BY ALL),
-k{i} AS (SELECT c.host, c.prefix, c.{s} FROM c{i} c JOIN q{i} q ON c.host = q.host AND c.prefix = q.prefix
+a{i} AS (SELECT c.* FROM c{i} c JOIN q{i} q ON c.host = q.host AND c.prefix = q.prefix
          WHERE n >= {MIN_URLS} AND {s} <> '' AND lab > 0 AND p_lab > 0 AND abs(good - lab * r) > 0
            AND abs(good - lab * r) * abs(good - lab * r) > {Z_DIFFERENT}::DOUBLE * {Z_DIFFERENT}::DOUBLE * lab * r * (1 - r)),
-{t} AS (SELECT t.* EXCLUDE (prefix), t.prefix || CASE WHEN t.{s} = '' THEN '' WHEN k.host IS NOT NULL THEN '/' || t.{s} ELSE '/*' END AS prefix
+o{i} AS (SELECT host, prefix, lab::DOUBLE AS lab, good::DOUBLE AS good, min({s}) AS first, count(*) AS size,
+           lag(lab::DOUBLE) OVER w AS lab0, lag(good::DOUBLE) OVER w AS good0
+         FROM a{i} GROUP BY host, prefix, lab, good WINDOW w AS (PARTITION BY host, prefix ORDER BY good / lab, lab)),
+b{i} AS (SELECT *, sum(CASE WHEN lab0 IS NULL OR (good * lab0 - good0 * lab) * (good * lab0 - good0 * lab) * (lab + lab0)
+             > {Z_DIFFERENT}::DOUBLE * {Z_DIFFERENT}::DOUBLE * ((good + good0) * ((lab + lab0) - (good + good0))) * lab * lab0
+             THEN 1 ELSE 0 END) OVER (PARTITION BY host, prefix ORDER BY good / lab, lab) AS branch FROM o{i}),
+m{i} AS (SELECT host, prefix, branch, min(first) AS first, sum(size) - 1 AS more FROM b{i} GROUP BY ALL),
+k{i} AS (SELECT a.host, a.prefix, a.{s}, CASE WHEN more = 0 THEN m.first ELSE '{{' || m.first || '+' || more || '}}' END AS name
+         FROM a{i} a JOIN b{i} b ON a.host = b.host AND a.prefix = b.prefix AND a.lab = b.lab AND a.good = b.good
+           JOIN m{i} m ON b.host = m.host AND b.prefix = m.prefix AND b.branch = m.branch),
+{t} AS (SELECT t.* EXCLUDE (prefix), t.prefix || CASE WHEN t.{s} = '' THEN '' WHEN k.host IS NOT NULL THEN '/' || k.name ELSE '/*' END AS prefix
         FROM {prev} t LEFT JOIN k{i} k ON t.host = k.host AND t.prefix = k.prefix AND t.{s} = k.{s})""")
         prev = t
     fits = " ".join(
@@ -188,8 +216,8 @@ WITH u AS (SELECT page_id, CASE WHEN url IS NOT NULL AND contains(url, '://') TH
 h AS (SELECT page_id, translate(regexp_extract(x, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
              regexp_extract(x, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 v AS (SELECT *, try_cast(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1) AS BIGINT) AS label_id,
-             string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/') AS p FROM h),
-d AS (SELECT page_id, host, path, label_id, {segs}, CASE WHEN len(p) > {DEPTH + 1} THEN '/*' ELSE '' END AS tail FROM v),
+             list_filter(string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/'), lambda x: x <> '') AS p FROM h),
+d AS (SELECT page_id, host, path, label_id, {segs}, CASE WHEN len(p) > {DEPTH} THEN '/*' ELSE '' END AS tail FROM v),
 g AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
 t0 AS (SELECT {keys}, count(*) AS n, count(good) AS lab, coalesce(sum(good), 0) AS good, '' AS prefix
        FROM d LEFT JOIN g ON d.label_id = g.doc_id GROUP BY {keys}),{",".join(steps)},

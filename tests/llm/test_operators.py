@@ -135,6 +135,22 @@ def test_url_filter_on_deep_paths(spark):
     assert [got[200 + i].template for i in range(5)] == ["/*" * 7, "/*" * 7, "", "/*" * 3, "/*" * 50]
 
 
+def test_similar_siblings_merge(spark):
+    """Two branches all bad, two all good, one between: three templates; equal urls of 2,000 segments grow few levels."""
+    rows, labels, i = [], [], 0
+    for branch, share in (("a", 0), ("b", 0), ("c", 100), ("d", 100), ("e", 60)):
+        for k in range(100):
+            rows.append((i, f"http://h.net//{branch}/{k}", i))
+            labels.append((i, int(k < share)))
+            i += 1
+    rows += [(i + k, "http://h.net" + "/z" * 2000, k if k % 2 else 200 + k) for k in range(30)]
+    urls = spark.createDataFrame(rows, "page_id long, url string, label_id long")
+    made = url_filter(urls, spark.createDataFrame(labels, "label_id long, good int"))
+    got = {(r.template, r.verdict, r.n_urls, r.n_good) for r in made.collect()}
+    assert got == {("/{a+1}/*", "block", 200, 0), ("/{c+1}/*", "allow", 200, 200), ("/*/*", "allow", 100, 60),
+                   ("/*" * 2000, "allow", 30, 15)}
+
+
 # 3 ------------------------------------------------------------------------
 def test_permutations_and_shards():
     for n in (1, 2, 3, 64, 1000):
