@@ -3,6 +3,8 @@ partial aggregation; nothing is collected but the one-row result."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -54,3 +56,15 @@ def corpus_manifest(split_df: DataFrame, source: str, seq_len: int, batch_size:
                         F.count_if(F.col("split") == "test").alias("n_test")) \
         .select(F.lit(source).alias("source"), "n_train", "n_test",
                 F.lit(seq_len).alias("seq_len"), F.lit(batch_size * grad_accum).alias("effective_batch"))
+
+
+def phase_manifests(saved: dict[str, DataFrame], phases: dict = C.PHASES) -> DataFrame:
+    """One row a phase: ``saved`` maps a phase to its corpus read back from its
+    split folders. Only the split column is asked for, which is a folder name,
+    so the counts come from the files' footers."""
+    one = []
+    for phase, corpus in saved.items():
+        source, _, seq_len, _, batch, accum, _, _ = phases[phase]
+        one.append(corpus_manifest(corpus.select("split"), source, seq_len, batch, accum)
+                   .select(F.lit(phase).alias("phase"), "*"))
+    return reduce(DataFrame.unionByName, one)

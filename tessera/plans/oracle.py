@@ -483,3 +483,43 @@ words AS (SELECT doc_id, i, CASE WHEN i % 2 = 0 THEN [seg] ELSE flatten(list_tra
   {pretokens_sql("nfc_normalize(seg)")}, lambda p: {word_pieces_sql("p")})) END AS w FROM one),
 docs AS (SELECT doc_id, flatten(list(w ORDER BY i)) AS w FROM words GROUP BY doc_id)
 SELECT doc_id, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS word FROM docs""")
+
+
+# ---------------------------------------------------------------------------
+# phases and their manifests, first rows, token lookup
+# ---------------------------------------------------------------------------
+def _phase_ctes(name: str, where: str, rows: int, frac: float) -> str:
+    return f"""{name}_sel AS (SELECT doc_id, text FROM (SELECT doc_id, text, {order_idx('doc_id', '42')} AS i
+  FROM documents WHERE {where}) WHERE i < {rows}),
+{split_cte(f'{name}_sel', 'doc_id', frac, name=name)}"""
+
+
+_PHASES = [_phase_ctes("phase1", "lang = 'en'", 20_000_000, 0.01), _phase_ctes("phase3", "true", 10_000_000, 0.01),
+           _phase_ctes("phase5", "lang = 'de'", 7_680_000, 0.005)]
+register("phase_corpora", with_(*_PHASES) + " UNION ALL ".join(f"""
+SELECT '{phase}' AS phase, doc_id, split, list_resize(ids[1:{n}], {n}, 4) AS input_ids,
+  list_resize(list_transform(ids[1:{n}], lambda x: 1), {n}, 0) AS attention_mask
+FROM (SELECT *, {byte_ids_sql('text')} AS ids FROM {phase})""" for phase, n in (("phase1", 512), ("phase3", 2048), ("phase5", 2048))))
+register("phase_manifests", with_(
+    STORIES, FLAGGED, CLEAN, *_PHASES,
+    f"long_sel AS (SELECT doc_id FROM documents WHERE doc_id % 3 = 0 AND {byte_count_sql('text')} > 1000)",
+    split_cte("long_sel", "doc_id", name="phase4"),
+    "chat_sel AS (SELECT DISTINCT conv_id FROM conversations)", split_cte("chat_sel", "conv_id", name="sft")) + " UNION ALL ".join(f"""
+SELECT '{phase}' AS phase, '{source}' AS source, count(*) FILTER (WHERE split = 'train') AS n_train,
+  count(*) FILTER (WHERE split = 'test') AS n_test, {n} AS seq_len, {batch} AS effective_batch FROM {table}"""
+    for phase, table, source, n, batch in (
+        ("phase1", "phase1", "cosmopedia-v2", 512, 256), ("phase2", "clean", "clean-stories", 8192, 128),
+        ("phase3", "phase3", "sample-10BT", 2048, 256), ("phase4", "phase4", "cosmopedia-v2", 2048, 256),
+        ("phase5", "phase5", "python-edu", 2048, 256), ("sft", "sft", "smol-smoltalk", 8192, 256))))
+register("read_first", "SELECT doc_id, lang FROM documents LIMIT 250")
+BYTE_VOCAB = f"""byte_vocab AS (SELECT {_SYMBOL} AS token, {_BYTE_ID} AS id FROM range(256) t(b)
+  UNION SELECT * FROM (VALUES {_SPECIAL_ROWS}))"""
+register("ids_to_tokens", with_(DOC_IDS, BYTE_VOCAB) + """
+SELECT d.id, token, n FROM (SELECT id, count(*) AS n FROM (SELECT unnest(ids) AS id FROM doc_ids) GROUP BY id) d
+LEFT JOIN byte_vocab v ON d.id = v.id""")
+register("tokens_to_ids", with_(BYTE_VOCAB) + f"""
+, seen AS (SELECT unnest(string_split(text, '')) AS token FROM documents
+  UNION ALL SELECT token FROM (SELECT unnest(regexp_extract_all(text, {SPECIAL_RE_SQL}, 1)) AS token FROM documents)
+  WHERE length(token) > 1)
+SELECT s.token, CAST(coalesce(v.id, 5) AS INTEGER) AS id, v.id IS NOT NULL AS known, n
+FROM (SELECT token, count(*) AS n FROM seen WHERE token <> '' GROUP BY token) s LEFT JOIN byte_vocab v ON s.token = v.token""")

@@ -242,6 +242,25 @@ def q_token_ids(spark, sf):
         .withColumn("is_special", F.col("id") < len(C.SPECIAL_TOKENS))
 
 
+def _byte_vocab(spark):
+    return AF.vocab_table(spark, TT.byte_model())
+
+
+@query("ids_to_tokens")
+def q_ids_to_tokens(spark, sf):
+    ids = _doc_ids(spark, sf).select(F.explode("input_ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return LU.ids_to_tokens(ids, _byte_vocab(spark)).select("id", "token", "n")
+
+
+@query("tokens_to_ids")
+def q_tokens_to_ids(spark, sf):
+    """Every character and special token of the texts, looked up as a token."""
+    chars = _docs(spark, sf).select(F.explode(F.split("text", "")).alias("token")).where("token <> ''")
+    specials = _docs(spark, sf).select(F.explode(B.special_token_counts(F.col("text"))).alias("token")).where(F.length("token") > 1)
+    counts = chars.unionByName(specials).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return LU.tokens_to_ids(counts, _byte_vocab(spark)).select("token", "id", "known", "n")
+
+
 @query("id_range_check")
 def q_id_range_check(spark, sf):
     d = _doc_ids(spark, sf)
@@ -365,6 +384,14 @@ def q_read_limited(spark, sf):
     return TB.read_limited(conv, NUM_SAMPLES).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+FIRST_ROWS = 250         # rows taken by read_first (the operator under test)
+
+
+@query("read_first")
+def q_read_first(spark, sf):
+    return TB.read_first(spark, TB.table_path(sf, "documents"), FIRST_ROWS).select("doc_id", "lang")
+
+
 @query("long_story_filter")
 def q_long_story_filter(spark, sf):
     return G.long_story(FX.corpus(spark, sf)).select("doc_id", "token_length")
@@ -462,6 +489,34 @@ def q_phase_corpus(spark, sf):
     return X.phase_corpus(FX.corpus(spark, sf, with_token_length=False), "en", None, PHASE_SEQ, frac)
 
 
+PHASE_CONFIGS = {"phase1": "en", "phase3": None, "phase5": "de"}    # the language stands for the config
+
+
+def _phase(spark, sf, phase):
+    _, rows, seq_len, frac, *_ = C.PHASES[phase]
+    corpus = FX.corpus(spark, sf, with_token_length=False)
+    return X.phase_corpus(corpus, PHASE_CONFIGS[phase], rows, seq_len, frac)
+
+
+@query("phase_corpora")
+def q_phase_corpora(spark, sf):
+    """The corpora of phases 1, 3 and 5 by their own row targets, lengths and test shares."""
+    parts = [_phase(spark, sf, p).withColumn("phase", F.lit(p)) for p in PHASE_CONFIGS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("phase_manifests")
+def q_phase_manifests(spark, sf):
+    """All six corpora saved, counted from their files, the manifest written and read back."""
+    long_ = X.long_story_corpus(FX.corpus(spark, sf), None, C.PHASES["phase4"][2], test_fraction=C.PHASES["phase4"][3])
+    made = {p: _phase(spark, sf, p) for p in PHASE_CONFIGS} | {
+        "phase2": _clean(spark, sf), "phase4": long_, "sft": _sft(spark, sf)}
+    saved = {p: _saved(spark, df, p) for p, df in made.items()}
+    path = _scratch(spark, "manifest")
+    TB.write_manifest(ST.phase_manifests(saved), path)
+    return TB.read_manifest(spark, path)
+
+
 @query("long_story_corpus")
 def q_long_story_corpus(spark, sf):
     frac = C.PHASES["phase4"][3]
@@ -498,6 +553,7 @@ def q_story_batches(spark, sf):
 # (T3-T10, T14, A8-A10, G8, S8, X3)
 from ..operators.tokenizer import checks as TC  # noqa: E402
 from ..operators.tokenizer import encode as TE  # noqa: E402
+from ..operators.tokenizer import lookup as LU  # noqa: E402
 from ..operators.tokenizer import train as TT  # noqa: E402
 
 BPE_VOCAB = 352          # trained vocabulary for the registered queries

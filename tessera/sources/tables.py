@@ -48,6 +48,23 @@ def read_limited(df: DataFrame, limit: int | None) -> DataFrame:
     return df if limit is None else df.limit(int(limit))
 
 
+def read_first(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The first ``n`` rows of saved Parquet files, in order of file and row.
+
+    Rows per file come from the files' footers (a scan of no column); the file
+    where the n-th row lies is found on their stream, and the rows are then
+    filtered where they are read. Nothing passes through one task, and a rerun
+    gives the same rows."""
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).count().orderBy("file")
+    rows, left = spark.read.parquet(path), n
+    file = F.col("_metadata.file_path")
+    for f in files.toLocalIterator():
+        if f["count"] >= left:
+            return rows.where((file < f["file"]) | ((file == f["file"]) & (F.col("_metadata.row_index") < left)))
+        left -= f["count"]
+    return rows
+
+
 # S4 / S5 ------------------------------------------------------------------
 def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Save a split dataset: one folder per split (``split=train``/``test``)."""
@@ -96,5 +113,12 @@ def write_tokenizer(vocab: DataFrame, merges: DataFrame, stats: dict, path: str)
 
 
 # S9 -------------------------------------------------------------------------
+MANIFEST = "phase string, source string, n_train long, n_test long, seq_len int, effective_batch int"
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).json(path)

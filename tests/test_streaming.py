@@ -14,3 +14,20 @@ def test_stream_equals_batch(spark, tmp_path):
     # a second drain over the same checkpoint finds nothing new (exactly-once sink)
     again = SS.drain(spark, str(tmp_path / "src"), str(tmp_path / "sink"), str(tmp_path / "ckpt"))
     assert again.count() == want.count()
+
+
+def test_restart_after_new_files_and_a_killed_batch(spark, tmp_path):
+    """New files come in a later drain; a batch whose commit is lost is run again: each row is there once."""
+    src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
+    chats = FX.messages(spark, SF001).cache()
+    low, high = chats.where("conv_id < 10"), chats.where("conv_id >= 10")
+    low.write.parquet(src)
+    assert SS.drain(spark, src, sink, ckpt).count() == low.count()
+    high.write.mode("append").parquet(src)
+    want = sorted(chats.select("conv_id", CH.chatml_train(F.col("messages")).alias("text")).collect())
+    assert sorted(SS.drain(spark, src, sink, ckpt).collect()) == want
+    last = max((tmp_path / "ckpt" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for f in (last, last.with_name(f".{last.name}.crc")):
+        f.unlink(missing_ok=True)
+    assert sorted(SS.drain(spark, src, sink, ckpt).collect()) == want
+    chats.unpersist()
