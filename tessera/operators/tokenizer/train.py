@@ -5,33 +5,32 @@ Data flow
 1. ``word_counts``: every text -> NFC -> byte-level pre-tokens -> byte
    symbols, numeric symbols isolated -> ``groupBy(word).count()``. This is
    the only pass over the corpus; the rest works on distinct words.
-2. ``words``: each distinct word as its symbol ids joined by spaces
-   (``"53 72 9"``) with its count; one-symbol words cannot merge and are
-   dropped.
-3. Rounds: adjacent-pair counts are a ``groupBy(left, right).sum(count)``
-   over the words; the best pairs (count desc, then smaller ids -- the
-   order the reference trainer uses) come back to the driver with two
-   small bound aggregates, several merges are accepted at once **exactly**
-   (see :func:`accept_round`), and the words are rewritten with one
-   ``regexp_replace`` per merge (merges of a round share no symbol, so
-   their order does not matter).
-4. Lineage is cut with a reliable ``checkpoint()`` into the session's
-   checkpoint folder every ``checkpoint_every`` rounds.
-
-The vocabulary and merge list live on the driver; both are bounded by the
-vocabulary size.
+2. ``words``: each distinct word as its symbol ids with its count; one-symbol
+   words cannot merge and are dropped.
+3. Rounds (:mod:`.segments`): count the pairs, cut the words where a pair is
+   not among the best, add up the segments between the cuts, learn from them
+   hundreds of merges **exactly** as one-merge-at-a-time training would, and
+   rewrite the words by segment.
+4. Each round's words are a table in the shared checkpoint folder, so lineage
+   is one round deep; the round before's is deleted.
+
+The vocabulary, the merge list and one round's segments are on the driver; all
+are bounded, by the vocabulary size and by ``max_symbols``.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ... import constants as C
 from ...functions import bytelevel as B
-from ...session import checkpoint_dir
+from ...session import checkpoint_dir, ship_package
+from . import segments as SG
 
 
 # T4 -----------------------------------------------------------------------
@@ -82,121 +81,65 @@ def byte_model() -> BPEModel:
 LAST_TRAIN_STATS: dict = {}
 
 
-@dataclass
-class _Candidate:
-    count: int
-    left: int
-    right: int
-
-
-def accept_round(cands: list[_Candidate], max_as_right: dict[int, int], max_as_left: dict[int, int],
-                 budget: int, min_frequency: int,
-                 context_max: dict[tuple[int, int], int] | None = None) -> list[_Candidate]:
-    """Choose the merges of one round so that they are exactly the next
-    merges one-at-a-time training would make.
-
-    ``cands`` are the best pairs in (count desc, left id, right id) order;
-    they are an exact prefix of the global order (Spark sorts by count and
-    ids), so pairs not fetched can never come first. The first candidate is
-    always the next merge. A later candidate (l, r) is accepted only while
-
-    (a) no accepted merge (a, b) changed its count. Merging (a, b), a != b,
-        rewrites exactly the occurrences of ``a b``; the only other pairs
-        it touches are (x, a) with that ``a`` and (b, y) with that ``b``.
-        So (l, r) keeps its count unless r is the left symbol or l is the
-        right symbol of an accepted merge;
-    (b) its count is strictly greater than ``bound``, an upper limit for the
-        count of any pair the round's merges create. Every occurrence of a
-        created pair maps to a distinct occurrence, before the round, of a
-        trigram (x, a, b) or (a, b, y) of an accepted merge -- also when the
-        neighbour is itself merged this round, through its outer original
-        symbol -- so the largest such trigram count bounds them all
-        (``context_max``); without it, min(c, max count of (., a)) and
-        min(c, max count of (b, .)) do.
-
-    Stop at the first failure, and after a pair (a, a), whose overlapping
-    occurrences make counts irregular."""
-    out: list[_Candidate] = []
-    lefts: set[int] = set()
-    rights: set[int] = set()
-    bound = 0
-    for c in cands:
-        if c.count < min_frequency or len(out) >= budget:
-            break
-        if out and (c.right in lefts or c.left in rights or c.count <= bound):
-            break
-        out.append(c)
-        lefts.add(c.left)
-        rights.add(c.right)
-        if context_max is not None and (c.left, c.right) in context_max:
-            bound = max(bound, context_max[(c.left, c.right)])
-        else:
-            bound = max(bound, min(c.count, max_as_right.get(c.left, 0)),
-                        min(c.count, max_as_left.get(c.right, 0)))
-        if c.left == c.right:
-            break
-    return out
-
-
-def _pairs(words: DataFrame) -> DataFrame:
-    a = F.split("sym", " ")
-    n = F.size(a)
-    zipped = F.arrays_zip(F.slice(a, 1, n - 1).alias("l"), F.slice(a, 2, n - 1).alias("r"))
-    return (words.select(F.explode(zipped).alias("p"), "cnt")
-            .select(F.col("p.l").cast("int").alias("l"), F.col("p.r").cast("int").alias("r"), "cnt")
-            .groupBy("l", "r").agg(F.sum("cnt").alias("c")))
-
-
-def _context_max(words: DataFrame, pairs: DataFrame, top_n: int) -> DataFrame:
-    """For the ``top_n`` best pairs (a, b): the largest count of a trigram
-    (x, a, b) or (a, b, y) over the words, as rows (kind='X', l=a, r=b, c).
-    The candidate list is a bounded broadcast (``top_n`` rows)."""
-    # the id array is a column first: a lambda must not capture an
-    # expression (Spark would re-evaluate it for every element)
-    a, n = F.col("ids"), F.size("ids")
-    occ = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(
-        F.element_at(a, i + 1).alias("l"), F.element_at(a, i + 2).alias("r"),
-        F.when(i > 0, F.element_at(a, F.greatest(i, F.lit(1)))).alias("x"),
-        F.when(i + 2 < n, F.element_at(a, F.least(i + 3, n))).alias("y")))
-    top = pairs.orderBy(F.desc("c"), "l", "r").limit(top_n).select("l", "r")
-    rows = (words.select(F.transform(F.split("sym", " "), lambda x: x.cast("int")).alias("ids"), "cnt")
-            .where(F.size("ids") >= 3)
-            .select(F.explode(occ).alias("o"), "cnt").select("o.*", "cnt")
-            .join(F.broadcast(top), ["l", "r"]))
-    ctx = rows.select("l", "r", F.explode(F.array(
-        F.struct(F.lit("x").alias("side"), F.col("x").alias("z")),
-        F.struct(F.lit("y").alias("side"), F.col("y").alias("z")))).alias("t"), "cnt") \
-        .where(F.col("t.z").isNotNull())
-    tri = ctx.groupBy("l", "r", "t.side", "t.z").agg(F.sum("cnt").alias("c"))
-    return tri.groupBy("l", "r").agg(F.max("c").alias("c")) \
-        .select(F.lit("X").alias("kind"), "l", "r", "c")
-
-
-def _merge_expr(sym: Column, merges: list[tuple[int, int, int]]) -> Column:
-    for l, r, new in merges:
-        sym = F.regexp_replace(sym, f"(?<=^| ){l} {r}(?= |$)", str(new))
-    return sym
-
-
-def _with_zero_context(cands: list[_Candidate], context: dict, top_n: int) -> dict:
-    """Context maxima for the first ``top_n`` candidates; a candidate there
-    without any trigram row creates no new pair (bound 0)."""
-    out = {}
-    for c in cands[:top_n]:
-        out[(c.left, c.right)] = context.get((c.left, c.right), 0)
-    return out
+class _WordTable:
+    """The words between rounds: a new table of the shared folder each round."""
+
+    def __init__(self, spark):
+        self.spark, self.path = spark, None
+        self.base = f"{checkpoint_dir(spark).rstrip('/')}/bpe-words-{uuid.uuid4().hex}"
+        self.round = 0
+
+    def put(self, words: DataFrame) -> DataFrame:
+        old, self.path = self.path, f"{self.base}/{self.round}"
+        self.round += 1
+        words.write.parquet(self.path)
+        if old:
+            self._delete(old)
+        return self.spark.read.schema(SG.WORDS).parquet(self.path)
+
+    def drop(self) -> None:
+        self._delete(self.base)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _fitting_segments(words: DataFrame, pairs: list, n_hot: int, max_symbols: int):
+    """(hot pairs, their codes as a broadcast, segments, weights): the first ``n_hot`` pairs, or
+    half as many and so on, until their segments hold at most ``max_symbols`` symbols."""
+    spark = words.sparkSession
+    while True:
+        hot = spark.sparkContext.broadcast(SG.hot_codes((r["l"], r["r"]) for r in pairs[:n_hot]))
+        found = SG.segment_counts(words, hot).cache()
+        size = found.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
+        if size <= max_symbols or n_hot == 1:
+            rows = found.toArrow()
+            found.unpersist()
+            return (pairs[:n_hot], hot, [np.array(x, dtype=np.int32) for x in rows["ids"].to_pylist()],
+                    rows["cnt"].to_pylist())
+        found.unpersist()
+        hot.unpersist()
+        n_hot = max(1, min(n_hot // 2, n_hot * max_symbols // size))
 
 
 def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "text",
               min_frequency: int = C.MIN_FREQUENCY, special_tokens: list[str] = C.SPECIAL_TOKENS,
-              initial_alphabet: list[str] = C.DIGITS, candidates: int = 2000,
-              checkpoint_every: int = 10, context_candidates: int = 32) -> BPEModel:
+              initial_alphabet: list[str] = C.DIGITS, hot_pairs: int = 500,
+              max_hot_pairs: int = 50_000, max_symbols: int = 200_000) -> BPEModel:
     """Learn a byte-level BPE vocabulary of ``vocab_size`` tokens (specials
     included) from a text column.
 
-    The merges equal those of one-merge-at-a-time training."""
+    The merges equal those of one-merge-at-a-time training for any values of
+    the last three parameters, which only set how much a round takes: it
+    starts with ``hot_pairs`` and goes on with as many (up to
+    ``max_hot_pairs``) as keep its segments near ``max_symbols`` symbols in
+    total. Null and empty texts add no word; an empty table gives the specials
+    and the initial alphabet. A single word longer than ``max_symbols`` that
+    is all one pair is the only case beyond that bound."""
     spark = texts.sparkSession
-    checkpoint_dir(spark)
+    ship_package(spark)
+    table = _WordTable(spark)
     wc = word_counts(texts, text).checkpoint(eager=True)
     samples = texts.count()
 
@@ -209,70 +152,34 @@ def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "tex
             vocab.append(s)
     # symbol -> id for the alphabet (<= 256 + specials entries): a literal map
     alpha = F.create_map(*[x for t, i in tok_id.items() for x in (F.lit(t), F.lit(i))])
-    sym = F.array_join(F.transform(F.filter(F.split("word", ""), lambda c: c != ""),
-                                   lambda c: F.element_at(alpha, c).cast("string")), " ")
-    words = wc.select(sym.alias("sym"), F.col("n").alias("cnt")).where(F.instr("sym", " ") > 0)
-    words = words.checkpoint(eager=True)
+    ids = F.transform(F.filter(F.split("word", ""), lambda c: c != ""), lambda c: F.element_at(alpha, c))
+    words = table.put(wc.where(F.length("word") > 1).select(ids.alias("ids"), F.col("n").alias("cnt")))
 
     merges: list[tuple[str, str]] = []
-    rounds = 0
-    previous = None
-    stats = {"rounds": 0, "merges": 0}
+    rounds = []
+    n_hot = hot_pairs
     while len(vocab) < vocab_size:
-        rounds += 1
-        pairs = _pairs(words)
-        # one job per round: the best pairs and, for every symbol, the largest
-        # count it has on either side (<= 2 rows per vocabulary entry)
-        top = pairs.orderBy(F.desc("c"), "l", "r").limit(candidates) \
-            .select(F.lit("T").alias("kind"), "l", "r", "c")
-        bounds = pairs.select(F.explode(F.array(
-            F.struct(F.lit("R").alias("kind"), F.col("r").alias("s"), "c"),
-            F.struct(F.lit("L").alias("kind"), F.col("l").alias("s"), "c"))).alias("x")) \
-            .groupBy("x.kind", "x.s").agg(F.max("x.c").alias("c")) \
-            .select("kind", F.col("s").alias("l"), F.lit(None).cast("int").alias("r"), "c")
-        ctx = _context_max(words, pairs, context_candidates)
-        rows = top.unionByName(bounds).unionByName(ctx).collect()
-        if previous is not None:
-            previous.unpersist()      # ``words`` is cached now; its parent can go
-            previous = None
-        cands = sorted((_Candidate(int(r["c"]), int(r["l"]), int(r["r"])) for r in rows if r["kind"] == "T"),
-                       key=lambda c: (-c.count, c.left, c.right))
-        if not cands:
+        # one pair more than needed tells whether any is cold
+        pairs = SG.pair_counts(words).where(F.col("c") >= min_frequency) \
+            .orderBy(F.desc("c"), "l", "r").limit(n_hot + 1).collect()
+        if not pairs:
             break
-        max_as_right = {int(r["l"]): int(r["c"]) for r in rows if r["kind"] == "R"}
-        max_as_left = {int(r["l"]): int(r["c"]) for r in rows if r["kind"] == "L"}
-        budget = vocab_size - len(vocab)
-        context = {(int(r["l"]), int(r["r"])): int(r["c"]) for r in rows if r["kind"] == "X"}
-        chosen = accept_round(cands, max_as_right, max_as_left, budget, min_frequency,
-                              _with_zero_context(cands, context, context_candidates))
-        if not chosen:
+        top, hot, segments, weights = _fitting_segments(words, pairs, min(n_hot, len(pairs)), max_symbols)
+        last = (-top[-1]["c"], top[-1]["l"], top[-1]["r"]) if len(top) < len(pairs) else None
+        state = SG.Segments(segments, weights)
+        made = SG.learn(state, last, vocab, tok_id, merges, vocab_size, min_frequency)
+        size = sum(map(len, segments))
+        rounds.append({"pairs": len(top), "segments": len(segments), "symbols": size, "merges": made})
+        if len(vocab) >= vocab_size:
             break
-        applied = []
-        for c in chosen:
-            new_tok = vocab[c.left] + vocab[c.right]
-            merges.append((vocab[c.left], vocab[c.right]))
-            reused = new_tok in tok_id
-            if reused:
-                new_id = tok_id[new_tok]      # an existing token: reuse its id
-            else:
-                new_id = len(vocab)
-                tok_id[new_tok] = new_id
-                vocab.append(new_tok)
-            applied.append((c.left, c.right, new_id))
-            if reused:
-                break   # more occurrences of an old token can raise other counts: end the round
-        stats["merges"] += len(applied)
-        nxt = words.select(_merge_expr(F.col("sym"), applied).alias("sym"), "cnt") \
-            .where(F.instr("sym", " ") > 0)
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)      # cut lineage in the shared folder
-        else:
-            nxt = nxt.cache()                     # materialized by the next round's job
-        previous = words
-        words = nxt
-    if previous is not None:
-        previous.unpersist()
-    stats["rounds"] = rounds
+        changed = {old.tobytes(): new.tobytes() for old, new in zip(segments, state.current())
+                   if len(old) != len(new)}
+        merged = spark.sparkContext.broadcast(changed)
+        words = table.put(SG.rewrite(words, hot, merged))
+        hot.unpersist()
+        merged.unpersist()
+        n_hot = max(1, min(max_hot_pairs, int(len(top) * min(4.0, max(0.25, 0.7 * max_symbols / size)))))
+    table.drop()
     LAST_TRAIN_STATS.clear()
-    LAST_TRAIN_STATS.update(stats)
+    LAST_TRAIN_STATS.update({"rounds": len(rounds), "merges": len(merges), "per_round": rounds})
     return BPEModel(vocab, merges, len(special_tokens), samples)

@@ -2,7 +2,10 @@
 encoding, against independent Python implementations. The ``tokenizers``
 library serves as a test oracle only."""
 
+import json
+import random
 import unicodedata
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,27 +127,69 @@ def test_self_checks(spark, trained):
     assert rows[2]["back"] == rows[2]["t"]
 
 
-def test_accept_round_rule():
-    c = TT._Candidate
-    cands = [c(10, 1, 2), c(9, 3, 4), c(9, 2, 5), c(8, 6, 7)]
-    # (3,4) disjoint and 9 > bound min(10, 3) -> accepted; (2,5) shares 2 -> stop
-    got = TT.accept_round(cands, {1: 3, 3: 1}, {2: 3, 4: 1}, 100, 2)
-    assert [(x.left, x.right) for x in got] == [(1, 2), (3, 4)]
-    # a pair created by the first merge could reach 9: stop before (3,4)
-    got = TT.accept_round(cands, {1: 9}, {}, 100, 2)
-    assert [(x.left, x.right) for x in got] == [(1, 2)]
-
-
-def test_accept_round_shared_symbols_and_context():
-    c = TT._Candidate
-    # (1, 5) shares the left symbol of (1, 2): merging (1, 2) does not touch
-    # "1 5", so it is accepted; (7, 1) has 1 on the right: its count may drop
-    cands = [c(10, 1, 2), c(9, 1, 5), c(8, 7, 1)]
-    got = TT.accept_round(cands, {1: 10}, {2: 10, 5: 10}, 100, 2, context_max={(1, 2): 3, (1, 5): 2})
-    assert [(x.left, x.right) for x in got] == [(1, 2), (1, 5)]
-    # a created pair that could reach the next count stops the round
-    got = TT.accept_round(cands, {}, {}, 100, 2, context_max={(1, 2): 9, (1, 5): 0})
-    assert [(x.left, x.right) for x in got] == [(1, 2)]
+def one_merge_at_a_time(words, vocab, size, min_frequency=2):
+    """The plain trainer: count all pairs, merge the best, again."""
+    vocab, merges = list(vocab), []
+    words = {tuple(w): n for w, n in words.items()}
+    while len(vocab) < size:
+        count = Counter()
+        for w, n in words.items():
+            for pair in zip(w, w[1:]):
+                count[pair] += n
+        if not count:
+            break
+        (a, b), c = min(count.items(), key=lambda x: (-x[1], vocab.index(x[0][0]), vocab.index(x[0][1])))
+        if c < min_frequency:
+            break
+        merges.append((a, b))
+        if a + b not in vocab:
+            vocab.append(a + b)
+        changed = Counter()
+        for w, n in words.items():
+            out, i = [], 0
+            while i < len(w):
+                if w[i:i + 2] == (a, b):
+                    out.append(a + b)
+                    i += 2
+                else:
+                    out.append(w[i])
+                    i += 1
+            changed[tuple(out)] += n
+        words = changed
+    return vocab, merges
+
+
+@pytest.mark.parametrize("seed,hot,symbols", [(1, 1, 1), (2, 3, 12), (3, 8, 60), (4, 500, 200_000)])
+def test_rounds_equal_one_merge_at_a_time(spark, seed, hot, symbols):
+    """Runs of one symbol, ties and tokens spelt twice, however little a round may take."""
+    rnd = random.Random(seed)
+    texts = [" ".join("".join(rnd.choices("aaab" if i % 3 else "abcd", k=rnd.randint(1, 9)))
+                      for _ in range(rnd.randint(0, 6))) for i in range(40)] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = {r["word"]: r["n"] for r in TT.word_counts(df).collect()}
+    first = TT.train_bpe(df, vocab_size=0).vocab
+    want = one_merge_at_a_time(words, first, len(first) + 25)
+    model = TT.train_bpe(df, vocab_size=len(first) + 25, hot_pairs=hot, max_symbols=symbols)
+    assert (model.vocab, model.merges) == want
+
+
+def test_real_vocabulary_size_equals_library(spark):
+    """16,384 tokens asked for, until no pair is left twice: the library's vocabulary and merges."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
+    chats = FX.messages(spark, SF001).select(CH.chatml_train(F.col("messages")).alias("text"))
+    texts = docs.unionByName(chats)
+    tok = hf_tokenizer([r[0] for r in texts.collect()], C.VOCAB_SIZE)
+    model = TT.train_bpe(texts, vocab_size=C.VOCAB_SIZE, max_symbols=20_000)
+    assert model.vocab == [t for t, _ in sorted(tok.get_vocab().items(), key=lambda x: x[1])]
+    assert [list(m) for m in model.merges] == [list(m) for m in json.loads(tok.to_str())["model"]["merges"]]
+    assert len(model.merges) >= 2_000
+    rounds = TT.LAST_TRAIN_STATS["per_round"]
+    assert len(rounds) > 2 and max(r["symbols"] for r in rounds) <= 20_000
+
+
+def test_training_on_nothing(spark):
+    model = TT.train_bpe(spark.createDataFrame([], "text string"), vocab_size=100)
+    assert model.merges == [] and set(model.vocab) == set(C.SPECIAL_TOKENS) | set(C.DIGITS)
 
 
 def test_nfc_fallback_matches_icu(spark):
