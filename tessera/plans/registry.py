@@ -357,10 +357,10 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _clean(spark, sf):
+def _clean(spark, sf, **options):
     return X.clean_stories(FX.stories(spark, sf), _excluded(spark, sf), min_tokens=FX.MIN_TOKENS,
                            max_tokens=FX.MAX_TOKENS, blocked_tags=FX.BLOCKED_TAGS,
-                           blocked_warnings=FX.BLOCKED_WARNINGS, min_views=FX.VIEWS_THRESHOLD)
+                           blocked_warnings=FX.BLOCKED_WARNINGS, min_views=FX.VIEWS_THRESHOLD, **options)
 
 
 @query("read_corpus")
@@ -556,8 +556,9 @@ from ..operators.tokenizer import encode as TE  # noqa: E402
 from ..operators.tokenizer import lookup as LU  # noqa: E402
 from ..operators.tokenizer import train as TT  # noqa: E402
 
-BPE_VOCAB = 352          # trained vocabulary for the registered queries
+BPE_VOCAB = 352          # vocabulary of the queries that one-merge-a-step SQL can follow
 BPE_SMALL = 320          # a smaller model: the first merges of the same run
+BPE_FULL = C.VOCAB_SIZE  # the operator's own size: the ``*_full`` queries
 _MODELS: dict = {}
 
 
@@ -627,6 +628,53 @@ def q_tokenizer_build(spark, sf):
     return AF.vocab_table(spark, AF.load_tokenizer(spark, path)[0])
 
 
+def _full_tokenizer(spark, sf):
+    """The model of the operator's own size, saved (S8) and loaded again as the next step does."""
+    path = _scratch(spark, "tokenizer-full")
+    AF.save_tokenizer(spark, trained_model(spark, sf, BPE_FULL), path, {"dataset": sf})
+    return AF.load_tokenizer(spark, path)[0]
+
+
+@query("bpe_train_full")
+def q_bpe_train_full(spark, sf):
+    """X3, T6 at the operator's own size: all merges to 16,384 tokens, or until no pair occurs twice."""
+    m = _full_tokenizer(spark, sf)
+    return spark.createDataFrame([(i, a, b, a + b) for i, (a, b) in enumerate(m.merges)],
+                                 "rank int, left string, right string, token string")
+
+
+@query("tokenizer_checks_full")
+def q_tokenizer_checks_full(spark, sf):
+    """T10 for the saved model: the training corpus round-trips, digits and operators stay whole."""
+    m = _full_tokenizer(spark, sf)
+    return TC.tokenizer_checks(_training_texts(spark, sf), "text", TE.encoder(m), TE.decoder(m), m)
+
+
+@query("encode_full")
+def q_encode_full(spark, sf):
+    """The chats' ids by the saved model."""
+    enc = TE.encoder(_full_tokenizer(spark, sf))
+    return _training_texts(spark, sf).select("conv_id", enc(F.col("text")).alias("input_ids"))
+
+
+@query("decode_full")
+def q_decode_full(spark, sf):
+    """The chats encoded and decoded by the saved model."""
+    m = _full_tokenizer(spark, sf)
+    enc, dec = TE.encoder(m), TE.decoder(m)
+    return _training_texts(spark, sf).select("conv_id", dec(enc(F.col("text"))).alias("text"))
+
+
+@query("preview_full")
+def q_preview_full(spark, sf):
+    """The clean stories encoded by the saved model, saved, and some decoded again."""
+    m = _full_tokenizer(spark, sf)
+    saved = _saved(spark, _clean(spark, sf, encode=TE.encoder(m)), "clean-stories-full")
+    sample = O.sample_k(saved.where(F.col("split") == "train"), "doc_id", 5)
+    dec = TE.decoder(m)
+    return sample.select("doc_id", "length", dec(F.col("input_ids")).alias("text"))
+
+
 @query("tokenizer_stats")
 def q_tokenizer_stats(spark, sf):
     m = trained_model(spark, sf)

@@ -185,6 +185,12 @@ def test_real_vocabulary_size_equals_library(spark):
     assert len(model.merges) >= 2_000
     rounds = TT.LAST_TRAIN_STATS["per_round"]
     assert len(rounds) > 2 and max(r["symbols"] for r in rounds) <= 20_000
+    enc, dec = TE.encoder(model), TE.decoder(model)
+    edge = spark.createDataFrame([(t,) for t in EDGE], "text string")
+    for r in texts.unionByName(edge).select("text", enc(F.col("text")).alias("ids")) \
+            .withColumn("back", dec(F.col("ids"))).collect():
+        ids = tok.encode(r["text"]).ids
+        assert r["ids"] == ids and r["back"] == tok.decode(ids, skip_special_tokens=False)
 
 
 def test_training_on_nothing(spark):
