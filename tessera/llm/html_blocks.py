@@ -1,12 +1,16 @@
 """HTML extraction by two-pass block rules.
 
-A page is cut into blocks at block-level tags. Pass one decides a block by
-its container (menus, headers, footers, sidebars, notices, adverts, forms and
-comments are boilerplate; an article or main element is content), and - where
-the page names no main element - its link density, length and stop-word
-density. Class and id names make no boilerplate of an element that holds the
-main element or, without one, all of the page's long text. Pass two lets every undecided short block take the label
-of its nearest decided neighbours. Content blocks are joined in page order.
+A page is cut into blocks at block-level tags. Menus, headers, footers,
+sidebars, notices, adverts, forms and comments are boilerplate by their
+container, and with an article or main element all that stands outside it.
+Class and id names make no boilerplate of an element that holds the main
+element or, without one, all of the page's long text. Pass one decides the
+other blocks, inside a main element or not, by link density, length and
+stop-word density; a main element lowers the length from which running text is
+decided, leaves long text without stop words open and links too, unless they
+are a list of three or more without stop words. Pass two lets every
+undecided block take the label of its nearest decided neighbours. Content
+blocks are joined in page order.
 
 Each page is independent, so the work is one map over the rows: no shuffle,
 memory bounded by the longest page of a batch.
@@ -62,7 +66,10 @@ _SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 _PART = re.compile(r"[^a-z0-9]+")
 
 LONG_CHARS = 140          # a block this long is decided by its stop words
+SHORT_CHARS = 40          # and inside the main element one this long
 STOP_HIGH = 0.12          # share of stop words of running text
+LIST_LINKS = 3            # so many link-dense blocks in a row are a menu, inside a main element too
+STOP_LOW = 0.04           # below it a long block outside a main element is none
 LINK_HIGH = 0.5           # share of characters inside links
 
 
@@ -247,42 +254,71 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     return [(b.text, b.linked, b.bad or b.named not in free, b.main > 0, b.heading) for b in out]
 
 
-def labels(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
-    """Both passes: whether each block is content."""
-    has_main = any(main and not bad for _, _, bad, main, _ in found)
-    first: list[bool | None] = []
-    for text, linked, bad, main, heading in found:
-        if bad:
-            first.append(False)
-        elif has_main:
-            first.append(main)
-        elif linked > LINK_HIGH * len(text):
-            first.append(False)
-        elif len(text) < LONG_CHARS or heading:
-            first.append(None)
-        else:
-            words = text.lower().split()
-            stops = sum(w.strip(".,;:!?%*#&$|\"'()") in _STOP for w in words)
-            first.append(stops >= STOP_HIGH * len(words))
-    # distance to, and label of, the nearest decided block on either side
+def _stop_share(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?%*#&$|\"'()") in _STOP for w in words) / max(1, len(words))
+
+
+def _links(text: str, linked: int) -> bool:
+    return linked > LINK_HIGH * len(text)
+
+
+def _in_lists(dense: list[bool]) -> list[bool]:
+    """Whether each block is one of ``LIST_LINKS`` or more link-dense ones in a row."""
+    out, start = [False] * len(dense), 0
+    for k, is_dense in enumerate([*dense, False]):
+        if not is_dense:
+            out[start:k] = [k - start >= LIST_LINKS] * (k - start)
+            start = k + 1
+    return out
+
+
+def _first_pass(text: str, dense: bool, listed: bool, heading: bool, main: bool, known: bool) -> bool | None:
+    """A block's label by its own densities; None: undecided. ``known``: some
+    long block of the region has the stop words of running text, so that their
+    lack says something."""
+    stops = _stop_share(text)
+    if dense:
+        # inside the main element a menu goes; other links wait for their neighbours
+        return None if main and (heading or not listed or stops >= STOP_HIGH) else False
+    if heading or len(text) < (SHORT_CHARS if main else LONG_CHARS):
+        return None
+    if stops >= STOP_HIGH or not known:
+        return True
+    return None if main or stops >= STOP_LOW else False
+
+
+def _second_pass(first: list[bool | None]) -> list[bool]:
+    """Undecided blocks take the nearest decided label, content on equal
+    distances and where nothing is decided."""
     n = len(first)
-    before: list[tuple[int, bool]] = [(n + 1, False)] * n
+    before: list[tuple[int, bool]] = [(n + 1, True)] * n
     after = list(before)
     for side, order in ((before, range(n)), (after, range(n - 1, -1, -1))):
-        d, label = n + 1, False
+        d, label = n + 1, True
         for k in order:
             if first[k] is not None:
                 d, label = 0, first[k]
             side[k] = (d, label)
             d += 1
-    out = []
-    for k, label in enumerate(first):
-        if label is None:
-            (db, lb), (da, la) = before[k], after[k]
-            label = lb if db < da else la if da < db else (la or lb)
-            if db > n and da > n:
-                label = True          # nothing on the page is decided: short text is all there is
-        out.append(label)
+    return [lb if db < da else la if da < db else (la or lb) for (db, lb), (da, la) in zip(before, after)]
+
+
+def labels(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
+    """Both passes: whether each block is content. With a main element they
+    judge its blocks, each other's neighbours alone, and what stands outside it
+    goes; without one they judge the page, where boilerplate containers are
+    decided neighbours."""
+    has_main = any(main and not bad for _, _, bad, main, _ in found)
+    region = [k for k, (_, _, bad, main, _) in enumerate(found) if not has_main or main and not bad]
+    dense = [_links(*found[k][:2]) for k in region]
+    known = any(_stop_share(found[k][0]) >= STOP_HIGH for k, d in zip(region, dense)
+                if not (d or found[k][2]) and len(found[k][0]) >= LONG_CHARS)
+    first = [False if bad else _first_pass(text, d, listed, heading, has_main, known)
+             for (text, _, bad, _, heading), d, listed in zip((found[k] for k in region), dense, _in_lists(dense))]
+    out = [False] * len(found)
+    for k, label in zip(region, _second_pass(first)):
+        out[k] = label
     return out
 
 

@@ -378,6 +378,67 @@ def test_html():
     assert len(main_text("<article>" + "<p>long text</p>" * 20_000)) == 20_000 * 10 - 1
 
 
+def _plain_labels(found):
+    """The two passes once more, block by block: every neighbour is looked at."""
+    from tessera.llm import html_blocks as H
+    main = any(m and not bad for _, _, bad, m, _ in found)
+    region = [b for b in found if not main or (b[3] and not b[2])]
+
+    def share(t):
+        w = [x.strip(".,;:!?%*#&$|\"'()") for x in t.lower().split()]
+        return sum(x in H.STOP_WORDS for x in w) / len(w)
+
+    def dense(k):
+        return 0 <= k < len(region) and region[k][1] > 0.5 * len(region[k][0])
+
+    known = any(share(b[0]) >= 0.12 for k, b in enumerate(region) if not b[2] and not dense(k) and len(b[0]) >= 140)
+    first = {}
+    for k, (text, _, bad, _, heading) in enumerate(region):
+        menu = any(all(dense(j) for j in range(s, s + 3)) for s in range(k - 2, k + 1))
+        if bad or dense(k) and not (main and (heading or not menu or share(text) >= 0.12)):
+            first[k] = False
+        elif not dense(k) and not heading and len(text) >= (40 if main else 140):
+            if share(text) >= 0.12 or not known:
+                first[k] = True
+            elif not main and share(text) < 0.04:
+                first[k] = False
+    kept = []
+    for k in range(len(region)):
+        near = min((abs(k - j) for j in first), default=0)
+        kept.append(not first or any(v for j, v in first.items() if abs(k - j) == near))
+    return "\n".join(b[0] for b, good in zip(region, kept) if good)
+
+
+def test_html_passes_equal_plain_ones_on_given_pages(spark):
+    """All given pages as they are and with their main elements' names blanked out."""
+    from tessera.llm import html_blocks as H
+    pages = [r[0] for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect() if r[0]]
+    for page in pages:
+        blank = re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", page)
+        for html in (page, blank):
+            assert H.main_text(html) == _plain_labels(H.blocks(html))
+    # without the names, articles keep most of their text
+    whole = sum(len(H.main_text(page)) for page in pages)
+    kept = sum(len(H.main_text(re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", page))) for page in pages)
+    assert 0.9 * whole < kept <= 1.1 * whole, kept / whole
+
+
+def test_html_densities_decide_inside_main():
+    from tessera.llm.html_blocks import main_text
+    prose = "It was the best of the times and it was the start of it all, as they said in the town."
+    menu = "".join(f"<li><a href=x>Topic {k}</a></li>" for k in range(4))
+    assert main_text(f"<main><ul>{menu}</ul><h1>Head</h1><p>{prose}</p><p>End</p></main>") == f"Head\n{prose}\nEnd"
+    assert main_text(f"<main><p>{prose}</p><ul>{menu}</ul><p>{prose}</p></main>") == f"{prose}\n{prose}"
+    # one or two links are text; a linked heading too; nothing decided: all stays
+    assert main_text(f"<main><h1><a href=x>Head</a></h1><p>{prose}</p><p><a href=x>More</a></p></main>") == f"Head\n{prose}\nMore"
+    assert main_text("<main><p>Одна строка</p><p>Ещё одна</p></main>") == "Одна строка\nЕщё одна"
+    # an advert inside the main element takes no neighbour with it
+    assert main_text(f"<main><p>Hi</p><div class=ad>Buy the thing</div><p>{prose}</p></main>") == f"Hi\n{prose}"
+    # a language without listed stop words, no main element
+    other = "Слово за слово и ещё слово, так и дальше по строке до самого конца абзаца, " * 3
+    assert main_text(f"<nav>Меню</nav><div><p>{other}</p></div>") == " ".join(other.split())
+
+
 def test_html_keeps_whole_articles():
     prose = "It was the best of the times and it was the worst of the times for all that were in it, as the book of the two cities says at the start of it."
     # a head, title or textarea without its closing tag; head's own text is none of the page's
