@@ -95,7 +95,7 @@ class _WordTable:
         words.write.parquet(self.path)
         if old:
             self._delete(old)
-        return self.spark.read.schema(SG.WORDS).parquet(self.path)
+        return self.spark.read.schema(words.schema).parquet(self.path)
 
     def drop(self) -> None:
         self._delete(self.base)
@@ -140,7 +140,7 @@ def train_bpe(texts: DataFrame, vocab_size: int = C.VOCAB_SIZE, text: str = "tex
     spark = texts.sparkSession
     ship_package(spark)
     table = _WordTable(spark)
-    wc = word_counts(texts, text).checkpoint(eager=True)
+    wc = table.put(word_counts(texts, text))
     samples = texts.count()
 
     alphabet = sorted(r["symbol"] for r in base_alphabet(wc, initial_alphabet).collect())
