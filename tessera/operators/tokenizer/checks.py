@@ -1,5 +1,6 @@
 """Tokenizer data checks and comparisons over a corpus (T10, T11, A8-A10,
-G8). Each is an aggregate over an encoded text column."""
+G8). Each is an aggregate over an encoded text column; totals need each
+distinct pre-token encoded once only."""
 
 from __future__ import annotations
 
@@ -52,6 +53,35 @@ def _sizes(texts: DataFrame, text: str, tokenizers: dict, keep: list[str]) -> Da
     return texts.select(*keep, F.length(text).alias("__chars"), *cols)
 
 
+WORDS = "array<struct<word:string,chars:int>>"
+
+
+def _totals(texts: DataFrame, text: str, tokenizers: dict, keys: list[str]) -> DataFrame:
+    """Per key: texts, chars and the token total of every tokenizer.
+
+    The texts are cut into pre-tokens once for all tokenizers and counted (map-side
+    first); each distinct pre-token is then encoded once, and weighs its count. That
+    equals the sum over the texts, as no token crosses a pre-token's bounds. A null
+    pre-token stands for the text itself and carries its length."""
+    # the length goes with its own element, so that no text is repeated for each of its words
+    own = F.struct(F.lit(None).cast("string").alias("word"), F.length(text).alias("chars"))
+    words = F.transform(B.raw_pretokens(F.col(text)),
+                        lambda w: F.struct(w.alias("word"), F.lit(None).cast("int").alias("chars")))
+    cut = texts.select(*keys, F.explode(F.concat(F.array(own), F.coalesce(words, F.array().cast(WORDS)))).alias("__w"))
+    counted = cut.groupBy(*keys, F.col("__w.word").alias("__word")).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("__w.chars").alias("__chars"))
+    whole = F.col("__word").isNull()
+    cols = [F.when(~whole, F.size(encode(F.col("__word")))).alias(f"__n{i}") for i, (encode, _) in enumerate(tokenizers.values())]
+    sizes = counted.select(*keys, "__n", "__chars", whole.alias("__whole"), *cols)
+    # no words but a text: 0 tokens; no text at all: null, as its chars
+    aggs = [F.sum(F.col("__n") * F.col(f"__n{i}")).alias(f"__t{i}") for i in range(len(tokenizers))]
+    sums = sizes.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("__whole"), F.col("__n"))), F.lit(0)).alias("n_texts"),
+                                    F.sum("__chars").alias("chars"), *aggs)
+    return sums.select(*keys, "n_texts", "chars",
+                       *[F.when(F.col("chars").isNotNull(), F.coalesce(f"__t{i}", F.lit(0))).alias(f"tokens{i}")
+                         for i in range(len(tokenizers))])
+
+
 def _long(one: DataFrame, tokenizers: dict, fields: list[str], keys: list[str]) -> DataFrame:
     """Wide per-tokenizer columns -> one row per tokenizer."""
     rows = [F.struct(F.lit(name).alias("tokenizer"), F.lit(vsize).alias("vocab_size"),
@@ -63,13 +93,11 @@ def _long(one: DataFrame, tokenizers: dict, fields: list[str], keys: list[str])
 def efficiency(texts: DataFrame, text: str, tokenizers: dict) -> DataFrame:
     """Per tokenizer total chars, total tokens, chars per token, vocab
     size. ``tokenizers`` maps name -> (encode, vocab_size); every tokenizer
-    encodes in the same pass and one aggregation sums them all."""
-    sizes = _sizes(texts, text, tokenizers, [])
-    aggs = [F.sum(f"__n{i}").alias(f"total_tokens{i}") for i in range(len(tokenizers))]
-    one = sizes.agg(F.sum("__chars").alias("total_chars"), *aggs)
-    return _long(one, tokenizers, ["total_tokens"], ["total_chars"]).select(
-        "tokenizer", "total_chars", "total_tokens",
-        F.round(F.col("total_chars") / F.col("total_tokens"), 6).alias("chars_per_token"), "vocab_size")
+    encodes the same distinct pre-tokens of one pass over the texts."""
+    one = _totals(texts, text, tokenizers, [])
+    return _long(one, tokenizers, ["tokens"], ["chars"]).select(
+        "tokenizer", F.col("chars").alias("total_chars"), F.col("tokens").alias("total_tokens"),
+        F.round(F.col("chars") / F.col("tokens"), 6).alias("chars_per_token"), "vocab_size")
 
 
 def ranking(eff: DataFrame) -> DataFrame:
@@ -94,10 +122,8 @@ def single_token_coverage(terms: DataFrame, term: str, tokenizers: dict) -> Data
 
 
 def token_counts_by_class(texts: DataFrame, text: str, cls: str, tokenizers: dict) -> DataFrame:
-    """A10: per text class and tokenizer: texts, chars, tokens (one pass,
-    one aggregation by class)."""
-    sizes = _sizes(texts, text, tokenizers, [cls])
-    aggs = [F.sum(f"__n{i}").alias(f"tokens{i}") for i in range(len(tokenizers))]
-    one = sizes.groupBy(cls).agg(F.count(F.lit(1)).alias("n_texts"), F.sum("__chars").alias("chars"), *aggs)
+    """A10: per text class and tokenizer: texts, chars, tokens (one pass
+    over the texts, then their distinct pre-tokens)."""
+    one = _totals(texts, text, tokenizers, [cls])
     return _long(one, tokenizers, ["tokens"], [cls, "n_texts", "chars"]).select(
         "tokenizer", cls, "n_texts", "chars", "tokens")

@@ -250,3 +250,30 @@ def test_word_counts_equal_library_pretokenizer(spark):
     got = {r["word"]: r["n"] for r in TT.word_counts(texts).collect()}
     assert got == dict(want)
     assert tokenizers is not None
+
+
+def test_totals_encode_each_distinct_word_once(spark):
+    from tessera.operators.tokenizer import checks as TC
+    rows = [("x", t) for t in EDGE] + [("x", "same words again " * 50), ("x", None), (None, "aa bb"), ("none", None), ("empty", "")]
+    df = spark.createDataFrame(rows, "cls string, text string")
+    byte = TT.byte_model()
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def counted(t):
+        seen.add(1)
+        return None if t is None else [0]
+
+    got = {r["cls"]: (r["n_texts"], r["chars"], r["tokens"]) for r in TC.token_counts_by_class(
+        df, "text", "cls", {"bpe": (TE.encoder(byte), 274), "udf": (counted, 274)}).collect() if r["tokenizer"] == "bpe"}
+    want = {}
+    for cls, t in rows:
+        n, chars, tokens = want.get(cls, (0, None, None))
+        if t is not None:
+            chars, tokens = (chars or 0) + len(t), (tokens or 0) + len(py_byte_ids(t))
+        want[cls] = (n + 1, chars, tokens)
+    assert got == want
+    words = df.select("cls", F.explode(B.raw_pretokens(F.col("text")))).distinct().count()
+    assert seen.value <= words + len(want)          # one call a distinct word, not one a text's word
+    total = TC.efficiency(df.select("text"), "text", {"bpe": (TE.encoder(byte), 274)}).first()
+    assert (total["total_chars"], total["total_tokens"]) == (sum(v[1] or 0 for v in want.values()), sum(v[2] or 0 for v in want.values()))
