@@ -3,10 +3,10 @@
 Encoding: the JVM cuts out special tokens, normalizes (NFC) and splits
 into byte-level pre-tokens (:func:`tessera.functions.bytelevel.raw_pretokens`).
 Each pre-token then needs its byte symbols, the numeric split and the merge
-loop; that runs in Python, as an Arrow UDF (whole Arrow batches) with a per-worker
-cache keyed by the pre-token, so it is done once per *distinct* word
-(corpus words are Zipf-distributed; almost every lookup is a hit). No
-shuffle: encoding is a map-side projection.
+loop; that runs in Python, as an Arrow UDF (whole Arrow batches), once per
+*distinct* word of a batch and over all of them at once. Nothing is kept from
+batch to batch but the model, and what a batch needs beside its words and ids
+is bounded by ``STEP`` and ``MERGED``. No shuffle: encoding is a map-side projection.
 
 Decoding is JVM-only: ids -> tokens through an array literal of the
 vocabulary (bounded by the vocabulary size), byte symbols -> UTF-8.
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +27,14 @@ from ... import constants as C
 from ...functions import bytelevel as B
 from .train import BPEModel
 
-_CACHE: dict[str, dict[str, list[int]]] = {}
-_CACHE_LIMIT = 200_000      # words kept per worker and model, the least recently used leave first
-_CACHE_CHARS = 64           # longer words are not kept
+_CACHE: dict[str, "_Table"] = {}
+_CACHE_LIMIT = 4            # models kept per worker
+STEP = 500_000              # occurrences expanded together
+MERGED = 2_000_000          # bytes of distinct words merged together
+_LONG = 64                  # words of more bytes are merged one by one
+
+_B2S = B.byte_to_symbol()
+_NUMERIC = set(B.NUMERIC_SYMBOLS)
 
 
 def _fingerprint(model: BPEModel) -> str:
@@ -55,13 +59,12 @@ def encoder(model: BPEModel):
     def encode_words(words: pa.Array) -> pa.Array:
         if isinstance(words, pa.ChunkedArray):
             words = words.combine_chunks()
-        state = _CACHE.get(key)
-        if state is None:
-            tok_id = {t: i for i, t in enumerate(vocab)}
-            state = {"ranks": {(a, b): i for i, (a, b) in enumerate(merges)}, "tok_id": tok_id,
-                     "unk": tok_id[C.UNK], "words": OrderedDict()}
-            _CACHE[key] = state
-        return _encode_batch(words, state, specials)
+        table = _CACHE.get(key)
+        if table is None:
+            while len(_CACHE) >= _CACHE_LIMIT:
+                _CACHE.pop(next(iter(_CACHE)))
+            table = _CACHE[key] = _Table(vocab, merges, specials)
+        return _encode_batch(words, table)
 
     def encode(text: Column) -> Column:
         return encode_words(B.raw_pretokens(text))
@@ -69,54 +72,138 @@ def encoder(model: BPEModel):
     return encode
 
 
-def _encode_batch(words: pa.ListArray, state: dict, specials: set) -> pa.Array:
-    """Encode one Arrow batch of pre-token lists. Python touches each
-    *distinct* pre-token of the batch once (and only on a cache miss does
-    it run the merges); the per-occurrence expansion is vectorized."""
-    ranks, tok_id, unk, cache = state["ranks"], state["tok_id"], state["unk"], state["words"]
-    flat = words.flatten()
-    enc = pc.dictionary_encode(flat)
-    uniques = enc.dictionary.to_pylist()
-    codes = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    uniq_ids = []
-    for w in uniques:
-        r = cache.get(w)
-        if r is None:
-            if w in specials:
-                r = [tok_id[w]]
-            else:
-                r = []
-                for piece in _pieces(w):
-                    r.extend(_merge(piece, ranks, tok_id, unk))
-            if len(w) <= _CACHE_CHARS:
-                cache[w] = r
-                if len(cache) > _CACHE_LIMIT:          # the least recently used goes
-                    cache.popitem(last=False)
-        else:
-            cache.move_to_end(w)
-        uniq_ids.append(r)
-    u_len = np.fromiter((len(r) for r in uniq_ids), dtype=np.int64, count=len(uniq_ids))
-    u_off = np.zeros(len(uniq_ids) + 1, dtype=np.int64)
-    np.cumsum(u_len, out=u_off[1:])
-    u_flat = np.fromiter((i for r in uniq_ids for i in r), dtype=np.int32, count=int(u_off[-1]))
-    lens = u_len[codes] if len(codes) else np.zeros(0, dtype=np.int64)
-    total = int(lens.sum())
-    occ_end = np.cumsum(lens)
-    idx = (np.arange(total, dtype=np.int64) - np.repeat(occ_end - lens, lens)
-           + np.repeat(u_off[:-1][codes] if len(codes) else np.zeros(0, dtype=np.int64), lens))
-    out_flat = u_flat[idx] if total else np.zeros(0, dtype=np.int32)
-    # row offsets: token offsets of the input mapped through the running id count
-    tok_off = words.offsets.to_numpy(zero_copy_only=False).astype(np.int64) - words.offsets[0].as_py()
-    run = np.zeros(len(lens) + 1, dtype=np.int64)
-    np.cumsum(lens, out=run[1:])
-    if run[-1] > np.iinfo(np.int32).max:
-        raise ValueError("an Arrow batch has more than 2**31 - 1 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-    out_off = pa.array(run[tok_off].astype(np.int32))
-    return pa.ListArray.from_arrays(out_off, pa.array(out_flat, type=pa.int32()), mask=words.is_null())
+class _Table:
+    """A model as arrays: symbols numbered, merges as sorted codes of symbol pairs."""
 
+    def __init__(self, vocab: list[str], merges: list[tuple[str, str]], specials: set):
+        self.tok_id = {t: i for i, t in enumerate(vocab)}
+        self.unk = self.tok_id[C.UNK]
+        self.ranks = {(a, b): i for i, (a, b) in enumerate(merges)}
+        self.specials = sorted(specials)
+        symbols: dict[str, int] = {}
+        for s in _B2S.values():
+            symbols.setdefault(s, len(symbols))
+        for a, b in merges:
+            for s in (a, b, a + b):
+                symbols.setdefault(s, len(symbols))
+        self.n = len(symbols)
+        self.of_byte = np.array([symbols[_B2S[b]] for b in range(256)], np.int64)
+        self.alone = np.array([_B2S[b] in _NUMERIC for b in range(256)])
+        self.id = np.array([self.tok_id.get(s, self.unk) for s in symbols], np.int32)
+        code = {symbols[a] * self.n + symbols[b]: (i, symbols[a + b]) for (a, b), i in self.ranks.items()}
+        self.codes = np.array(sorted(code), np.int64)
+        self.rank = np.array([code[c][0] for c in sorted(code)], np.int64)
+        self.result = np.zeros(len(merges), np.int64)
+        for i, made in code.values():
+            self.result[i] = made
 
-_B2S = B.byte_to_symbol()
-_NUMERIC = set(B.NUMERIC_SYMBOLS)
+    def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair; ``len(result)`` if it is no merge."""
+        none = len(self.result)
+        if not len(self.codes):
+            return np.full(len(left), none, np.int64)
+        want = left * self.n + right
+        at = np.minimum(np.searchsorted(self.codes, want), len(self.codes) - 1)
+        return np.where(self.codes[at] == want, self.rank[at], none)
+
+    def merge(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per word) of words laid end to end as UTF-8 bytes. In each round every
+        word merges its lowest-rank pair, the leftmost of equals, as :func:`_merge` does."""
+        none = len(self.result)
+        sym, alone = self.of_byte[data], self.alone[data]
+        word = np.repeat(np.arange(len(length)), length)
+        rank = np.full(len(sym), none, np.int64)               # of the pair that starts here
+        joined = np.flatnonzero((word[:-1] == word[1:]) & ~alone[:-1] & ~alone[1:])
+        rank[joined] = self.pair_rank(sym[joined], sym[joined + 1])
+        done_sym, done_word = [], []
+        while len(sym):
+            head = np.flatnonzero(np.diff(word, prepend=-1))
+            best = np.minimum.reduceat(rank * len(sym) + np.arange(len(sym)), head)
+            lowest, at = best // len(sym), best % len(sym)
+            on = lowest < none
+            if not on.all():                                   # words without a merge are done
+                live = np.repeat(on, np.diff(np.append(head, len(sym))))
+                done_sym.append(sym[~live])
+                done_word.append(word[~live])
+                at = (np.cumsum(live) - 1)[at[on]]
+                lowest, sym, word, alone, rank = lowest[on], sym[live], word[live], alone[live], rank[live]
+                if not len(sym):
+                    break
+            sym[at] = self.result[lowest]
+            keep = np.ones(len(sym), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))                           # one symbol a word leaves before it
+            sym, word, alone, rank = sym[keep], word[keep], alone[keep], rank[keep]
+            for left in (at, at[at > 0] - 1):
+                right = np.minimum(left + 1, len(sym) - 1)
+                ok = (left + 1 < len(sym)) & (word[left] == word[right]) & ~alone[left] & ~alone[right]
+                # the symbol before a word's first is another word's: its pair stays none
+                rank[left] = np.where(ok, self.pair_rank(sym[left], sym[right]), none)
+        sym, word = np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word])
+        sym = sym[np.argsort(word, kind="stable")]
+        return self.id[sym], np.bincount(word, minlength=len(length)).astype(np.int64)
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per word) of distinct words."""
+        raw = words.cast(pa.large_binary())
+        ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1] if len(raw) else np.zeros(1, np.int64)
+        data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+        length = np.diff(ends)
+        special = np.asarray(pc.is_in(words, value_set=pa.array(self.specials, words.type)), dtype=bool)
+        single = special | (length > _LONG)
+        ids: list[np.ndarray] = []
+        count = np.zeros(len(words), np.int64)
+        lo = 0
+        while lo < len(words):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + MERGED, side="right")) - 1)
+            many = ~single[lo:hi]
+            part = data[ends[lo]:ends[hi]][np.repeat(many, length[lo:hi])]
+            found, n = self.merge(part, length[lo:hi] * many)
+            count[lo:hi] = n
+            odd = lo + np.flatnonzero(~many)
+            if len(odd):
+                stop = np.cumsum(n)
+                texts = words.take(pa.array(odd)).to_pylist()
+                own = [np.array(self._one(w, s), np.int32) for w, s in zip(texts, special[odd])]
+                pieces, before = [], 0
+                for k, x in zip(odd - lo, own):
+                    pieces += [found[before:stop[k]], x]
+                    before = stop[k]
+                    count[lo + k] = len(x)
+                found = np.concatenate([*pieces, found[before:]])
+            ids.append(found)
+            lo = hi
+        return np.concatenate(ids) if ids else np.zeros(0, np.int32), count
+
+    def _one(self, word: str, special: bool) -> list[int]:
+        if special:
+            return [self.tok_id[word]]
+        return [i for piece in _pieces(word) for i in _merge(piece, self.ranks, self.tok_id, self.unk)]
+
+
+def _encode_batch(words: pa.ListArray, table: _Table) -> pa.Array:
+    """Encode one Arrow batch of pre-token lists: its distinct pre-tokens at
+    once, then every occurrence, ``STEP`` at a time."""
+    enc = pc.dictionary_encode(words.flatten())
+    u_flat, u_len = table.encode(enc.dictionary)
+    u_off = np.cumsum(u_len) - u_len
+    codes = enc.indices.to_numpy(zero_copy_only=False)
+    total = int(np.bincount(codes, minlength=len(u_len)) @ u_len) if len(codes) else 0
+    if total > np.iinfo(np.int32).max:
+        raise ValueError("an Arrow batch has more than 2**31 - 1 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = np.empty(total, np.int32)
+    run = np.zeros(len(codes) + 1, np.int32)               # ids before each occurrence
+    for lo in range(0, len(codes), STEP):
+        c = codes[lo:lo + STEP]
+        lens = u_len[c]
+        end = np.cumsum(lens)
+        first = int(run[lo])
+        run[lo + 1:lo + 1 + len(c)] = first + end
+        idx = np.arange(int(end[-1])) + np.repeat(u_off[c] - (end - lens), lens)
+        out[first:first + len(idx)] = u_flat[idx]
+    # row offsets: token offsets of the input mapped through the running id count
+    tok_off = words.offsets.to_numpy(zero_copy_only=False).astype(np.int64) - words.offsets[0].as_py()
+    return pa.ListArray.from_arrays(pa.array(run[tok_off]), pa.array(out), mask=words.is_null())
 
 
 def _pieces(raw: str) -> list[str]:

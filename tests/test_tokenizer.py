@@ -252,6 +252,52 @@ def test_word_counts_equal_library_pretokenizer(spark):
     assert tokenizers is not None
 
 
+def _one_by_one(words, model):
+    """The encoder's ids, each word by itself through the scalar merge."""
+    ranks = {p: i for i, p in enumerate(model.merges)}
+    ids = {t: i for i, t in enumerate(model.vocab)}
+    unk = ids[C.UNK]
+    return [None if row is None else [i for w in row for i in (
+        [ids[w]] if w in model.vocab[:model.n_specials] else
+        [i for p in TE._pieces(w) for i in TE._merge(p, ranks, ids, unk)])] for row in words]
+
+
+def _odd_model():
+    base = TT.byte_model()
+    merges = [("b", "c"), ("a", "b"), ("a", "bc"), ("abc", "ab"), ("ab", "c"), ("a", "a"), ("aa", "aa"), ("Ã", "©"), ("²", "a")]
+    return TT.BPEModel(base.vocab + ["bc", "ab", "abc", "abcab", "aa", "aaaa", "Ã©"], merges, base.n_specials)
+
+
+def test_words_of_a_batch_merge_as_one_by_one(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(3)
+    rows = [["".join(rng.choice("abcé²1 ") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(0, 9))] for _ in range(200)]
+    rows += [None, [], ["==", "<pad>", "1", "abc" * 60, "é" * 40, "a" * 200]]
+    model = _odd_model()
+    table = TE._Table(model.vocab, model.merges, set(model.vocab[:model.n_specials]))
+    batch, want = pa.array(rows, pa.list_(pa.string())), _one_by_one(rows, model)
+    assert TE._encode_batch(batch, table).to_pylist() == want
+    monkeypatch.setattr(TE, "STEP", 5)
+    monkeypatch.setattr(TE, "MERGED", 40)
+    assert TE._encode_batch(batch.slice(20), table).to_pylist() == want[20:]
+
+
+def test_encoding_memory_is_bounded_by_step():
+    """A batch of many occurrences needs little beside its words and ids."""
+    import tracemalloc
+
+    import pyarrow as pa
+    model = _odd_model()
+    table = TE._Table(model.vocab, model.merges, set(model.vocab[:model.n_specials]))
+    rows = pa.array([["abc", "é", " a"] * 1000] * 2000, pa.list_(pa.string()))
+    tracemalloc.start()
+    out = TE._encode_batch(rows, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n_words, n_ids = len(rows.flatten()), len(out.flatten())
+    assert peak < 4 * n_ids + 8 * n_words + 60 * TE.STEP
+
+
 def test_totals_encode_each_distinct_word_once(spark):
     from tessera.operators.tokenizer import checks as TC
     rows = [("x", t) for t in EDGE] + [("x", "same words again " * 50), ("x", None), (None, "aa bb"), ("none", None), ("empty", "")]
