@@ -29,8 +29,8 @@ from .train import BPEModel
 
 _CACHE: dict[str, "_Table"] = {}
 _CACHE_LIMIT = 4            # models kept per worker
-STEP = 500_000              # occurrences expanded together
-MERGED = 2_000_000          # bytes of distinct words merged together
+STEP = 200_000              # occurrences expanded together
+MERGED = 250_000            # bytes of distinct words merged together
 _LONG = 64                  # words of more bytes are merged one by one
 
 _B2S = B.byte_to_symbol()
