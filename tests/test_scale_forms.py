@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from test_plans import plan
+from test_tokenizer import py_byte_ids
+from tessera.functions import bytelevel as B
 from tessera.operators import context as CX
 from tessera.operators import stats as ST
 from tessera.operators.tokenizer import lookup as LU
@@ -80,3 +82,18 @@ def test_manifest_counts_come_from_footers(spark, tmp_path):
     r = TB.read_manifest(spark, str(tmp_path / "m")).first()
     n = docs.where("split = 'test'").count()
     assert (r.phase, r.n_test, r.n_train, r.seq_len, r.effective_batch) == ("phase5", n, docs.count() - n, 2048, 256)
+
+
+def test_byte_ids_of_a_batch_at_once(spark):
+    rnd = random.Random(5)
+    bits = ["<|im_start|>", "<bos>", "==", "=", "=>", "->", "//", "*", "7", "a", " ", "é", "é", "̸", "́", "가",
+            "KK", "\n", "\u0000", "Ā", "ē", "😀", "<|", "bos>"]
+    texts = ["".join(rnd.choices(bits, k=rnd.randint(0, 40))) for _ in range(400)] + [None, "", None, "==", "1̸2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").repartition(3)
+    got = df.select("k", B.byte_ids(F.col("t")).alias("ids"), B.byte_token_count(F.col("t")).alias("n"))
+    for r in got.collect():
+        want = None if texts[r.k] is None else py_byte_ids(texts[r.k])
+        assert r.ids == want and r.n == (None if want is None else len(want))
+    assert "ascii(" not in plan(got)            # no JVM expression per byte
+    none = spark.createDataFrame([(None,), ("",)], "t string").coalesce(1)
+    assert [r[0] for r in none.select(B.byte_ids(F.col("t"))).collect()] == [None, []]
