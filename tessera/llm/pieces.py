@@ -88,79 +88,111 @@ class Pieces:
                     at = trie[at][c]
                 piece_at[at] = i
         self.fallback = -2 * alpha * np.log(rank + 1.0)         # below any piece
-        moves = sorted((at * 0x110000 + ord(c), to) for at, kids in enumerate(trie) for c, to in kids.items())
-        self.moves = np.array([m for m, _ in moves], np.int64)
-        self.targets = np.array([t for _, t in moves], np.int64)
+        self._hash_moves(np.array([at * 0x110000 + ord(c) for at, kids in enumerate(trie) for c in kids], np.int64),
+                         np.array([to for kids in trie for to in kids.values()], np.int32))
         self.piece_at = np.array(piece_at, np.int64)
         self.raw = pa.array(raw, pa.binary())
 
+    def _hash_moves(self, moves: np.ndarray, targets: np.ndarray) -> None:
+        """The trie's moves as a hash table with linear probing, an eighth to a
+        quarter full."""
+        bits = int(len(moves)).bit_length() + 2
+        self.shift = _U(64 - bits)
+        self.slot_move = np.full((1 << bits) + len(moves) + 1, -1, np.int64)
+        self.slot_to = np.zeros(len(self.slot_move), np.int32)
+        todo, slot = np.arange(len(moves)), self._slots(moves)
+        while len(todo):
+            free = np.flatnonzero(self.slot_move[slot] < 0)
+            taken, one = np.unique(slot[free], return_index=True)
+            self.slot_move[taken], self.slot_to[taken] = moves[todo[free[one]]], targets[todo[free[one]]]
+            rest = np.ones(len(todo), bool)
+            rest[free[one]] = False
+            todo, slot = todo[rest], slot[rest] + 1
+
+    def _slots(self, moves: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((moves.view(_U) * _U(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def _follow(self, want: np.ndarray) -> np.ndarray:
+        """The trie states that some moves (state * 0x110000 + code point) lead to, or -1."""
+        slot = self._slots(want)
+        found = self.slot_move[slot]
+        hit = found == want
+        to = np.where(hit, self.slot_to[slot], -1)
+        todo = np.flatnonzero(~hit & (found >= 0))
+        while len(todo):
+            slot[todo] += 1
+            found = self.slot_move[slot[todo]]
+            hit = found == want[todo]
+            to[todo[hit]] = self.slot_to[slot[todo[hit]]]
+            todo = todo[~hit & (found >= 0)]
+        return to
+
     def lattice(self, units: list[str]) -> tuple:
         """The lattices of some units, laid end to end: (characters per unit,
-        keys, codes, backs). A node is a character end; the incoming edges of
-        node k (counted over all units) have keys k + cumulative share, code =
-        piece id or -1 - code point for byte pieces, back = characters."""
+        first edges, keys, codes, backs). A node is a character end; the incoming
+        edges of node k (counted over all units) start at its first edge, by
+        length, and have keys k + cumulative share (the last one's infinite),
+        code = piece id or -1 - code point for byte pieces, back = characters."""
         length = np.array(list(map(len, units)), np.int64)
         chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         total = len(chars)
         stop = np.repeat(np.cumsum(length), length)            # where each character's unit ends
-        # all pieces, found by walking the vocabulary's trie from every start at once
-        starts, codes, ends = [], [], []
+        # all pieces, found by walking the vocabulary's trie from every start at once;
+        # a node has one edge of a length at most, so its edges are numbered as they are found
+        count = np.zeros(total, np.int64)
+        found = []
+
+        def edges(nodes: np.ndarray, codes: np.ndarray, back: int) -> None:
+            found.append((nodes, count[nodes], codes, back))
+            count[nodes] += 1
+
         here, state = np.arange(total), np.zeros(total, np.int64)
         for back in range(1, self.longest + 1):
-            at = np.minimum(np.searchsorted(self.moves, want := state * 0x110000 + chars[here + back - 1]), len(self.moves) - 1)
-            hit = self.moves[at] == want
-            here, state = here[hit], self.targets[at[hit]]
+            state = self._follow(state * 0x110000 + chars[here + (back - 1)])
+            hit = np.flatnonzero(state >= 0)
+            here, state = here[hit], state[hit].astype(np.int64)
             full = self.piece_at[state]
-            good = full >= 0
-            starts.append(here[good])
-            codes.append(full[good])
-            ends.append(here[good] + back)
+            good = np.flatnonzero(full >= 0)
+            edges(here[good] + (back - 1), full[good], back)
             if back == 1:                                       # characters the vocabulary lacks
-                lone = np.ones(total, bool)
-                lone[here[good]] = False
-                odd = np.flatnonzero(lone)
-                starts.append(odd)
-                codes.append(np.where(chars[odd] < 128, self.byte_ids[chars[odd] & 127], -1 - chars[odd]))
-                ends.append(odd + 1)
-            inside = here + back < stop[here]
+                odd = np.flatnonzero(count == 0)
+                edges(odd, np.where(chars[odd] < 128, self.byte_ids[chars[odd] & 127], -1 - chars[odd]), back)
+            inside = np.flatnonzero(here + back < stop[here])
             here, state = here[inside], state[inside]
             if not len(here):
                 break
-        start, code, end = (np.concatenate(x) for x in (starts, codes, ends))
+        first = np.cumsum(count) - count
+        code, back = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64)
+        for nodes, nth, codes, chars_back in found:
+            at = first[nodes] + nth
+            code[at], back[at] = codes, chars_back
+        del found
         log_w = np.where(code >= 0, self.log_weight[np.maximum(code, 0)], self.fallback)
-        # edges by their end's depth in its unit, then by end; forward sums depth by depth
-        unit0 = np.repeat(np.cumsum(length) - length, length)
-        depth = end - unit0[start]
-        order = np.argsort((depth * (total + 1) + end) * (self.longest + 1) + (end - start))
-        start, code, end, depth, log_w = start[order], code[order], end[order], depth[order], log_w[order]
-        node = end - 1
-        head = np.flatnonzero(np.diff(node, prepend=-1))        # first edge of each node
-        value = np.empty(len(start))
-        share = np.empty(len(start))
+        # forward sums depth by depth, the longest units first
+        share = np.empty(len(code))
         log_f = np.zeros(total)
-        cuts = np.searchsorted(depth[head], np.arange(1, int(length.max()) + 2))
-        edge_count = np.diff(np.append(head, len(start)))
-        for d in range(len(cuts) - 1):
-            h = head[cuts[d]:cuts[d + 1]]
-            if not len(h):
-                continue
-            e0, e1 = h[0], (head[cuts[d + 1]] if cuts[d + 1] < len(head) else len(start))
-            s = start[e0:e1]
-            v = log_w[e0:e1] + np.where(s > unit0[s], log_f[s - 1], 0.0)
-            n = edge_count[cuts[d]:cuts[d + 1]]
-            top = np.maximum.reduceat(v, h - e0)
+        by_length = np.argsort(-length, kind="stable")
+        origin = (np.cumsum(length) - length)[by_length]
+        active = np.searchsorted(-length[by_length], -np.arange(int(length.max())), side="left")
+        for d, k in enumerate(active):
+            at = origin[:k] + d
+            n = count[at]
+            head = np.cumsum(n) - n
+            e = np.repeat(first[at] - head, n)
+            e += np.arange(len(e))
+            far = back[e]
+            v = log_w[e] + np.where(far <= d, log_f[np.repeat(at, n) - far], 0.0)
+            top = np.maximum.reduceat(v, head)
             p = np.exp(v - np.repeat(top, n))
-            sums = np.add.reduceat(p, h - e0)
-            log_f[node[h]] = top + np.log(sums)
-            share[e0:e1] = p / np.repeat(sums, n)
-        back_order = np.argsort(node * (self.longest + 1) + (end - start))      # by node, all units
-        node, share, code, back = node[back_order], share[back_order], code[back_order], (end - start)[back_order]
-        head = np.flatnonzero(np.diff(node, prepend=-1))
+            sums = np.add.reduceat(p, head)
+            log_f[at] = top + np.log(sums)
+            share[e] = p / np.repeat(sums, n)
         run = np.cumsum(share)
-        before = np.repeat((run[head] - share[head]), np.diff(np.append(head, len(node))))
-        keys = node + np.minimum(run - before, 1.0)
-        keys[np.append(head[1:], len(node)) - 1] = node[np.append(head[1:], len(node)) - 1] + 1.0
-        return length, keys, code, back
+        keys = np.minimum(run - np.repeat(run[first] - share[first], count), 1.0)
+        keys += np.repeat(np.arange(total), count)
+        keys[first + count - 1] = np.inf
+        return length, first, keys, code, back
 
     def encode(self, texts: list[str], keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text."""
@@ -174,9 +206,9 @@ class Pieces:
         if not units:
             return np.zeros(0, np.int32), per_text
         # one lattice per distinct unit, their edges laid end to end
-        index: dict[str, int] = {}
-        which = np.array([index.setdefault(u, len(index)) for u in units], np.int64)
-        nodes, edge_keys, edge_codes, edge_backs = self.lattice(list(index))
+        distinct = list(dict.fromkeys(units))
+        which = np.fromiter(map(dict(zip(distinct, range(len(distinct)))).__getitem__, units), np.int64, len(units))
+        nodes, first_edge, edge_keys, edge_codes, edge_backs = self.lattice(distinct)
         base = np.cumsum(nodes) - nodes
 
         length = nodes[which]
@@ -192,8 +224,12 @@ class Pieces:
             rs = row_seed[row]
             while len(todo):
                 u = (_mix(rs + (at0 + end.astype(np.uint64)) * _U(0xD6E8FEB86659FD93)) >> _U(11)) * 2.0 ** -53
-                edge = np.searchsorted(edge_keys, (node0 + end - 1) + u, side="right")
-                edge = np.minimum(edge, len(edge_keys) - 1)
+                node = node0 + end - 1
+                edge, u = first_edge[node], node + u
+                past = np.flatnonzero(edge_keys[edge] <= u)
+                while len(past):                                # the node's first edge whose key is above u
+                    edge[past] += 1
+                    past = past[edge_keys[edge[past]] <= u[past]]
                 steps.append((todo, edge_codes[edge]))
                 end = end - edge_backs[edge]
                 on = end > 0

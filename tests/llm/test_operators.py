@@ -287,6 +287,30 @@ def test_sampled_segmentations_follow_the_lattice():
         assert abs(seen[w] / n - share) < 5 * math.sqrt(share * (1 - share) / n) + 1e-4
 
 
+def test_lattice_edges_are_numbered_as_found(monkeypatch):
+    p = pieces("/opt/tokenizers/piece_bpe_32k.model", 1.5)
+    vocabulary = {p.raw[i].as_py().decode(): i for i in range(259, len(p.raw)) if p.raw[i].as_py()}
+    rnd = random.Random(4)
+    units = list({"".join(rnd.choices("thean ingé日\x00😀", k=rnd.randint(1, 12))) for _ in range(200)}) + ["a" * 90, "\n", "  "]
+    sizes = []
+    search = np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, **k: sizes.append(len(a)) or search(a, v, **k))
+    length, first, keys, code, back = p.lattice(units)
+    assert max(sizes, default=0) <= len(units)              # neither the vocabulary nor the edges are searched
+    node = 0
+    for unit in units:
+        for end in range(1, len(unit) + 1):
+            want = [(vocabulary[unit[end - n:end]], n) for n in range(1, end + 1) if unit[end - n:end] in vocabulary]
+            if unit[end - 1] not in vocabulary:
+                c = ord(unit[end - 1])
+                want.insert(0, (int(p.byte_ids[c]) if c < 128 else -1 - c, 1))
+            stop = first[node + 1] if node + 1 < len(first) else len(code)
+            assert list(zip(code[first[node]:stop].tolist(), back[first[node]:stop].tolist())) == want
+            assert (np.diff(keys[first[node]:stop]) >= 0).all() and keys[stop - 1] == np.inf
+            node += 1
+    assert node == length.sum() == len(first)
+
+
 # 6, 7 -----------------------------------------------------------------------
 def test_class_prior():
     rng = np.random.default_rng(0)
