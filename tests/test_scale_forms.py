@@ -95,5 +95,15 @@ def test_byte_ids_of_a_batch_at_once(spark):
         want = None if texts[r.k] is None else py_byte_ids(texts[r.k])
         assert r.ids == want and r.n == (None if want is None else len(want))
     assert "ascii(" not in plan(got)            # no JVM expression per byte
+    for r in df.select("k", B.byte_ids(F.col("t"), 7).alias("ids")).collect():
+        assert r.ids == (None if texts[r.k] is None else py_byte_ids(texts[r.k])[:7])
     none = spark.createDataFrame([(None,), ("",)], "t string").coalesce(1)
     assert [r[0] for r in none.select(B.byte_ids(F.col("t"))).collect()] == [None, []]
+
+
+def test_only_stories_are_counted(spark):
+    from tessera.operators import gates as G
+    from tessera.sources import fixtures as FX
+    every, stories = (G.long_story(FX.corpus(spark, SF001, only=f)).select("doc_id", "token_length") for f in (None, "story"))
+    assert sorted(every.collect()) == sorted(stories.collect()) != []
+    assert plan(stories).count("Filter (") == plan(every).count("Filter (") + 1
