@@ -27,11 +27,15 @@ def pad_right_dynamic(df: DataFrame, ids: str = "input_ids", batch: str = "batch
 
 # R5 -----------------------------------------------------------------------
 def pad_left_dynamic(df: DataFrame, ids: str = "input_ids", batch: str = "batch_id",
-                     max_length: int = C.MODEL_MAX_LEN, pad_id: int = C.PAD_ID) -> DataFrame:
+                     max_length: int | None = C.MODEL_MAX_LEN, pad_id: int = C.PAD_ID) -> DataFrame:
     """Left padding to ``min(longest in batch, max_length)``; rows longer
-    than ``max_length`` keep their last ``max_length`` ids."""
-    longest = F.least(F.max(F.size(ids)).over(Window.partitionBy(batch)), F.lit(max_length))
-    cut = A.truncate_tail(F.col(ids), max_length)
+    than ``max_length`` keep their last ``max_length`` ids (None: every row
+    keeps all its ids)."""
+    longest = F.max(F.size(ids)).over(Window.partitionBy(batch))
+    cut = F.col(ids)
+    if max_length is not None:
+        longest = F.least(longest, F.lit(max_length))
+        cut = A.truncate_tail(cut, max_length)
     return (df.withColumn("__L", longest)
             .withColumn(ids, cut)
             .withColumn("attention_mask", A.mask_left(F.col(ids), F.col("__L")))

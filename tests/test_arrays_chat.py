@@ -1,9 +1,12 @@
 """R1-R8, A11, A12, H1-H4, W1-W3 against literal cases and Python."""
 
+import duckdb
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from conftest import SF01
 from tessera.functions import arrays as A
+from tessera.functions import bytelevel as B
 from tessera.functions import chat as CH
 from tessera.operators import batching as BT
 from tessera.operators import context as CX
@@ -30,6 +33,29 @@ def test_left_padding_truncates_from_the_left(spark):
     assert got == {0: [7, 8, 9, 10], 1: [0, 0, 0, 7]}
 
 
+def test_left_padding_without_a_bound(spark):
+    df = spark.createDataFrame([(0, list(range(9000)), 0), (1, [7], 0), (2, [8, 9], 1), (3, [], 2)],
+                               "k int, input_ids array<int>, batch_id int")
+    got = {r["k"]: r for r in BT.pad_left_dynamic(df, max_length=None, pad_id=0).collect()}
+    assert got[0]["input_ids"] == list(range(9000)) and got[0]["attention_mask"] == [1] * 9000
+    assert got[1]["input_ids"] == [0] * 8999 + [7] and got[1]["attention_mask"] == [0] * 8999 + [1]
+    assert got[2]["input_ids"] == [8, 9] and got[3]["input_ids"] == []
+
+
+def test_masked_labels_of_whole_chats(spark, tmp_path):
+    # one batch of four: a chat longer than a model's 8,192 ids, three short ones padded to it
+    rows = [(0, t, "user", f"{t}" + "abcé" * 3000) for t in range(3)] + [(c, 0, "user", "x" * c) for c in (1, 2, 3)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    con.execute(f"COPY conversations TO '{tmp_path}/conversations.parquet'")
+    want = dict(con.sql(E.oracle_sql()["labels_masked"]).fetchall())
+    got = {r["conv_id"]: r["labels"] for r in E.queries()["labels_masked"](spark, str(tmp_path)).collect()}
+    assert got == want
+    assert {len(v) for v in got.values()} == {len(got[0])} and len(got[0]) > 45_000 and -100 not in got[0]
+    assert got[0][:2] == [0, B.BYTE_IDS[ord("u")]]          # the chat's own beginning: <|im_start|>user
+
+
 def test_right_padding_and_labels(spark):
     df = spark.createDataFrame([(0, [1, 2, 3], 0), (1, [4], 0), (2, [], 1)], "k int, input_ids array<int>, batch_id int")
     got = {r["k"]: r for r in BT.pad_right_dynamic(df, pad_id=4).collect()}
